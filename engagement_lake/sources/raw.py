@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.functions import to_int
-from engagement_lake.sources.schemas import raw_schema
+from engagement_lake.sources.schemas import RAW_DDL
 from engagement_lake.sources.tables import table_path
 
 # How a path spells the media, the ingest date and the page it belongs to.
@@ -28,7 +28,7 @@ def scan_raw_json(spark: SparkSession, base: str, endpoint: str) -> DataFrame |
 
     def scan(files: str, multi_line: bool) -> DataFrame:
         return (
-            spark.read.schema(raw_schema(endpoint))
+            spark.read.schema(RAW_DDL[endpoint])
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", files)
             .option("multiLine", multi_line)

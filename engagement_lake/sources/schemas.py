@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # Raw read schemas. Scalar leaves are text on purpose and are coerced later: a DOUBLE leaf would
 # silently turn the JSON text "0.5" into NULL.
@@ -140,16 +139,13 @@ TABLE_DDL = {
 }
 
 
-def raw_schema(endpoint: str) -> StructType:
-    return StructType.fromDDL(RAW_DDL[endpoint])
-
-
-def table_schema(table: str) -> StructType:
-    return StructType.fromDDL(TABLE_DDL[table])
+def column_types(table: str) -> dict[str, str]:
+    """Column name to SQL type, in output order."""
+    return dict(column.split() for column in TABLE_DDL[table].split(","))
 
 
 def columns_of(table: str) -> list[str]:
-    return table_schema(table).fieldNames()
+    return list(column_types(table))
 
 
 def arrange(df: DataFrame, table: str) -> DataFrame:
@@ -162,8 +158,8 @@ def complete(df: DataFrame, table: str) -> DataFrame:
     present = set(df.columns)
     return df.select(
         *[
-            F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table_schema(table)
+            F.col(name) if name in present else F.lit(None).cast(kind).alias(name)
+            for name, kind in column_types(table).items()
         ]
     )
 

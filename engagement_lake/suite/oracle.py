@@ -129,89 +129,6 @@ known_visitors AS (
   SELECT * FROM a_visitors
   QUALIFY row_number() OVER (PARTITION BY visitor_key ORDER BY ingest_date DESC) = 1
 ),
-ev AS (
-  SELECT e.*, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events e
-),
-batches AS (
-  SELECT '2024-01-31' AS ingest_date, 1 AS source_page, 1 AS every_n
-  UNION ALL SELECT '2024-02-29', 2, 10
-),
-a_events AS (
-  SELECT concat('e', CAST(event_id AS VARCHAR)) AS event_key,
-    ts AS received_at,
-    concat('v', CAST(user_id AS VARCHAR)) AS visitor_key,
-    event_type AS media_hashed_id,
-    concat(event_type, ' reel') AS media_name,
-    concat('https://media.example/', event_type) AS media_url,
-    least(value / CAST(100 AS DOUBLE), CAST(1 AS DOUBLE)) AS percent_viewed,
-    CASE WHEN k % 7 <> 0
-      THEN concat('10.', user_id % 200, '.0.', event_id % 200) END AS ip_address,
-    n_name AS country, r_name AS region,
-    concat('city', CAST(user_id % 7 AS VARCHAR)) AS city,
-    CASE WHEN k % 7 <> 0 THEN CAST(user_id % 170 - 85 AS DOUBLE) END AS latitude,
-    CASE WHEN k % 11 <> 0 THEN CAST(event_id % 350 - 175 AS DOUBLE) END AS longitude,
-    CASE WHEN user_id % 4 = 0 THEN concat('org', CAST(user_id % 3 AS VARCHAR)) END AS organization,
-    CASE WHEN event_id % 50 = 0
-      THEN concat('u', CAST(user_id AS VARCHAR), '@example.org') END AS email,
-    concat('https://site', user_id % 5, '.example') AS embed_url,
-    CASE WHEN event_type IN ('purchase', 'signup') THEN event_type END AS conversion_type,
-    CASE WHEN event_type IN ('purchase', 'signup') THEN props END AS conversion_data_json,
-    concat('https://heat.example/', event_id) AS iframe_heatmap_url,
-    CASE WHEN k % 10 = 9 THEN NULL WHEN k % 3 = 0 THEN 'Chrome'
-         WHEN k % 3 = 1 THEN 'Safari' ELSE 'Firefox' END AS browser,
-    CASE WHEN k % 10 = 9 THEN NULL ELSE CAST(k % 5 AS VARCHAR) END AS browser_version,
-    CASE WHEN k % 10 = 9 THEN NULL WHEN k % 2 = 0 THEN 'Android' ELSE 'Mac' END AS platform,
-    CASE WHEN k % 10 = 9 THEN NULL ELSE k % 2 = 0 END AS is_mobile,
-    concat('https://cdn.example/', event_type) AS thumbnail_url,
-    k + 200 AS thumbnail_width, k + 100 AS thumbnail_height,
-    b.ingest_date, b.source_page
-  FROM raw_ev
-  JOIN nation ON n_nationkey = user_id % 25
-  JOIN region ON r_regionkey = n_regionkey
-  JOIN batches b ON event_id % b.every_n = 0
-),
-a_config AS (
-  SELECT * FROM (VALUES ('view', 'YouTube', 'View reel'), ('click', 'YouTube', 'Click reel'),
-    ('purchase', 'Facebook', 'Purchase reel'), ('signup', 'Facebook', 'Signup reel'))
-  AS t(media_hashed_id, channel, configured_media_name)
-),
-a_metadata AS (
-  SELECT n AS media_numeric_id, event_type AS media_hashed_id, 'Video' AS media_type,
-    CASE WHEN event_type <> 'purchase' THEN concat(event_type, ' cut ', ingest_date) END AS media_name,
-    duration_seconds, created_at,
-    CASE WHEN NOT (event_type = 'click' AND ingest_date = '2024-02-29') THEN last_ts END AS updated_at,
-    'ready' AS status, event_type = 'error' AS archived,
-    concat('about ', event_type) AS description, n % 7 AS project_id,
-    concat('p', n % 7) AS project_hashed_id, concat('project ', event_type) AS project_name,
-    n % 5 AS section_id, concat('section ', event_type) AS section_name,
-    concat('https://share.example/', event_type) AS share_url,
-    concat('https://cdn.example/', event_type) AS thumbnail_url,
-    640 AS thumbnail_width, 360 AS thumbnail_height,
-    concat('f', ingest_date) AS source_file, ingest_date
-  FROM (SELECT event_type, ingest_date, count(*) AS n, max(value) AS duration_seconds,
-          min(ts) AS created_at, max(ts) AS last_ts
-        FROM events JOIN batches b ON event_id % b.every_n = 0
-        GROUP BY event_type, ingest_date)
-),
-a_stats_once AS (
-  SELECT event_type AS media_hashed_id, count(*) AS load_count,
-    count(*) FILTER (WHERE value >= 20) AS play_count,
-    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(60 AS DOUBLE) AS hours_watched,
-    count(DISTINCT user_id) AS visitor_count, d.ingest_date
-  FROM events
-  JOIN (SELECT '2024-01-10' AS ingest_date UNION ALL SELECT '2024-01-20'
-        UNION ALL SELECT '2024-01-31') d ON CAST(ts AS DATE) <= CAST(d.ingest_date AS DATE)
-  GROUP BY event_type, d.ingest_date
-),
-a_stats AS (SELECT *, 'f1' AS source_file FROM a_stats_once
-  UNION ALL SELECT *, 'f2' AS source_file FROM a_stats_once),
-a_visitors AS (
-  SELECT concat('v', CAST(c_custkey AS VARCHAR)) AS visitor_key,
-    CASE WHEN c_custkey % 3 = 0 THEN concat(c_name, '@example.com') END AS visitor_email,
-    c_mktsegment AS visitor_org_name, 'Edge' AS browser, '1' AS browser_version,
-    'Windows' AS platform, FALSE AS is_mobile
-  FROM customer
-),
 ev AS (
   SELECT * FROM a_events
   QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY ingest_date, source_page) = 1
