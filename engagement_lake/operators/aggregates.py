@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,19 +49,24 @@ class LatestValues:
         self.order = tuple(order)
         self.bundles = tuple(tuple(b) for b in bundles)
 
-    def _latest(self, columns: Sequence[str], keep: Column, name: str) -> Column:
-        row = F.struct(*self.order, *columns)
-        return F.max(F.when(keep, row)).alias(name)
+    @staticmethod
+    def _present(columns: Sequence[str]) -> str:
+        return " AND ".join(f"{c} IS NOT NULL" for c in columns)
+
+    def _latest(self, columns: Sequence[str], keep: str, name: str) -> Column:
+        row = ", ".join((*self.order, *columns))
+        return F.expr(f"max(struct({row})) FILTER (WHERE {keep}) AS {name}")
 
     @property
     def aggregates(self) -> list[Column]:
         parts = []
         for n, bundle in enumerate(self.bundles):
-            whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in bundle])
+            whole = self._present(bundle)
             parts.append(self._latest(bundle, whole, f"_whole_{n}"))
             if len(bundle) > 1:
                 parts += [
-                    self._latest([c], F.col(c).isNotNull() & ~whole, f"_part_{c}") for c in bundle
+                    self._latest([c], f"{c} IS NOT NULL AND NOT ({whole})", f"_part_{c}")
+                    for c in bundle
                 ]
         return parts
 
@@ -70,13 +74,12 @@ class LatestValues:
         """Replace the aggregate structs by one column per value."""
         values = {}
         for n, bundle in enumerate(self.bundles):
-            whole = f"_whole_{n}"
             for c in bundle:
-                candidate = F.when(
-                    F.col(whole).isNotNull(),
-                    F.struct(*[F.col(f"{whole}.{f}").alias(f) for f in (*self.order, c)]),
-                )
-                best = F.greatest(candidate, F.col(f"_part_{c}")) if len(bundle) > 1 else candidate
-                values[c] = best.getField(c)
+                fields = ", ".join(f"_whole_{n}.{f} AS {f}" for f in (*self.order, c))
+                if len(bundle) > 1:
+                    whole = f"CASE WHEN _whole_{n} IS NOT NULL THEN struct({fields}) END"
+                    values[c] = F.expr(f"greatest({whole}, _part_{c}).{c}")
+                else:
+                    values[c] = F.col(f"_whole_{n}.{c}")
         helpers = [c for c in df.columns if c.startswith(("_whole_", "_part_"))]
         return df.withColumns(values).drop(*helpers)

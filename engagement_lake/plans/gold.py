@@ -95,17 +95,25 @@ _FROM_SUMMARY = {
 
 
 def visitor_profiles(events: DataFrame, mean: Mean = F.avg) -> DataFrame:
-    """Per visitor (NULL is one): activity totals and the latest known attributes."""
+    """Per visitor (NULL is one): activity totals and the latest known attributes.
+
+    Counting distinct media inside the same aggregation would send the wide attribute buffers
+    through a shuffle per visitor and media first. The count has its own aggregation over two
+    columns instead, and joins at one row per visitor.
+    """
     profiles = events.groupBy("visitor_key").agg(
         F.min("received_at").alias("first_seen_at"),
         F.max("received_at").alias("last_seen_at"),
         F.count("event_key").alias("event_count"),
         mean(F.col("percent_viewed")).alias("avg_percent_viewed"),
         F.max("percent_viewed").alias("max_percent_viewed"),
-        F.count_distinct("media_hashed_id").alias("media_count"),
         *LATEST_ATTRIBUTES.aggregates,
     )
-    return LATEST_ATTRIBUTES.resolve(profiles)
+    media = events.groupBy(F.col("visitor_key").alias("_visitor")).agg(
+        F.count_distinct("media_hashed_id").alias("media_count")
+    )
+    same_visitor = F.col("visitor_key").eqNullSafe(F.col("_visitor"))
+    return LATEST_ATTRIBUTES.resolve(profiles).join(media, same_visitor).drop("_visitor")
 
 
 def dedup_visitors(visitors: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ from collections import Counter
 from collections.abc import Iterable, Mapping
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from engagement_lake.sources.tables import path_exists
+
 _COLUMNS = pa.schema(
     [
         pa.field("media_hashed_id", pa.string(), nullable=False),
@@ -67,21 +68,18 @@ def _from_json(spark: SparkSession, path: str) -> DataFrame:
 
 def load_media_config(spark: SparkSession, path: str) -> DataFrame:
     """Read the configuration from any Hadoop path, as YAML or (``*.json``) JSON."""
-    try:
-        if path.endswith(".json"):
-            return _from_json(spark, path)
-        size = F.col("_metadata.file_size")
-        text = F.when(size <= MAX_YAML_BYTES, F.col("value"))
-        document = (
-            spark.read.option("wholetext", True)
-            .text(path)
-            .select(size.alias("file_size"), text.alias("text"))
-            .head()
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"media configuration not found: {path}") from error
-        raise
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"media configuration not found: {path}")
+    if path.endswith(".json"):
+        return _from_json(spark, path)
+    size = F.col("_metadata.file_size")
+    text = F.when(size <= MAX_YAML_BYTES, F.col("value"))
+    document = (
+        spark.read.option("wholetext", True)
+        .text(path)
+        .select(size.alias("file_size"), text.alias("text"))
+        .head()
+    )
     if document is None:
         raise ValueError("media configuration needs a non-empty media_ids list")
     if document["text"] is None:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.functions import to_int
 from engagement_lake.sources.schemas import RAW_DDL
-from engagement_lake.sources.tables import table_path
+from engagement_lake.sources.tables import path_exists, table_path
 
 # How a path spells the media, the ingest date and the page it belongs to.
 MEDIA_IN_PATH = r"media_id=([^/]+)"
@@ -36,12 +35,9 @@ def scan_raw_json(spark: SparkSession, base: str, endpoint: str) -> DataFrame |
             .withColumn("source_file", F.col("_metadata.file_path"))
         )
 
-    try:
-        return scan(_DOCUMENTS, True).unionByName(scan(_RECORD_LINES, False))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not path_exists(spark, table_path(base, endpoint)):
+        return None
+    return scan(_DOCUMENTS, True).unionByName(scan(_RECORD_LINES, False))
 
 
 def _path_part(pattern: str) -> Column:

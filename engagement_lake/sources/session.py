@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# One shuffle task should get about this much input, and no shuffle should have more tasks than
-# the scheduler and the shuffle index can serve.
+# One shuffle task should get about this much input, and a written file come to about as much. No
+# shuffle should have more tasks than the scheduler and the shuffle index can serve.
 SHUFFLE_TASK_BYTES = 256 << 20
 MAX_SHUFFLE_TASKS = 100_000
 
@@ -28,6 +28,7 @@ def build_session(app_name: str, input_bytes: int | None = None, **settings: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
         "spark.sql.files.openCostInBytes": str(512 << 10),
     }
     if input_bytes is not None:

@@ -11,16 +11,24 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists, on whatever file system its scheme names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
 def find_table(spark: SparkSession, base: str, name: str) -> DataFrame | None:
     """The table, or None if there is no such folder or nothing in it."""
+    if not path_exists(spark, table_path(base, name)):
+        return None
     try:
         return read_table(spark, base, name)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 

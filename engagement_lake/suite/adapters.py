@@ -43,56 +43,56 @@ def _landings(key: str, every: int = 10) -> Column:
     )
 
 
+EVENT_COLUMNS = {
+    "event_key": "concat('e', event_id)",
+    "received_at": "ts",
+    "visitor_key": "concat('v', user_id)",
+    "media_hashed_id": "event_type",
+    "media_name": "concat(event_type, ' reel')",
+    "media_url": "concat('https://media.example/', event_type)",
+    "percent_viewed": "least(value / 100D, 1D)",
+    "ip_address": "if(located, concat('10.', user_id % 200, '.0.', event_id % 200), NULL)",
+    "country": "n_name",
+    "region": "r_name",
+    "city": "concat('city', user_id % 7)",
+    "latitude": "if(located, CAST(user_id % 170 - 85 AS DOUBLE), NULL)",
+    "longitude": "if(k % 11 <> 0, CAST(event_id % 350 - 175 AS DOUBLE), NULL)",
+    "organization": "if(user_id % 4 = 0, concat('org', user_id % 3), NULL)",
+    "email": "if(event_id % 50 = 0, concat('u', user_id, '@example.org'), NULL)",
+    "embed_url": "concat('https://site', user_id % 5, '.example')",
+    "conversion_type": "if(converts, event_type, NULL)",
+    "conversion_data_json": "if(converts, props, NULL)",
+    "iframe_heatmap_url": "concat('https://heat.example/', event_id)",
+    "browser": "if(known, element_at(array('Chrome', 'Safari', 'Firefox'), k % 3 + 1), NULL)",
+    "browser_version": "if(known, CAST(k % 5 AS STRING), NULL)",
+    "platform": "if(known, if(k % 2 = 0, 'Android', 'Mac'), NULL)",
+    "is_mobile": "if(known, k % 2 = 0, NULL)",
+    "thumbnail_url": "concat('https://cdn.example/', event_type)",
+    "thumbnail_width": "k + 200",
+    "thumbnail_height": "k + 100",
+    "ingest_date": "ingest_date",
+    "source_page": "source_page",
+}
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Silver-shaped events before dedup."""
-    event, user, k, media = (F.col(c) for c in ("event_id", "user_id", "k", "event_type"))
-    known, located, converts = k % 10 != 9, k % 7 != 0, media.isin("purchase", "signup")
     geography = read(spark, folder, "nation").join(
-        read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+        read(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")
     )
     landed = (
         read(spark, folder, "events")
-        .withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
-        .join(geography, F.col("n_nationkey") == F.col("user_id") % 25)
+        .join(geography, F.expr("n_nationkey = user_id % 25"))
+        .selectExpr("*", "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k")
+        .selectExpr(
+            "*",
+            "k % 10 <> 9 AS known",
+            "k % 7 <> 0 AS located",
+            "event_type IN ('purchase', 'signup') AS converts",
+        )
         .select("*", _landings("event_id"))
     )
-    shaped = landed.select(
-        F.concat(F.lit("e"), event).alias("event_key"),
-        F.col("ts").alias("received_at"),
-        F.concat(F.lit("v"), user).alias("visitor_key"),
-        media.alias("media_hashed_id"),
-        F.concat(media, F.lit(" reel")).alias("media_name"),
-        F.concat(F.lit("https://media.example/"), media).alias("media_url"),
-        F.least(F.col("value") / F.lit(100.0), F.lit(1.0)).alias("percent_viewed"),
-        F.when(
-            located, F.concat(F.lit("10."), user % 200, F.lit(".0."), event % 200)
-        ).alias("ip_address"),
-        F.when(located, (user % 170 - 85).cast("double")).alias("latitude"),
-        F.when(k % 11 != 0, (event % 350 - 175).cast("double")).alias("longitude"),
-        F.concat(F.lit("https://site"), user % 5, F.lit(".example")).alias("embed_url"),
-        F.when(converts, media).alias("conversion_type"),
-        F.when(converts, F.col("props")).alias("conversion_data_json"),
-        F.concat(F.lit("https://heat.example/"), event).alias("iframe_heatmap_url"),
-        F.concat(F.lit("https://cdn.example/"), media).alias("thumbnail_url"),
-        (k + 200).alias("thumbnail_width"),
-        (k + 100).alias("thumbnail_height"),
-        F.col("n_name").alias("country"),
-        F.col("r_name").alias("region"),
-        F.concat(F.lit("city"), user % 7).alias("city"),
-        F.when(user % 4 == 0, F.concat(F.lit("org"), user % 3)).alias("organization"),
-        F.when(
-            event % 50 == 0, F.concat(F.lit("u"), user, F.lit("@example.org"))
-        ).alias("email"),
-        F.when(
-            known,
-            F.when(k % 3 == 0, "Chrome").when(k % 3 == 1, "Safari").otherwise("Firefox"),
-        ).alias("browser"),
-        F.when(known, (k % 5).cast("string")).alias("browser_version"),
-        F.when(known, F.when(k % 2 == 0, "Android").otherwise("Mac")).alias("platform"),
-        F.when(known, k % 2 == 0).alias("is_mobile"),
-        "ingest_date",
-        "source_page",
-    )
+    shaped = landed.selectExpr(*[f"{sql} AS {name}" for name, sql in EVENT_COLUMNS.items()])
     return complete(shaped, "events")
 
 
@@ -179,6 +179,8 @@ def visitors(spark: SparkSession, folder: str) -> DataFrame:
     landed = read(spark, folder, "customer").select("*", _landings("c_custkey", every=4))
     shaped = landed.select(
         F.concat(F.lit("v"), key).alias("visitor_key"),
+        F.lit("2024-03-01").cast("timestamp_ntz").alias("created_at"),
+        F.lit("2023-12-01").cast("timestamp_ntz").alias("last_active_at"),
         F.when(key % 3 == 0, F.concat(F.col("c_name"), F.lit("@example.com"))).alias(
             "visitor_email"
         ),

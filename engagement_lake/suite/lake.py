@@ -24,6 +24,7 @@ class Lake(Mapping):
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._frames: dict[str, DataFrame] = {}
 
     @cached_property
     def events(self) -> DataFrame:
@@ -73,7 +74,9 @@ class Lake(Mapping):
         }
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._build()[name]()
+        if name not in self._frames:
+            self._frames[name] = self._build()[name]()
+        return self._frames[name]
 
     def __iter__(self):
         return iter((*GOLD_TABLES, *MART_TABLES))

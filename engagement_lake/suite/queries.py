@@ -29,6 +29,7 @@ from engagement_lake.sources import schemas
 from engagement_lake.sources.raw import land_raw_json, today
 from engagement_lake.sources.session import scratch_path
 from engagement_lake.sources.tables import (
+    find_table,
     read_table,
     register_tables,
     table_path,
@@ -142,6 +143,15 @@ for _name, _report in reports.REPORTS.items():
     )
 
 
+# The top-k operators are the limited reports.
+for _name, _report in (
+    ("topk_geo", "top_geographies"),
+    ("topk_device", "device_breakdown"),
+    ("topk_visitors", "most_engaged_visitors"),
+):
+    QUERIES[_name], ORACLES[_name] = QUERIES[_report], ORACLES[_report]
+
+
 # --- sources and sinks ---------------------------------------------------------------------
 
 @query("""SELECT media_hashed_id AS source_media_id, ingest_date, count(*) AS record_count
@@ -817,6 +827,19 @@ def _one_check(lake, check, *args) -> DataFrame:
     return quality.evaluate(fact, [check(fact, FACT, *args)]).drop("check_no")
 
 
+@query("""SELECT concat('Lake table exists: ', t) AS check_name, t = 'dim_media' AS passed,
+    n AS dim_media_rows FROM (VALUES ('dim_media'), ('dim_visitor')) v(t)
+    CROSS JOIN (SELECT count(*) AS n FROM dim_media)""")
+def check_exists(lake):
+    base = scratch_path(lake.spark, "gold")
+    rows = write_table(lake["dim_media"], base, "dim_media")
+    found = {t: find_table(lake.spark, base, t) for t in ("dim_media", "dim_visitor")}
+    results = quality.layer_checks(lake.spark, "Lake", found, CHANNELS)
+    return results.select(
+        "check_name", "passed", F.lit(rows).cast("bigint").alias("dim_media_rows")
+    )
+
+
 @query(_fact_check("non-empty", "count(*) > 0", f"concat('{FACT} row count: ', count(*))"))
 def check_non_empty(lake):
     return _one_check(lake, quality.non_empty)
