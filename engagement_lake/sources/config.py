@@ -75,8 +75,7 @@ def load_media_config(spark: SparkSession, path: str) -> DataFrame:
     size = F.col("_metadata.file_size")
     text = F.when(size <= MAX_YAML_BYTES, F.col("value"))
     document = (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(size.alias("file_size"), text.alias("text"))
         .head()
     )
