@@ -11,7 +11,7 @@ from engagement_lake.operators.aggregates import LatestValues, Mean
 from engagement_lake.operators.dedup import keep_first
 from engagement_lake.plans.silver import dedup_events
 from engagement_lake.sources.config import load_media_config
-from engagement_lake.sources.schemas import GOLD_TABLES, arrange
+from engagement_lake.sources.schemas import GOLD_TABLES, arrange, columns_of, select_existing
 from engagement_lake.sources.session import require_utc
 from engagement_lake.sources.tables import find_table, read_table, write_table
 
@@ -47,7 +47,8 @@ def dedup_daily_stats(stats: DataFrame) -> DataFrame:
 
 def build_fact_media_daily_stats(stats: DataFrame, config: DataFrame) -> DataFrame:
     """One row per media and snapshot date, with totals cumulative up to that date."""
-    snapshots = stats.withColumn("snapshot_date", F.col("ingest_date"))
+    used = select_existing(stats, [*columns_of("fact_media_daily_stats"), "source_file"])
+    snapshots = used.withColumn("snapshot_date", F.col("ingest_date"))
     keyed = with_channel(dedup_daily_stats(snapshots), config).withColumn(
         "media_daily_stats_key", F.concat_ws("_", "media_hashed_id", "snapshot_date")
     )
@@ -62,7 +63,9 @@ def build_fact_media_engagement(
     ``events_unique`` says that ``events`` holds each event key once already, as a silver table
     does that was just rebuilt; it saves shuffling the widest table of the lake a second time.
     """
-    unique = events if events_unique else dedup_events(events)
+    # Only what the fact keeps is read and shuffled, plus the file that orders the copies.
+    used = select_existing(events, [*columns_of("fact_media_engagement"), "source_file"])
+    unique = used if events_unique else dedup_events(used)
     keyed = with_channel(unique, config).withColumns(
         {"media_engagement_key": F.col("event_key"), "event_date": F.to_date("received_at")}
     )
@@ -128,8 +131,10 @@ def build_dim_visitor(
     """One row per visitor of the events; visitor summaries only fill what events leave NULL."""
     profiles = visitor_profiles(events, mean)
     if visitors is not None:
+        order = ("ingest_date", "last_active_at", "source_file")
+        used = visitors.select(*dict.fromkeys(("visitor_key", *order, *_FROM_SUMMARY.values())))
         # A NULL key joins nothing, so it need not be shuffled.
-        known = dedup_visitors(visitors.where(F.col("visitor_key").isNotNull()))
+        known = dedup_visitors(used.where(F.col("visitor_key").isNotNull()))
         summary = known.select(
             "visitor_key", *[F.col(c).alias(f"_summary_{a}") for a, c in _FROM_SUMMARY.items()]
         )
