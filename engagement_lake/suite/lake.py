@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from engagement_lake.plans.silver import dedup_events
 from engagement_lake.sources.raw import land_raw_json, scan_raw_json, with_path_metadata
 from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
 from engagement_lake.sources.session import scratch_path
+from engagement_lake.sources.tables import read_table, write_table
 from engagement_lake.suite import adapters
 
 # Raw zones landed by this process, so that the queries over one share it.
@@ -46,6 +47,21 @@ class Lake(Mapping):
     def config(self) -> DataFrame:
         return adapters.config(self.spark)
 
+    @cached_property
+    def unique_events(self) -> DataFrame:
+        """Silver events as a written table: several aggregates read it, dedup runs once."""
+        base = scratch_path(self.spark, "silver")
+        write_table(dedup_events(self.events), base, "events")
+        return read_table(self.spark, base, "events")
+
+    def write(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Write tables that are read more than once; what is built on them reads them back."""
+        base = scratch_path(self.spark, "tables")
+        for name in names:
+            write_table(self[name], base, name)
+            self._frames[name] = read_table(self.spark, base, name)
+        return {name: self._frames[name] for name in names}
+
     def _build(self) -> dict[str, Callable[[], DataFrame]]:
         mean = adapters.exact_mean
         return {
@@ -57,7 +73,7 @@ class Lake(Mapping):
                 self.events, self.config
             ),
             "dim_visitor": lambda: gold.build_dim_visitor(
-                dedup_events(self.events), self.visitors, mean
+                self.unique_events, self.visitors, mean
             ),
             "mart_channel_performance": lambda: marts.build_mart_channel_performance(
                 self["fact_media_daily_stats"], self["fact_media_engagement"], self["dim_media"], mean
@@ -69,7 +85,8 @@ class Lake(Mapping):
                 self["fact_media_engagement"], mean
             ),
             "mart_visitor_engagement": lambda: marts.build_mart_visitor_engagement(
-                self["dim_visitor"], self["fact_media_engagement"]
+                self["dim_visitor"],
+                gold.build_fact_media_engagement(self.unique_events, self.config, True),
             ),
         }
 

@@ -530,7 +530,8 @@ def join_media_names(lake):
 @query("""SELECT d.visitor_key, event_count, channels_seen, media_seen, completed_event_count
     FROM dim_visitor d LEFT JOIN viewing v ON d.visitor_key = v.visitor_key""")
 def join_visitor_channels(lake):
-    viewing = marts.visitor_viewing(lake["fact_media_engagement"])
+    fact = gold.build_fact_media_engagement(lake.unique_events, lake.config, True)
+    viewing = marts.visitor_viewing(fact)
     return lake["dim_visitor"].join(viewing, "visitor_key", "left").select(
         "visitor_key", "event_count", "channels_seen", "media_seen", "completed_event_count"
     )
@@ -631,7 +632,8 @@ def last_nonnull(lake):
         ("received_at", "event_key"),
         (("ip_address", "longitude"), ("email",), ("browser",), ("ingest_date",)),
     )
-    latest = silver.dedup_events(lake.events).groupBy("visitor_key").agg(*attributes.aggregates)
+    unique = silver.dedup_events(lake.events)
+    latest = unique.groupBy("visitor_key").agg(*attributes.aggregates)
     return attributes.resolve(latest)
 
 
@@ -919,13 +921,13 @@ def _layer_sql(layer: str, tables: tuple[str, ...]) -> str:
 
 @query(_layer_sql("Gold", schemas.GOLD_TABLES))
 def gold_checks(lake):
-    tables = {t: lake[t] for t in schemas.GOLD_TABLES}
+    tables = lake.write(schemas.GOLD_TABLES)
     return quality.gold_checks(lake.spark, tables, CHANNELS).select("check_name", "passed")
 
 
 @query(_layer_sql("Mart", schemas.MART_TABLES))
 def mart_checks(lake):
-    tables = {t: lake[t] for t in schemas.MART_TABLES}
+    tables = lake.write(schemas.MART_TABLES)
     return quality.mart_checks(lake.spark, tables, CHANNELS).select("check_name", "passed")
 
 
@@ -935,8 +937,8 @@ def mart_checks(lake):
           {_layer_sql('Mart', schemas.MART_TABLES)})""")
 def run_validation(lake):
     layers = [
-        quality.gold_checks(lake.spark, {t: lake[t] for t in schemas.GOLD_TABLES}, CHANNELS),
-        quality.mart_checks(lake.spark, {t: lake[t] for t in schemas.MART_TABLES}, CHANNELS),
+        quality.gold_checks(lake.spark, lake.write(schemas.GOLD_TABLES), CHANNELS),
+        quality.mart_checks(lake.spark, lake.write(schemas.MART_TABLES), CHANNELS),
     ]
     return layers[0].unionByName(layers[1]).agg(
         F.count(F.lit(1)).alias("checks"),
