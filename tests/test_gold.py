@@ -189,3 +189,15 @@ def test_small_configuration_is_broadcast_and_a_large_one_is_not(spark, silver):
 def test_dedup_limits_each_key_before_the_shuffle(silver):
     plan = _plan(silver_plans.dedup_events(silver("events", [event("e1")] * 2).repartition(3)))
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_hot_keys_keep_one_row_each(spark):
+    """A third of the rows are copies of one event, a third have no key."""
+    copies = spark.range(30000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('e', id) END AS event_key",
+        "IF(id % 3 = 0, CAST(30000 - id AS INT), 1) AS source_page", "'2024-01-01' AS ingest_date",
+        "CAST(NULL AS STRING) AS source_file",
+    )
+    kept = silver_plans.dedup_events(copies.repartition(8))
+    assert kept.count() == 10002
+    assert kept.where("event_key = 'hot'").head()["source_page"] == 3
