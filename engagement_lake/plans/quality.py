@@ -24,6 +24,35 @@ QUOTED_VALUES = 20
 TRACKED_VALUES = 1000
 
 
+# The name of each check and what its message says. "%s" is a measured value.
+NAMES = {
+    "exists": "{layer} table exists: {table}",
+    "non_empty": "{table}: non-empty",
+    "row_count": "{table}: expected row count",
+    "column": "{table}: column exists: {column}",
+    "required": "{table}: required columns",
+    "no_nulls": "{table}: no nulls: {column}",
+    "unique": "{table}: unique: {column}",
+    "allowed": "{table}: allowed values: {column}",
+    "range": "{table}: numeric range: {column}",
+}
+MESSAGES = {
+    "exists": "Expected table: {where}",
+    "non_empty": "{table} row count: %s",
+    "row_count": "Expected {expected}, found %s",
+    "column": "Columns available: {columns}",
+    "required_found": "All required columns found.",
+    "required_missing": "Missing columns: {columns}",
+    "no_column": "Column does not exist: {column}",
+    "no_nulls": "Null count for {column}: %s",
+    "unique": "Duplicate count for {column}: %s",
+    "allowed": "Allowed values: {allowed}; null count: %s; unexpected rows: %s; "
+    "unexpected values: [%s]",
+    "range": "{column} range observed: %s to %s; below min count: %s; above max count: %s",
+    "no_number": "No numeric values found in {column}",
+}
+
+
 @dataclass(frozen=True)
 class Check:
     """``passed`` and ``message`` are expressions over the named aggregates."""
@@ -35,17 +64,17 @@ class Check:
     shuffles: bool = False
 
 
-def _text(*parts) -> Column:
-    return F.concat(
-        *[
-            F.coalesce(p.cast("string"), F.lit("none")) if isinstance(p, Column) else F.lit(str(p))
-            for p in parts
-        ]
-    )
+def _message(key: str, *measured: Column, **known) -> Column:
+    template = MESSAGES[key].format(**{k: str(v).replace("%", "%%") for k, v in known.items()})
+    return F.format_string(template, *measured)
 
 
-def _missing_column(name: str, column: str) -> Check:
-    return Check(name, F.lit(False), F.lit(f"Column does not exist: {column}"))
+def _on_column(key: str, df: DataFrame, table: str, column: str, build) -> Check:
+    """``build(name)``, or the failed check if the table lacks the column."""
+    name = NAMES[key].format(table=table, column=column)
+    if column in df.columns:
+        return build(name)
+    return Check(name, F.lit(False), _message("no_column", column=column))
 
 
 def _rows() -> dict[str, Column]:
@@ -57,116 +86,98 @@ def _nulls(column: str) -> dict[str, Column]:
 
 
 def non_empty(df: DataFrame, table: str) -> Check:
-    rows = F.col("rows")
-    return Check(f"{table}: non-empty", rows > 0, _text(f"{table} row count: ", rows), _rows())
+    name, rows = NAMES["non_empty"].format(table=table), F.col("rows")
+    return Check(name, rows > 0, _message("non_empty", rows, table=table), _rows())
 
 
 def row_count(df: DataFrame, table: str, expected: int) -> Check:
-    rows = F.col("rows")
-    return Check(
-        f"{table}: expected row count",
-        rows == expected,
-        _text(f"Expected {expected}, found ", rows),
-        _rows(),
-    )
+    name, rows = NAMES["row_count"].format(table=table), F.col("rows")
+    return Check(name, rows == expected, _message("row_count", rows, expected=expected), _rows())
 
 
 def column_exists(df: DataFrame, table: str, column: str) -> Check:
-    return Check(
-        f"{table}: column exists: {column}",
-        F.lit(column in df.columns),
-        F.lit(f"Columns available: {df.columns}"),
-    )
+    name = NAMES["column"].format(table=table, column=column)
+    return Check(name, F.lit(column in df.columns), _message("column", columns=df.columns))
 
 
 def required_columns(df: DataFrame, table: str, columns: Iterable[str]) -> Check:
     missing = [c for c in columns if c not in df.columns]
-    message = f"Missing columns: {missing}" if missing else "All required columns found."
-    return Check(f"{table}: required columns", F.lit(not missing), F.lit(message))
+    message = _message("required_missing" if missing else "required_found", columns=missing)
+    return Check(NAMES["required"].format(table=table), F.lit(not missing), message)
 
 
 def no_nulls(df: DataFrame, table: str, column: str) -> Check:
-    name = f"{table}: no nulls: {column}"
-    if column not in df.columns:
-        return _missing_column(name, column)
     nulls = F.col(f"nulls_{column}")
-    return Check(name, nulls == 0, _text(f"Null count for {column}: ", nulls), _nulls(column))
+    message = _message("no_nulls", nulls, column=column)
+    return _on_column(
+        "no_nulls", df, table, column, lambda n: Check(n, nulls == 0, message, _nulls(column))
+    )
 
 
 def unique(df: DataFrame, table: str, column: str) -> Check:
     """Every row beyond the first of its value is a duplicate; NULL is a value."""
-    name = f"{table}: unique: {column}"
-    if column not in df.columns:
-        return _missing_column(name, column)
     distinct = f"distinct_{column}"
-    nulls = F.col(f"nulls_{column}")
-    duplicates = F.col("rows") - F.col(distinct) - F.least(nulls, F.lit(1))
-    return Check(
-        name,
-        duplicates == 0,
-        _text(f"Duplicate count for {column}: ", duplicates),
-        {**_rows(), **_nulls(column), distinct: F.count_distinct(column)},
-        shuffles=True,
-    )
+    null_group = F.least(F.col(f"nulls_{column}"), F.lit(1))
+    duplicates = F.col("rows") - F.col(distinct) - null_group
+
+    def build(name: str) -> Check:
+        aggregates = {**_rows(), **_nulls(column), distinct: F.count_distinct(column)}
+        message = _message("unique", duplicates, column=column)
+        return Check(name, duplicates == 0, message, aggregates, shuffles=True)
+
+    return _on_column("unique", df, table, column, build)
 
 
 def allowed_values(df: DataFrame, table: str, column: str, allowed: Iterable[str]) -> Check:
     """NULL is not allowed. The message quotes the most frequent unexpected values."""
-    name = f"{table}: allowed values: {column}"
-    if column not in df.columns:
-        return _missing_column(name, column)
     allowed = sorted(allowed)
-    unexpected = ~F.col(column).cast("string").isin(allowed)
-    count, quoted = f"unexpected_{column}", f"unexpected_values_{column}"
     nulls = F.col(f"nulls_{column}")
-    strange = F.when(unexpected, F.col(column).cast("string"))
-    values = F.filter(F.col(f"{quoted}.item"), lambda v: v.isNotNull())
-    return Check(
-        name,
-        (F.col(count) == 0) & (nulls == 0),
-        _text(
-            f"Allowed values: {allowed}; null count: ",
-            nulls,
-            "; unexpected rows: ",
-            F.col(count),
-            "; unexpected values: [",
-            F.array_join(F.array_sort(values), ", "),
-            "]",
-        ),
-        {
-            **_nulls(column),
-            count: F.count_if(unexpected),
-            quoted: F.call_function(
-                "approx_top_k", strange, F.lit(QUOTED_VALUES), F.lit(TRACKED_VALUES)
-            ),
-        },
-    )
+    count, quoted = F.col(f"unexpected_{column}"), F.col(f"unexpected_values_{column}")
+
+    def build(name: str) -> Check:
+        value = F.col(column).cast("string")
+        unexpected = ~value.isin(allowed)
+        top = F.call_function(
+            "approx_top_k", F.when(unexpected, value), F.lit(QUOTED_VALUES), F.lit(TRACKED_VALUES)
+        )
+        values = F.filter(quoted["item"], lambda v: v.isNotNull())
+        shown = F.array_join(F.array_sort(values), ", ")
+        return Check(
+            name,
+            (count == 0) & (nulls == 0),
+            _message("allowed", nulls, count, shown, allowed=allowed),
+            {
+                **_nulls(column),
+                f"unexpected_{column}": F.count_if(unexpected),
+                f"unexpected_values_{column}": top,
+            },
+        )
+
+    return _on_column("allowed", df, table, column, build)
 
 
 def numeric_range(df: DataFrame, table: str, column: str, low: float, high: float) -> Check:
     """Inclusive; NULL and text that is no number are ignored, but some number has to be there."""
-    name = f"{table}: numeric range: {column}"
-    if column not in df.columns:
-        return _missing_column(name, column)
-    number = F.col(column).try_cast("double")
-    number = F.when(~F.isnan(number), number)
-    below, above = F.col(f"below_{column}"), F.col(f"above_{column}")
     smallest, largest = F.col(f"min_{column}"), F.col(f"max_{column}")
-    observed = _text(
-        f"{column} range observed: ", smallest, " to ", largest,
-        "; below min count: ", below, "; above max count: ", above,
-    )
-    return Check(
-        name,
-        smallest.isNotNull() & (below == 0) & (above == 0),
-        F.when(smallest.isNull(), f"No numeric values found in {column}").otherwise(observed),
-        {
-            f"min_{column}": F.min(number),
-            f"max_{column}": F.max(number),
-            f"below_{column}": F.count_if(number < low),
-            f"above_{column}": F.count_if(number > high),
-        },
-    )
+    below, above = F.col(f"below_{column}"), F.col(f"above_{column}")
+
+    def build(name: str) -> Check:
+        number = F.col(column).try_cast("double")
+        number = F.when(~F.isnan(number), number)
+        observed = _message("range", smallest, largest, below, above, column=column)
+        return Check(
+            name,
+            smallest.isNotNull() & (below == 0) & (above == 0),
+            F.when(smallest.isNull(), _message("no_number", column=column)).otherwise(observed),
+            {
+                f"min_{column}": F.min(number),
+                f"max_{column}": F.max(number),
+                f"below_{column}": F.count_if(number < low),
+                f"above_{column}": F.count_if(number > high),
+            },
+        )
+
+    return _on_column("range", df, table, column, build)
 
 
 def evaluate(df: DataFrame, checks: Iterable[Check], first_no: int = 0) -> DataFrame:
@@ -353,7 +364,12 @@ def layer_checks(
     """Checks of one layer. If a table is absent, only existence is reported."""
     channels, expected_rows, where = list(channels), expected_rows or {}, where or {}
     existence = [
-        (n, f"{layer} table exists: {name}", df is not None, f"Expected table: {where.get(name, name)}")
+        (
+            n,
+            NAMES["exists"].format(layer=layer, table=name),
+            df is not None,
+            MESSAGES["exists"].format(where=where.get(name, name)),
+        )
         for n, (name, df) in enumerate(tables.items())
     ]
     results = spark.createDataFrame(existence, RESULT_DDL)

@@ -24,7 +24,7 @@ from engagement_lake.functions import (
 from engagement_lake.functions.names import snake_case_columns
 from engagement_lake.operators.aggregates import LatestValues
 from engagement_lake.operators.dedup import keep_first
-from engagement_lake.plans import gold, marts, quality, reports, silver
+from engagement_lake.plans import gold, lakehouse, marts, quality, reports, silver
 from engagement_lake.sources import schemas
 from engagement_lake.sources.raw import land_raw_json, today
 from engagement_lake.sources.session import scratch_path
@@ -368,6 +368,34 @@ def run_marts(lake):
     return reports.row_counts(tables, schemas.MART_TABLES)
 
 
+@query("""SELECT table_name, row_count FROM (
+    SELECT 'events' AS table_name, count(*) AS row_count FROM ev
+    UNION ALL SELECT 'media_metadata', count(*) FROM part
+    UNION ALL SELECT 'media_stats', count(*) FROM a_stats_once
+    UNION ALL SELECT 'visitors', count(*) FROM customer
+    UNION ALL SELECT 'dim_media', count(*) FROM part
+    UNION ALL SELECT 'fact_media_daily_stats', count(*) FROM fact_media_daily_stats
+    UNION ALL SELECT 'fact_media_engagement', count(*) FROM ev
+    UNION ALL SELECT 'dim_visitor', count(*) FROM profiles
+    UNION ALL SELECT 'mart_channel_performance', count(*) FROM mart_channel_performance
+    UNION ALL SELECT 'mart_geo_engagement', count(*) FROM mart_geo_engagement
+    UNION ALL SELECT 'mart_device_browser', count(*) FROM mart_device_browser
+    UNION ALL SELECT 'mart_visitor_engagement', count(*) FROM profiles)""")
+def run_lakehouse(lake):
+    """From landed JSON to marts; the counts are read back from the written tables."""
+    layers = {n: scratch_path(lake.spark, n) for n in ("silver", "gold", "marts")}
+    lakehouse.run_lakehouse(
+        lake.spark, _written_config(lake), lake.raw_base(), *layers.values(), validate=False
+    )
+    names = {
+        "silver": schemas.ENDPOINTS, "gold": schemas.GOLD_TABLES, "marts": schemas.MART_TABLES,
+    }
+    tables = {
+        t: read_table(lake.spark, layers[layer], t) for layer in layers for t in names[layer]
+    }
+    return reports.row_counts(tables, tuple(tables))
+
+
 # --- projections and filters ---------------------------------------------------------------
 
 @query("""SELECT visitor_key, visitor_email, CAST(NULL AS VARCHAR) AS visitor_org_title,
