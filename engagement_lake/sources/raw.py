@@ -16,9 +16,9 @@ PAGE_IN_PATH = r"page=(\d+)\.json"
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-# API documents are whole JSON values over many lines (*.json); files landed by Spark hold one
+# API documents are whole JSON values over many lines (*.json*); files landed by Spark hold one
 # record per line (*.txt), so they can be large and still be split.
-_DOCUMENTS = "*.json"
+_DOCUMENTS = "*.json*"
 _RECORD_LINES = "*.txt*"
 
 
