@@ -47,6 +47,9 @@ COMMON, COMMON_FROM = 500_000, 8
 LARGEST_SMALL = 64
 # Shingles after which a task reports the repeated ones among them.
 COUNTED = 4 << 20
+# Bits of the filter of needed texts, and bytes kept of each element while pairs are verified.
+FILTER_BITS = 1 << 24
+PACKED = 6
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20
 
@@ -227,13 +230,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
         keep = []
         for a, b in zip(left, right):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            a, b = _unpacked(a), _unpacked(b)
             together = np.sort(np.concatenate([a, b]))
             overlap = int((together[1:] == together[:-1]).sum())
             keep.append(overlap * (NUM + DEN) >= NUM * (len(a) + len(b)))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The upper ``PACKED`` bytes of each hash: enough to tell apart the elements of two sets."""
+    kept = (values >> np.uint64(64 - 8 * PACKED)).astype("<u8")
+    return kept.view(np.uint8).reshape(-1, 8)[:, :PACKED].tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // PACKED, 8), np.uint8)
+    out[:, :PACKED] = np.frombuffer(packed, np.uint8).reshape(-1, PACKED)
+    return out.view("<u8").ravel()
+
+
 class SetStore:
     """Sets of the documents that pairs need, taken from the texts once for each set."""
 
@@ -246,23 +261,34 @@ class SetStore:
         wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
         if self.sets is not None:
             wanted = wanted.join(self.sets, "sig", "left_anti")
-        # One document of each set; a document is known by its key and its text's hash.
-        holder = F.min(F.struct("key", "hash")).alias("holder")
-        holders = self.described.join(wanted, "sig").groupBy("sig").agg(holder)
-        holders = holders.select("sig", F.col("holder.key").alias("of"), F.col("holder.hash").alias("hash"))
+        # One text of each set. A filter of fixed size tells a task which texts it may need to
+        # shingle, so that no text is shuffled; what it lets through by chance is joined away.
+        holders = self.described.join(wanted, "sig").groupBy("sig").agg(F.min("hash").alias("hash"))
+        place = F.pmod(F.xxhash64("hash"), F.lit(FILTER_BITS))
+        bit = F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits")
+        words = holders.select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("word"))
+        words = words.agg(bit).toPandas()  # bounded by FILTER_BITS
+        bits = np.zeros(FILTER_BITS // 64, np.int64)
+        bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+        held = self.docs.sparkSession.sparkContext.broadcast(bits)
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for rows in slices(batch, "text"):
+                at = batch.column("place").to_numpy()
+                needed = held.value.view(np.uint64)[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)
+                for rows in slices(batch.filter(pa.array(needed.astype(bool))), "text"):
                     values, offsets = shingle_sets(rows.column("text"), WIDTH)
-                    whole = values.tobytes()
-                    parts = [whole[8 * i : 8 * j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                    sig = set_signatures(values, offsets)
+                    sig, first = np.unique(sig, return_index=True)
+                    whole = _packed(values)
+                    ends = offsets * PACKED
+                    parts = [whole[ends[i] : ends[i + 1]] for i in first.tolist()]
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column("sig"), pa.array(parts, pa.binary())], names=["sig", "elements"]
+                        [pa.array(sig), pa.array(parts, pa.binary())], names=["sig", "elements"]
                     )
 
-        texts = self.docs.join(holders, "hash").where(F.col("key").eqNullSafe(F.col("of"))).select("sig", "text")
-        found = texts.mapInArrow(sets, "sig bigint, elements binary")
+        texts = self.docs.select(F.pmod(F.xxhash64("hash"), F.lit(FILTER_BITS)).alias("place"), "text")
+        found = texts.mapInArrow(sets, "sig bigint, elements binary").join(wanted, "sig", "left_semi")
         found = written(found.dropDuplicates(["sig"]), "sets")
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
