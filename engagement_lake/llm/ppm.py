@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.llm.store import read, written
-from engagement_lake.llm.units import slices, text_bytes
+from engagement_lake.llm.units import HASHED_BYTES, slices, text_bytes
 from engagement_lake.llm.words import WHITE, lowered, per_text, span_hashes, word_spans
 
 ORDER = 5
@@ -40,7 +40,7 @@ SYMBOLS = 257
 END = 256
 # Stands before a text; no byte of UTF-8.
 START = 0xFF
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 20 << 20
 PARTITION_BYTES = 16 << 20
 GRAM, WORD = 0, 1
 _END_WORD = np.int64(-1)
@@ -158,7 +158,7 @@ def short_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", HASHED_BYTES):
                 codes, _ = grams(*plain(*text_bytes(rows.column("text"))), SHORT)
                 found, n = np.unique(codes, return_counts=True)
                 keys, counts = _summed(np.r_[keys, found], np.r_[counts, n])
@@ -173,7 +173,7 @@ def _chunk_items(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]
     """The distinct grams and words of a chunk, with their counts in its training rows."""
     found = {GRAM: [], WORD: []}
     for batch in table.combine_chunks().to_batches():
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", HASHED_BYTES):
             data, offsets = plain(*text_bytes(rows.column("text")))
             train = rows.column("train").to_numpy(zero_copy_only=False)
             codes, ends = grams(data, offsets)
@@ -280,7 +280,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
 
         out = []
         for batch in table.combine_chunks().to_batches():
-            for rows in slices(batch, "text", 8 << 20):
+            for rows in slices(batch, "text", 3 * HASHED_BYTES):
                 data, offsets = plain(*text_bytes(rows.column("text")))
                 codes, ends = grams(data, offsets)
                 logs = np.diff(np.r_[0.0, np.cumsum(values_of(GRAM, codes))][ends])

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from engagement_lake.llm.components import connected
 from engagement_lake.llm.shingles import parity_bitmaps, set_signatures, shingle_sets
 from engagement_lake.llm.store import read, written
-from engagement_lake.llm.units import slices
+from engagement_lake.llm.units import HASHED_BYTES, slices
 from engagement_lake.llm.words import mixed, owners
 
 WIDTH = 5
@@ -46,7 +46,7 @@ COMMON, COMMON_FROM = 500_000, 8
 # Sets of this size and more are always large: their subsets would be too many.
 LARGEST_SMALL = 64
 # Shingles after which a task reports the repeated ones among them.
-COUNTED = 4 << 20
+COUNTED = 2 << 20
 # Bits of the filter of needed texts, and bytes kept of each element while pairs are verified.
 FILTER_BITS = 1 << 24
 PACKED = 6
@@ -85,7 +85,7 @@ def _describe(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             key_type = batch.schema.field("key").type
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", HASHED_BYTES):
                 values, offsets = shingle_sets(rows.column("text"), WIDTH)
                 sizes, sig = np.diff(offsets), set_signatures(values, offsets)
                 bitmaps = parity_bitmaps(values, offsets, BITS)
@@ -151,7 +151,7 @@ def _entries(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], boundary: i
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         elements, counts = held.value
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", HASHED_BYTES):
                 values, offsets = shingle_sets(rows.column("text"), WIDTH)
                 sizes, sig = np.diff(offsets), set_signatures(values, offsets)
                 _, first = np.unique(sig, return_index=True)
@@ -276,7 +276,7 @@ class SetStore:
             for batch in batches:
                 at = batch.column("place").to_numpy()
                 needed = held.value.view(np.uint64)[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)
-                for rows in slices(batch.filter(pa.array(needed.astype(bool))), "text"):
+                for rows in slices(batch.filter(pa.array(needed.astype(bool))), "text", HASHED_BYTES):
                     values, offsets = shingle_sets(rows.column("text"), WIDTH)
                     sig = set_signatures(values, offsets)
                     sig, first = np.unique(sig, return_index=True)
@@ -318,7 +318,7 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     entry, size, component, sig = entry[order], size[order], component[order], sig[order]
     ends = np.searchsorted(entry, entry, side="right")
     n = ends - np.arange(len(entry)) - 1
-    block = 1 << 20
+    block = 1 << 18
     begin = 0
     total = np.cumsum(n)
     while begin < len(entry):

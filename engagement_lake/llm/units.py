@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+# For work that makes several 64-bit values of every byte.
+HASHED_BYTES = 1 << 20
 REMEMBERED = 700_000
 
 _VISIBLE_ASCII = np.zeros(256, bool)
