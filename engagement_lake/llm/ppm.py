@@ -40,8 +40,8 @@ SYMBOLS = 257
 END = 256
 # Stands before a text; no byte of UTF-8.
 START = 0xFF
-CHUNK_BYTES = 20 << 20
-PARTITION_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
+PARTITION_BYTES = 8 << 20
 GRAM, WORD = 0, 1
 _END_WORD = np.int64(-1)
 

@@ -9,10 +9,11 @@ boundary between small and large is where the estimated cost is least: entries,
 scan.
 
 Equal sets are one (told by 64 bits of all elements and the size). Sets that stand under one key are
-compared with the key's smallest set first; only keys whose sets then still belong to different
-components have the pairs across them compared too. So a group of thousands of near copies costs
-one comparison a copy, and no link between different components is missed. Pairs are sifted by
-bitmaps that bound the overlap, and the rest verified on the sets, recomputed from the texts.
+compared with the key's smallest set first; then, under keys whose sets still belong to different
+components, with ``PIVOTS`` others; and at last all pairs across components are compared. So a group
+of thousands of near copies costs a few comparisons a copy, and no link between different components
+is missed. Pairs are sifted by bitmaps that bound the overlap, and the rest verified on the sets,
+recomputed from the texts.
 
 Which elements are common is counted over all documents, one table of at most ``COMMON`` elements;
 it affects only the order, so no result depends on it.
@@ -50,6 +51,9 @@ COUNTED = 2 << 20
 # Bits of the filter of needed texts, and bytes kept of each element while pairs are verified.
 FILTER_BITS = 1 << 24
 PACKED = 6
+# Sets of a key that meet all others before the rest is compared, and pairs made at a time.
+PIVOTS = 8
+PAIR_BLOCK = 1 << 17
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20
 
@@ -210,18 +214,24 @@ def _compatible(a: str, b: str):
     return (F.col(a) * DEN >= F.col(b) * NUM) & (F.col(b) * DEN >= F.col(a) * NUM)
 
 
+def _bitmap_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BITS // 8)
+
+
+def _possible(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Whether the bitmaps of two sets of so many elements leave it possible that they are similar.
+
+    The overlap is at most half of what the bitmaps leave, and has to be NUM / (NUM + DEN) of both.
+    """
+    apart = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return (NUM + DEN) * (both - apart) >= 2 * NUM * both
+
+
 def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose bitmaps leave it possible that they are similar."""
-    ones = np.array([bin(i).count("1") for i in range(256)], np.uint16)
     for batch in batches:
-        bits = [
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8)
-            for c in ("bits_a", "bits_b")
-        ]
-        apart = ones[bits[0] ^ bits[1]].sum(axis=1)
         both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-        # The overlap is at most (both - apart) / 2, and has to be NUM / (NUM + DEN) of both.
-        keep = (NUM + DEN) * (both - apart) >= 2 * NUM * both
+        keep = _possible(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b")), both)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -304,34 +314,46 @@ class SetStore:
         return sifted.join(sets["a"], "a").join(sets["b"], "b").mapInArrow(_verify, "a bigint, b bigint")
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets of compatible size under one key but in different components, each once.
+def _cross_pairs(pivots: int | None):
+    """Pairs of sets under one key, of compatible size and in different components, that bitmaps allow.
 
-    A partition comes sorted by key, component and size. Each set meets the run of later ones of its
-    key that its size allows, a bounded block at a time.
+    With ``pivots``, only so many sets of a key, by hash, meet the others; without, all do. Pairs are
+    made a bounded block at a time.
     """
-    parts = [[batch.column(n).to_numpy() for n in ("entry", "size", "component", "sig")] for batch in batches]
-    if not parts:
-        return
-    entry, size, component, sig = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((sig, size, entry))
-    entry, size, component, sig = entry[order], size[order], component[order], sig[order]
-    ends = np.searchsorted(entry, entry, side="right")
-    n = ends - np.arange(len(entry)) - 1
-    block = 1 << 18
-    begin = 0
-    total = np.cumsum(n)
-    while begin < len(entry):
-        done = total[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(total, done + block, side="right")))
-        first = np.repeat(np.arange(begin, end), n[begin:end])
-        step = np.arange(len(first)) - np.repeat(np.cumsum(n[begin:end]) - n[begin:end], n[begin:end])
-        second = first + 1 + step
-        keep = (component[first] != component[second]) & (size[first] * DEN >= size[second] * NUM)
-        a, b = sig[first[keep]], sig[second[keep]]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-        begin = end
+
+    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, bitmaps = [], []
+        for batch in batches:
+            parts.append([batch.column(n).to_numpy() for n in ("entry", "size", "component", "sig")])
+            bitmaps.append(_bitmap_rows(batch.column("bits")))
+        if not parts:
+            return
+        entry, size, component, sig = (np.concatenate(x) for x in zip(*parts))
+        bits = np.concatenate(bitmaps)
+        order = np.lexsort((mixed(sig.view(np.uint64)), entry))
+        entry, size, component, sig, bits = (x[order] for x in (entry, size, component, sig, bits))
+        every = np.arange(len(entry))
+        n = np.searchsorted(entry, entry, side="right") - every - 1
+        if pivots is not None:
+            n[every - np.searchsorted(entry, entry) >= pivots] = 0
+        total = np.cumsum(n)
+        begin = 0
+        while begin < len(entry):
+            done = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, done + PAIR_BLOCK, side="right")))
+            first = np.repeat(every[begin:end], n[begin:end])
+            step = np.arange(len(first)) - np.repeat(np.cumsum(n[begin:end]) - n[begin:end], n[begin:end])
+            second = first + 1 + step
+            a, b = size[first], size[second]
+            keep = (component[first] != component[second]) & (np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM)
+            first, second = first[keep], second[keep]
+            keep = _possible(bits[first], bits[second], size[first] + size[second])
+            a, b = sig[first[keep]], sig[second[keep]]
+            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            begin = end
+
+    return pairs_of
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -362,20 +384,25 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     smallest = smallest.select("entry", F.col("least.sig").alias("a"), F.col("least.size").alias("size_a"))
     near = lists.join(smallest, "entry").where(_compatible("size", "size_a") & (F.col("sig") != F.col("a")))
     pairs = near.select(F.least("a", "sig").alias("a"), F.greatest("a", "sig").alias("b")).distinct()
+    pairs = written(pairs, "near")
     store = SetStore(rows, described)
     links = written(store.similar(pairs), "similar")
 
-    # Keys whose sets are not yet of one component: the pairs across, less those compared.
-    groups = connected(links)
-    named = lists.join(groups, lists["sig"] == groups["node"], "left")
-    named = named.select("entry", "sig", "size", F.coalesce("component", "sig").alias("component"))
-    named = written(named, "named-lists")
-    mixed_keys = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed_keys = mixed_keys.where("lo <> hi").select("entry")
-    across = named.join(mixed_keys, "entry").repartition(partitions, "entry")
-    across = across.mapInArrow(_cross_pairs, "a bigint, b bigint").distinct()
-    across = across.join(pairs, ["a", "b"], "left_anti")
-    links = written(links.unionByName(store.similar(across)), "similar")
+    # Keys whose sets are not yet of one component: first a few sets of each meet the others across,
+    # which joins most of what hangs together, then all that are still apart.
+    done = pairs
+    for pivots in (PIVOTS, None):
+        groups = connected(links)
+        named = lists.join(groups, lists["sig"] == groups["node"], "left")
+        named = named.select("entry", "sig", "size", F.coalesce("component", "sig").alias("component"))
+        named = written(named, "named-lists")
+        apart = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        across = named.join(apart.where("lo <> hi").select("entry"), "entry")
+        across = across.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
+        across = across.mapInArrow(_cross_pairs(pivots), "a bigint, b bigint").distinct()
+        across = written(across.join(done, ["a", "b"], "left_anti"), "across")
+        links = written(links.unionByName(store.similar(across)), "similar")
+        done = done.unionByName(across)
 
     groups = connected(links)
     ends = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig")))
