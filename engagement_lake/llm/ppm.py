@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.llm.store import read, written
-from engagement_lake.llm.units import HASHED_BYTES, slices, text_bytes
+from engagement_lake.llm.units import HASHED_BYTES, give_back, slices, text_bytes
 from engagement_lake.llm.words import WHITE, lowered, per_text, span_hashes, word_spans
 
 ORDER = 5
@@ -163,6 +163,7 @@ def short_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 found, n = np.unique(codes, return_counts=True)
                 keys, counts = _summed(np.r_[keys, found], np.r_[counts, n])
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["code", "n"])
+        give_back()
 
     counted = docs.where("train").select("text").mapInArrow(count, "code bigint, n bigint")
     total = counted.groupBy("code").agg(F.sum("n").alias("n")).toPandas()
@@ -228,7 +229,9 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
     dealt = rows.withColumn("chunk", chunk).repartition("chunk")
 
     def list_items(chunk_key: tuple, table: pa.Table) -> pa.Table:
-        return _item_batches(chunk_key[0].as_py(), _chunk_items(table))
+        items = _item_batches(chunk_key[0].as_py(), _chunk_items(table))
+        give_back()
+        return items
 
     items = dealt.groupBy("chunk").applyInArrow(list_items, _ITEM)
     nearest = F.shiftright("key", 9 + 8 * (ORDER - SHORT - 1))
@@ -265,6 +268,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
                     [*map(pa.array, columns), pa.array(owned[cut])],
                     names=["chunk", "kind", "key", "value", "owned"],
                 )
+        give_back()
 
     values = items.repartition(partitions, route).mapInArrow(look_up, _VALUE)
 
@@ -296,6 +300,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
                 if not out and len(new):
                     new[0] = owned  # each training word is counted in one chunk, there once
                 out.append(pa.RecordBatch.from_arrays([*columns, pa.array(new)], names=_SCORED))
+        give_back()
         return pa.Table.from_batches(out)
 
     kind = rows.schema["key"].dataType.simpleString()

@@ -52,7 +52,7 @@ COUNTED = 2 << 20
 FILTER_BITS = 1 << 24
 PACKED = 6
 # Sets of a key that meet all others before the rest is compared, and pairs made at a time.
-PIVOTS = 8
+PIVOTS = 3
 PAIR_BLOCK = 1 << 17
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20

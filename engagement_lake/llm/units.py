@@ -7,6 +7,7 @@ far fewer distinct pieces than pieces, so the tokenizer sees each distinct piece
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,14 @@ _VISIBLE_ASCII[0x21:0x7F] = True
 _LATIN = 0xC3
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a reused Python worker would keep its peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts one after another, and the n + 1 offsets. A null text is empty."""
     if isinstance(texts, pa.ChunkedArray):
