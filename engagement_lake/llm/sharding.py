@@ -57,11 +57,11 @@ def write_shards(
     place = F.col("shard") * buckets + F.col("bucket")
     gathered = (
         rows.withColumn("place", place)
-        .repartitionById(shards * buckets, F.col("place"))
+        .repartition(shards * buckets, "place")  # the grouping needs no exchange of its own
         .groupBy("place", "shard", "bucket")
         .agg(F.sort_array(F.collect_list(F.struct("scatter", "row"))).alias("rows"))
     )
-    # A bucket is a partition of its own, so the seeded permutation depends on nothing else.
+    # A bucket is permuted whole, in one task; an attempt's rows are written all or not at all.
     shuffled = gathered.select("shard", "bucket", F.shuffle("rows", seed).alias("rows"))
     placed = shuffled.select("shard", "bucket", F.posexplode("rows").alias("position", "entry"))
     placed.select("shard", "bucket", "position", "entry.row").write.partitionBy("shard").parquet(path)
