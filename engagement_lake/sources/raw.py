@@ -16,33 +16,62 @@ PAGE_IN_PATH = r"page=(\d+)\.json"
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-# API documents are whole JSON values over many lines (*.json*); files landed by Spark hold one
-# record per line (*.txt), so they can be large and still be split.
-_DOCUMENTS = "*.json*"
-_RECORD_LINES = "*.txt*"
-
-
-def scan_raw_json(spark: SparkSession, base: str, endpoint: str) -> DataFrame | None:
-    """All records below ``base/endpoint`` with their ``source_file``; None if it is absent."""
-
-    def scan(files: str, multi_line: bool) -> DataFrame:
-        return (
-            spark.read.schema(RAW_DDL[endpoint])
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", files)
-            .option("multiLine", multi_line)
-            .json(table_path(base, endpoint))
-            .withColumn("source_file", F.col("_metadata.file_path"))
-        )
-
-    if not path_exists(spark, table_path(base, endpoint)):
+# Files that are known to hold one record per line: they can be large and are still split.
+_RECORD_LINES = r"\.(txt|jsonl|ndjson)[^/]*$"
+
+LAYOUTS = ("lines", "documents")
+
+
+def scan_raw_json(
+    spark: SparkSession, base: str, endpoint: str, layout: str | None = None
+) -> DataFrame | None:
+    """All records of all files below ``base/endpoint`` with their ``source_file``; None if absent.
+
+    ``layout`` says what every file holds: ``lines`` (one JSON value per line) or ``documents`` (one
+    JSON value). Without it, files named ``*.txt*``, ``*.jsonl*`` or ``*.ndjson*`` are lines, and every
+    other file, whatever its name, is lines if its first line is a whole JSON value and else a
+    document. A value is a record or an array of records; one that is no JSON gives a row without
+    any field, never none. Files that are not known to be lines are read whole, each in one task.
+    """
+    if layout is not None and layout not in LAYOUTS:
+        raise ValueError(f"unknown layout: {layout}")
+    path = table_path(base, endpoint)
+    if not path_exists(spark, path):
         return None
-    return scan(_DOCUMENTS, True).unionByName(scan(_RECORD_LINES, False))
+    reader = spark.read.option("recursiveFileLookup", True)
+    source_file = F.col("_metadata.file_path").alias("source_file")
+    lines = reader.schema(RAW_DDL[endpoint]).json(path).select("*", source_file)
+    if layout == "lines":
+        return lines
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    whole = whole.select("value", source_file)
+    if layout == "documents":
+        return _records(whole, F.array("value"), endpoint)
+    text = F.regexp_replace("value", r"^\s+", "")
+    first_line = F.substring_index(text, "\n", 1)
+    values = F.when(F.try_parse_json(first_line).isNotNull(), F.split("value", "\n"))
+    named = F.col("source_file").rlike(_RECORD_LINES)
+    records = _records(whole.where(~named), F.coalesce(values, F.array("value")), endpoint)
+    return lines.where(named).unionByName(records)
+
+
+def _records(files: DataFrame, values: Column, endpoint: str) -> DataFrame:
+    """The records of each file's JSON values."""
+    values = files.select("source_file", F.explode(values).alias("value")).where(r"value RLIKE '\\S'")
+    parsed = F.from_json("value", f"ARRAY<STRUCT<{RAW_DDL[endpoint]}>>")
+    # Text that is no JSON stays as a row; an empty array has no records.
+    parsed = F.coalesce(parsed, F.array(F.lit(None)))
+    return values.select("source_file", F.explode(parsed).alias("record")).select("record.*", "source_file")
 
 
 def _path_part(pattern: str) -> Column:
+    """The part as it was given: percent signs of the URI undone, then those of the folder name."""
     part = F.regexp_extract("source_file", pattern, 1)
-    return F.when(~part.isin("", _NULL_PARTITION), part)
+    part = F.when(~part.isin("", _NULL_PARTITION), part)
+    for _ in range(2):
+        # A plus sign stands for itself here; a folder that was never escaped stays as it is.
+        part = F.coalesce(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), part)
+    return part
 
 
 def with_path_metadata(df: DataFrame) -> DataFrame:

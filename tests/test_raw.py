@@ -163,3 +163,42 @@ def test_events_are_landed_with_their_page(spark, tmp_path):
 
 def test_raw_schemas_name_every_field_once():
     assert set(RAW_DDL) == {"media_metadata", "media_stats", "visitors", "events"}
+
+
+def test_no_record_vanishes_whatever_the_file_is_called(spark, tmp_path):
+    import gzip
+
+    lines = "".join(json.dumps({"event_key": k}) + "\n" for k in "abcde")
+    names = ["part-0.jsonl", "lines.json", "page=2.ndjson", "page=1", "odd.log", "landed.txt"]
+    for n in names:
+        put(tmp_path, f"events/media_id=m1/{DAY}/{n}", lines)
+    for n in ("packed.json.gz", "packed.jsonl.gz"):
+        (tmp_path / f"events/media_id=m1/{DAY}/{n}").write_bytes(gzip.compress(lines.encode()))
+    put(tmp_path, f"events/media_id=m1/{DAY}/document", [{"event_key": "f"}, {"event_key": "g"}])
+    put(tmp_path, f"events/media_id=m1/{DAY}/one.json", '\n  [{"event_key": "h"}]\n')
+    put(tmp_path, f"events/media_id=m1/{DAY}/none.json", "[]")
+    put(tmp_path, f"events/media_id=m1/{DAY}/blank.json", " \n")
+    put(tmp_path, f"events/media_id=m1/{DAY}/broken.json", '[{"event_key": "i"')
+    found = scan_raw_json(spark, str(tmp_path), "events")
+    keys = sorted(str(r[0]) for r in found.select("event_key").collect())
+    assert keys == sorted([*"abcde"] * 8 + ["f", "g", "h", "None"])
+    bad = silver.malformed_event_rows(found).collect()
+    assert [r["source_file"].rsplit("/", 1)[1] for r in bad] == ["broken.json"]
+
+
+def test_layout_can_be_given(spark, tmp_path):
+    put(tmp_path, "events/x", '{"event_key": "a"}\n{"event_key": "b"}\n')
+    assert scan_raw_json(spark, str(tmp_path), "events", "lines").count() == 2
+    put(tmp_path, "visitors/x.txt", [{"visitor_key": "a"}, {"visitor_key": "b"}, {"visitor_key": "c"}])
+    assert scan_raw_json(spark, str(tmp_path), "visitors", "documents").count() == 3
+    with pytest.raises(ValueError, match="unknown layout"):
+        scan_raw_json(spark, str(tmp_path), "events", "csv")
+
+
+def test_media_ids_survive_the_path(spark, tmp_path):
+    ids = ["a b:c", "50%", "x=y", "p+q", "a%20b", "\u00e9\u4e2d", "s/t", "plain"]
+    stats = spark.createDataFrame([(i, 1) for i in ids], "media STRING, load_count INT")
+    land_raw_json(
+        stats, str(tmp_path), "media_stats", F.lit("2024-01-01"), F.col("media"), payload=["load_count"]
+    )
+    assert rows(flat(spark, tmp_path, "media_stats"), "media_hashed_id") == sorted([(i,) for i in ids], key=repr)
