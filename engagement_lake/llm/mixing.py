@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from engagement_lake.llm.store import read
+from engagement_lake.llm.store import read, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -86,26 +86,21 @@ def mix_sources(
         F.xxhash64(*columns, F.lit(seed)).alias("draw"),
         F.struct(*columns).alias("row"),
     )
-    targets = source_targets(rows.select("source", "size"), weights, share, most_times)
-    buckets = max(16, -(-docs.count() // BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.pmod(F.shiftright("draw", 8), F.lit(buckets)))
+    # The sums need no whole rows: sizes are measured once for all of them.
+    sizes = written(rows.drop("row"), "sizes")
+    targets = source_targets(sizes.select("source", "size"), weights, share, most_times)
+    buckets = max(16, -(-sizes.count() // BUCKET_ROWS))
+    bucket = F.pmod(F.shiftright("draw", 8), F.lit(buckets))
+    sizes, rows = sizes.withColumn("bucket", bucket), rows.withColumn("bucket", bucket)
 
     # Where each bucket of a source begins in its queue, with what is known of the source.
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    sums = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(*_RANGE_BEFORE)
     starts = sums.withColumn("start", F.coalesce(F.sum("bucket_size").over(in_source), F.lit(0)))
-    starts = _join_source(starts.drop("bucket_size"), targets, [])
+    starts = written(_join_source(starts.drop("bucket_size"), targets, []), "starts")
 
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("draw", "size")
-    queued = rows.withColumn("sent", F.sum("size").over(in_bucket.rowsBetween(*_RANGE_TO)))
-    queued = _join_source(queued, starts, ["bucket"])
-    sent = F.col("start") + F.col("sent")
-    finish = [
-        ((sent + F.col("source_size") * turn) / F.nullif("target", F.lit(0.0))) for turn in range(most_times)
-    ]
-    queued = queued.withColumns({f"finish_{turn}": f for turn, f in enumerate(finish)})
-
-    last = _last_paid(queued, share, most_times, buckets)
+    last = _last_paid(_queued(sizes, starts, most_times), share, most_times, buckets)
+    queued = _queued(rows, starts, most_times)
     copies = F.lit(0)
     for finish_time in [F.col(f"finish_{t}") for t in range(most_times)] if last else []:
         same_time = (finish_time == last["finish"]) & (F.col("source_rank") <= last["source_rank"])
@@ -121,6 +116,21 @@ def mix_sources(
     )
 
 
+def _queued(rows: DataFrame, starts: DataFrame, most_times: int) -> DataFrame:
+    """The rows with ``finish_0``, ``finish_1``, ...: the virtual finish time of each copy.
+
+    The order in a bucket is total but for rows equal in all columns, so every call agrees.
+    """
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("draw", "size")
+    sent = F.sum("size").over(in_bucket.rowsBetween(*_RANGE_TO))
+    queued = _join_source(rows.withColumn("sent", sent), starts, ["bucket"])
+    sent = F.col("start") + F.col("sent")
+    finish = [
+        ((sent + F.col("source_size") * turn) / F.nullif("target", F.lit(0.0))) for turn in range(most_times)
+    ]
+    return queued.withColumns({f"finish_{turn}": f for turn, f in enumerate(finish)})
+
+
 def _join_source(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on the source, null being a source, and further keys."""
     other = right.select(
@@ -168,7 +178,7 @@ def mixed_documents(mixed: DataFrame) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    narrow = docs.select("doc_id", "source", n_words("text").alias("n_words"))
+    narrow = written(docs.select("doc_id", "source", n_words("text").alias("n_words")), "word_counts")
     mixed = mix_sources(narrow, F.col("n_words"))
     return mixed.select(
         F.col("row.doc_id").alias("doc_id"),
