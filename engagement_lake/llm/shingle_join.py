@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from engagement_lake.llm.components import connected
 from engagement_lake.llm.shingles import parity_bitmaps, set_signatures, shingle_sets
 from engagement_lake.llm.store import read, written
-from engagement_lake.llm.units import HASHED_BYTES, slices
+from engagement_lake.llm.units import HASHED_BYTES, freed, slices
 from engagement_lake.llm.words import mixed, owners
 
 WIDTH = 5
@@ -129,7 +129,7 @@ def _describe(docs: DataFrame) -> DataFrame:
     schema = T.StructType().add("kind", "byte").add("key", docs.schema["key"].dataType)
     for name in names[2:]:
         schema = schema.add(name, "binary" if name == "bits" else "long")
-    return docs.mapInArrow(describe, schema)
+    return docs.mapInArrow(freed(describe), schema)
 
 
 def choose_boundary(costs: list) -> int:
@@ -190,7 +190,7 @@ def _entries(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], boundary: i
                     [pa.array(entry), pa.array(sig[owner]), pa.array(sizes[owner])], names=["entry", "sig", "size"]
                 )
 
-    return docs.select("text").mapInArrow(enter, "entry bigint, sig bigint, size bigint")
+    return docs.select("text").mapInArrow(freed(enter), "entry bigint, sig bigint, size bigint")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ class SetStore:
                     )
 
         texts = self.docs.select(F.pmod(F.xxhash64("hash"), F.lit(FILTER_BITS)).alias("place"), "text")
-        found = texts.mapInArrow(sets, "sig bigint, elements binary").join(wanted, "sig", "left_semi")
+        found = texts.mapInArrow(freed(sets), "sig bigint, elements binary").join(wanted, "sig", "left_semi")
         found = written(found.dropDuplicates(["sig"]), "sets")
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
@@ -307,11 +307,11 @@ class SetStore:
         side = {x: self.bitmaps.select(
             F.col("sig").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")
         ) for x in "ab"}
-        sifted = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(_sift, "a bigint, b bigint")
+        sifted = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(freed(_sift), "a bigint, b bigint")
         sifted = written(sifted, "pairs")
         self._fetch(sifted)
         sets = {x: self.sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab"}
-        return sifted.join(sets["a"], "a").join(sets["b"], "b").mapInArrow(_verify, "a bigint, b bigint")
+        return sifted.join(sets["a"], "a").join(sets["b"], "b").mapInArrow(freed(_verify), "a bigint, b bigint")
 
 
 def _cross_pairs(pivots: int | None):
@@ -377,7 +377,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     entries = _entries(rows, (elements[order], common["n"].to_numpy(np.int64)[order]), boundary)
     size = facts.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
     partitions = max(12, -(-int(size) * 6 // ENTRIES_BYTES))
-    lists = entries.repartition(partitions, "entry").mapInArrow(_shared, "entry bigint, sig bigint, size bigint")
+    lists = entries.repartition(partitions, "entry").mapInArrow(freed(_shared), "entry bigint, sig bigint, size bigint")
     lists = written(lists, "lists")
 
     smallest = lists.groupBy("entry").agg(F.min(F.struct("size", "sig")).alias("least"))
@@ -399,7 +399,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         apart = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         across = named.join(apart.where("lo <> hi").select("entry"), "entry")
         across = across.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
-        across = across.mapInArrow(_cross_pairs(pivots), "a bigint, b bigint").distinct()
+        across = across.mapInArrow(freed(_cross_pairs(pivots)), "a bigint, b bigint").distinct()
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
         links = written(links.unionByName(store.similar(across)), "similar")
         done = done.unionByName(across)

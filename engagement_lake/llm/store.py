@@ -11,11 +11,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Bytes of an Arrow batch handed to Python; Spark's own limit lets thousands of long texts through.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read from Parquet in the cluster's shared folder: lineage ends here."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

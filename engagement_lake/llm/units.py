@@ -33,6 +33,21 @@ def give_back() -> None:
         trim(0)
 
 
+def freed(work: Callable) -> Callable:
+    """The same work on Arrow batches, returning freed memory after each batch and at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                give_back()
+
+        yield from work(handed())
+        give_back()
+
+    return run
+
+
 def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts one after another, and the n + 1 offsets. A null text is empty."""
     if isinstance(texts, pa.ChunkedArray):

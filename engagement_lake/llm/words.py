@@ -47,8 +47,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def span_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span, by differences of one running polynomial."""
+    # In place: a very long text stands alone, and each array here is eight times its size.
     running = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, len(data)), out=running[1:])
+    terms = running[1:]
+    terms[:] = data
+    terms += np.uint64(1)
+    terms *= _power_table(_BASE, len(data))
+    np.cumsum(terms, out=terms)
     value = (running[ends] - running[begins]) * _power_table(_BASE_INVERSE, len(data) + 1)[begins]
     return mixed(value + (ends - begins).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
