@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from engagement_lake.plans.gold import run_gold
 from engagement_lake.plans.marts import run_marts
@@ -36,14 +35,10 @@ def run_lakehouse(
     )
     written |= run_marts(spark, gold_base, mart_base)
     if validate:
-        stats = read_table(spark, gold_base, "fact_media_daily_stats")
-        snapshots = stats.agg(F.count_distinct("snapshot_date").alias("n")).head()["n"]
-        channels = [
-            r["channel"]
-            for r in config.select("channel").where("channel IS NOT NULL").distinct().collect()
-        ]
+        stats = read_table(spark, silver_base, "media_stats")
+        channels = config.select("channel").where("channel IS NOT NULL")
         passed, results = run_validation(
-            spark, gold_base, mart_base, channels, expected_row_counts(config, snapshots)
+            spark, gold_base, mart_base, channels, expected_row_counts(config, stats)
         )
         if not passed:
             failed = [r["check_name"] for r in results if not r["passed"]]

@@ -1,13 +1,13 @@
 """Data-quality checks.
 
 A check is a set of aggregates over one table and a (passed, message) pair computed from them.
-All checks of a table except uniqueness share one aggregation without a shuffle of its rows; a
-uniqueness check shuffles nothing but its own column.
+All checks of a table except uniqueness and allowed values share one aggregation without a shuffle
+of its rows; those two shuffle nothing but their own column, counted by value before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -19,12 +19,7 @@ from engagement_lake.sources.tables import find_table, table_path
 
 RESULT_DDL = "check_no INT, check_name STRING, passed BOOLEAN, message STRING"
 
-# How many unexpected values a message quotes, and how many the bounded sketch tracks for it.
-QUOTED_VALUES = 20
-TRACKED_VALUES = 1000
-
-
-# The name of each check and what its message says. "%s" is a measured value.
+# The name of each check.
 NAMES = {
     "exists": "{layer} table exists: {table}",
     "non_empty": "{table}: non-empty",
@@ -36,32 +31,36 @@ NAMES = {
     "allowed": "{table}: allowed values: {column}",
     "range": "{table}: numeric range: {column}",
 }
+# What a check measured: "%s" stands for the measured values.
 MESSAGES = {
-    "exists": "Expected table: {where}",
-    "non_empty": "{table} row count: %s",
-    "row_count": "Expected {expected}, found %s",
-    "column": "Columns available: {columns}",
-    "required_found": "All required columns found.",
-    "required_missing": "Missing columns: {columns}",
-    "no_column": "Column does not exist: {column}",
-    "no_nulls": "Null count for {column}: %s",
-    "unique": "Duplicate count for {column}: %s",
-    "allowed": "Allowed values: {allowed}; null count: %s; unexpected rows: %s; "
-    "unexpected values: [%s]",
-    "range": "{column} range observed: %s to %s; below min count: %s; above max count: %s",
-    "no_number": "No numeric values found in {column}",
+    "exists": "looked for at {where}",
+    "non_empty": "rows: %s",
+    "row_count": "rows: %s; wanted: {expected}",
+    "column": "the table has {columns}",
+    "required_found": "none missing",
+    "required_missing": "missing: {columns}",
+    "no_column": "no column {column} to check",
+    "no_nulls": "rows without a value: %s",
+    "unique": "rows beyond the first of their value: %s",
+    "allowed": "rows without a value: %s; rows with another value: %s; other values: %s",
+    "range": "from %s to %s; rows below: %s; rows above: %s",
+    "no_number": "no row holds a number",
 }
 
 
 @dataclass(frozen=True)
 class Check:
-    """``passed`` and ``message`` are expressions over the named aggregates."""
+    """``passed`` and ``message`` are expressions over the named aggregates.
+
+    The aggregates are taken over the table, or over what ``prepare`` makes of it.
+    """
 
     name: str
     passed: Column
     message: Column
     aggregates: Mapping[str, Column] = field(default_factory=dict)
     shuffles: bool = False
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _message(key: str, *measured: Column, **known) -> Column:
@@ -128,30 +127,42 @@ def unique(df: DataFrame, table: str, column: str) -> Check:
     return _on_column("unique", df, table, column, build)
 
 
-def allowed_values(df: DataFrame, table: str, column: str, allowed: Iterable[str]) -> Check:
-    """NULL is not allowed. The message quotes the most frequent unexpected values."""
-    allowed = sorted(allowed)
-    nulls = F.col(f"nulls_{column}")
-    count, quoted = F.col(f"unexpected_{column}"), F.col(f"unexpected_values_{column}")
+def value_counts(df: DataFrame, column: str, allowed: DataFrame | Iterable[str]) -> DataFrame:
+    """(value, rows, allowed) of every value of the column. NULL is a value that is not allowed.
+
+    ``allowed`` is a frame of one column, or values.
+    """
+    if not isinstance(allowed, DataFrame):
+        allowed = df.sparkSession.createDataFrame([(v,) for v in allowed], "value STRING")
+    known = allowed.toDF("value").select(F.col("value").cast("string").alias("value")).distinct()
+    counted = df.groupBy(F.col(column).cast("string").alias("value"))
+    counted = counted.agg(F.count(F.lit(1)).alias("rows"))
+    known = known.where("value IS NOT NULL").withColumn("known", F.lit(True))
+    found = counted.join(known, "value", "left")
+    return found.select("value", "rows", F.coalesce("known", F.lit(False)).alias("allowed"))
+
+
+def unexpected_values(df: DataFrame, column: str, allowed: DataFrame | Iterable[str]) -> DataFrame:
+    """(value, rows) of every value that is not allowed, all of them."""
+    return value_counts(df, column, allowed).where("NOT allowed").drop("allowed")
+
+
+def allowed_values(df: DataFrame, table: str, column: str, allowed: DataFrame | Iterable[str]) -> Check:
+    """NULL is not allowed. The message counts; ``unexpected_values`` lists."""
+    nulls, rows, values = (F.coalesce(n, F.lit(0)) for n in ("null_rows", "other_rows", "other_values"))
+    other = F.col("value").isNotNull() & ~F.col("allowed")
 
     def build(name: str) -> Check:
-        value = F.col(column).cast("string")
-        unexpected = ~value.isin(allowed)
-        top = F.call_function(
-            "approx_top_k", F.when(unexpected, value), F.lit(QUOTED_VALUES), F.lit(TRACKED_VALUES)
-        )
-        values = F.filter(quoted["item"], lambda v: v.isNotNull())
-        shown = F.array_join(F.array_sort(values), ", ")
+        aggregates = {
+            "null_rows": F.sum(F.when(F.col("value").isNull(), F.col("rows"))),
+            "other_rows": F.sum(F.when(other, F.col("rows"))),
+            "other_values": F.count_if(other),
+        }
+        message = _message("allowed", nulls, rows, values)
         return Check(
-            name,
-            (count == 0) & (nulls == 0),
-            _message("allowed", nulls, count, shown, allowed=allowed),
-            {
-                **_nulls(column),
-                f"unexpected_{column}": F.count_if(unexpected),
-                f"unexpected_values_{column}": top,
-            },
-        )
+            name, (rows == 0) & (nulls == 0), message, aggregates,
+            shuffles=True, prepare=lambda table: value_counts(table, column, allowed),
+        )
 
     return _on_column("allowed", df, table, column, build)
 
@@ -201,6 +212,8 @@ def _one_pass(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
             for n, check in numbered
         ]
     )
+    for _, check in numbered:
+        df = check.prepare(df) if check.prepare else df
     totals = df.agg(*[c.alias(a) for a, c in aggregates.items()])
     return totals.select(F.inline(results))
 
@@ -335,7 +348,7 @@ RULES = {
 
 
 def table_checks(
-    df: DataFrame, table: str, channels: Iterable[str], expected_rows: int | None = None
+    df: DataFrame, table: str, channels: DataFrame | Iterable[str], expected_rows: int | None = None
 ) -> list[Check]:
     """The checks of one table, without the one that it exists."""
     rules = RULES[table]
@@ -357,12 +370,13 @@ def layer_checks(
     spark: SparkSession,
     layer: str,
     tables: Mapping[str, DataFrame | None],
-    channels: Iterable[str],
+    channels: DataFrame | Iterable[str],
     expected_rows: Mapping[str, int] | None = None,
     where: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Checks of one layer. If a table is absent, only existence is reported."""
-    channels, expected_rows, where = list(channels), expected_rows or {}, where or {}
+    channels = channels if isinstance(channels, DataFrame) else list(channels)
+    expected_rows, where = expected_rows or {}, where or {}
     existence = [
         (
             n,
@@ -391,15 +405,21 @@ def mart_checks(spark, tables, channels, expected_rows=None, where=None) -> Data
     return layer_checks(spark, "Mart", tables, channels, expected_rows, where)
 
 
-def expected_row_counts(config: DataFrame, snapshots: int) -> dict[str, int]:
-    """Row counts that follow from the configured media and channels and the snapshots taken."""
-    counts = config.agg(
-        F.count(F.lit(1)).alias("media"), F.count_distinct("channel").alias("channels")
+def expected_row_counts(config: DataFrame, stats: DataFrame) -> dict[str, int]:
+    """Row counts that follow from the configured media and the days on which media have statistics.
+
+    ``stats`` are silver statistics: a media may begin later than others.
+    """
+    days = stats.select("media_hashed_id", F.col("ingest_date").alias("snapshot_date")).distinct()
+    days = days.join(config.select("media_hashed_id", "channel"), "media_hashed_id", "left")
+    counts = days.agg(
+        F.count(F.lit(1)).alias("of_media"),
+        F.count_distinct(F.struct("channel", "snapshot_date")).alias("of_channels"),
     ).head()
     return {
-        "dim_media": counts["media"],
-        "fact_media_daily_stats": counts["media"] * snapshots,
-        "mart_channel_performance": counts["channels"] * snapshots,
+        "dim_media": config.count(),
+        "fact_media_daily_stats": counts["of_media"],
+        "mart_channel_performance": counts["of_channels"],
     }
 
 
@@ -407,11 +427,11 @@ def run_validation(
     spark: SparkSession,
     gold_base: str,
     mart_base: str,
-    channels: Iterable[str],
+    channels: DataFrame | Iterable[str],
     expected_rows: Mapping[str, int] | None = None,
 ) -> tuple[bool, list]:
     """Run and print every check; returns whether all passed, and the result rows."""
-    channels = list(channels)
+    channels = channels if isinstance(channels, DataFrame) else list(channels)
     layers = []
     for run, base, names in (
         (gold_checks, gold_base, GOLD_TABLES),

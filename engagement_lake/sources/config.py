@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +19,6 @@ _COLUMNS = pa.schema(
     ]
 )
 
-# A YAML file is parsed on the driver; a larger configuration has to come as JSON.
-MAX_YAML_BYTES = 16 << 20
-
 
 def media_config(spark: SparkSession, items: Iterable[Mapping]) -> DataFrame:
     """Configuration frame from ``{media_id, channel, name}`` items.
@@ -45,10 +42,11 @@ def media_config(spark: SparkSession, items: Iterable[Mapping]) -> DataFrame:
     )
 
 
-def _from_json(spark: SparkSession, path: str) -> DataFrame:
-    schema = "media_ids ARRAY<STRUCT<media_id: STRING, channel: STRING, name: STRING>>"
-    document = spark.read.schema(schema).option("multiLine", True).json(path)
-    items = document.selectExpr("inline(media_ids)")
+_ITEM = "media_id STRING, channel STRING, name STRING"
+
+
+def _checked(items: DataFrame) -> DataFrame:
+    """Configuration frame from (media_id, channel, name) rows, which must be there, named and unique."""
     config = items.selectExpr(
         "media_id AS media_hashed_id", "channel", "name AS configured_media_name"
     )
@@ -66,27 +64,43 @@ def _from_json(spark: SparkSession, path: str) -> DataFrame:
     return config
 
 
+def _yaml_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items of whole YAML documents."""
+    import yaml
+
+    for batch in batches:
+        for text in batch.column("value").to_pylist():
+            parsed = yaml.safe_load(text)
+            items = parsed.get("media_ids") if isinstance(parsed, dict) else None
+            items = items if isinstance(items, list) else []
+            columns = [
+                pa.array([None if i.get(n) in (None, "") else str(i[n]) for i in items], pa.string())
+                for n in ("media_id", "channel", "name")
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["media_id", "channel", "name"])
+
+
 def load_media_config(spark: SparkSession, path: str) -> DataFrame:
-    """Read the configuration from any Hadoop path, as YAML or (``*.json``) JSON."""
+    """Read the configuration from any Hadoop path, a file or a folder of files of one form.
+
+    Documents with a ``media_ids`` list are YAML or (``*.json``) JSON, each parsed by one task. Large
+    configurations should come as one item a line (``*.jsonl``) or as a table (``*.parquet``) with
+    the columns media_id, channel and name, which are split.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"media configuration not found: {path}")
-    if path.endswith(".json"):
-        return _from_json(spark, path)
-    size = F.col("_metadata.file_size")
-    text = F.when(size <= MAX_YAML_BYTES, F.col("value"))
-    document = (
-        spark.read.text(path, wholetext=True)
-        .select(size.alias("file_size"), text.alias("text"))
-        .head()
-    )
-    if document is None:
-        raise ValueError("media configuration needs a non-empty media_ids list")
-    if document["text"] is None:
-        raise ValueError(f"media configuration of {document['file_size']} bytes: use JSON")
-    try:
-        import yaml
-    except ImportError as error:
-        raise ImportError("YAML configuration needs PyYAML; JSON works without it") from error
-    parsed = yaml.safe_load(document["text"])
-    items = parsed.get("media_ids") if isinstance(parsed, dict) else None
-    return media_config(spark, items if isinstance(items, list) else [])
+    if path.endswith(".parquet"):
+        items = spark.read.parquet(path)
+    elif path.endswith(".jsonl"):
+        items = spark.read.schema(_ITEM).json(path)
+    elif path.endswith(".json"):
+        schema = f"media_ids ARRAY<STRUCT<{_ITEM.replace(' STRING', ': STRING')}>>"
+        items = spark.read.schema(schema).option("multiLine", True).json(path)
+        items = items.selectExpr("inline(media_ids)")
+    else:
+        try:
+            import yaml  # noqa: F401
+        except ImportError as error:
+            raise ImportError("YAML configuration needs PyYAML; JSON works without it") from error
+        items = spark.read.text(path, wholetext=True).mapInArrow(_yaml_items, _ITEM)
+    return _checked(items)

@@ -7,14 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# One shuffle task should get about this much input, and a written file come to about as much. No
-# shuffle should have more tasks than the scheduler and the shuffle index can serve.
+# One shuffle task should get about this much input, and a written file come to about as much.
 SHUFFLE_TASK_BYTES = 256 << 20
-MAX_SHUFFLE_TASKS = 100_000
 
 
 def shuffle_tasks_for(input_bytes: int) -> int:
-    return min(MAX_SHUFFLE_TASKS, max(200, -(-input_bytes // SHUFFLE_TASK_BYTES)))
+    return max(200, -(-input_bytes // SHUFFLE_TASK_BYTES))
 
 
 def build_session(app_name: str, input_bytes: int | None = None, **settings: str) -> SparkSession:

@@ -870,12 +870,12 @@ def check_exists(lake):
     )
 
 
-@query(_fact_check("non-empty", "count(*) > 0", f"concat('{FACT} row count: ', count(*))"))
+@query(_fact_check("non-empty", "count(*) > 0", "concat('rows: ', count(*))"))
 def check_non_empty(lake):
     return _one_check(lake, quality.non_empty)
 
 
-@query(_fact_check("expected row count", "count(*) = 10", "concat('Expected 10, found ', count(*))"))
+@query(_fact_check("expected row count", "count(*) = 10", "concat('rows: ', count(*), '; wanted: 10')"))
 def check_row_count(lake):
     return _one_check(lake, quality.row_count, 10)
 
@@ -885,20 +885,20 @@ def check_column(lake):
     return _one_check(lake, quality.column_exists, "rating").drop("message")
 
 
-@query(_fact_check("required columns", "count(*) < 0", """'Missing columns: [''rating'']'"""))
+@query(_fact_check("required columns", "count(*) < 0", """'missing: [''rating'']'"""))
 def check_required_columns(lake):
     return _one_check(lake, quality.required_columns, ["event_key", "rating"])
 
 
 @query(_fact_check("no nulls: browser", "count(*) = count(browser)",
-                   "concat('Null count for browser: ', count(*) - count(browser))"))
+                   "concat('rows without a value: ', count(*) - count(browser))"))
 def check_no_nulls(lake):
     return _one_check(lake, quality.no_nulls, "browser")
 
 
 @query(_fact_check(
     "unique: email", "count(*) - count(DISTINCT email) - 1 = 0",
-    "concat('Duplicate count for email: ', count(*) - count(DISTINCT email) - 1)"))
+    "concat('rows beyond the first of their value: ', count(*) - count(DISTINCT email) - 1)"))
 def check_unique(lake):
     return _one_check(lake, quality.unique, "email")
 
@@ -906,19 +906,35 @@ def check_unique(lake):
 @query(_fact_check(
     "allowed values: media_hashed_id",
     "count(*) FILTER (WHERE media_hashed_id IN ('click', 'view')) = count(*)",
-    """concat('Allowed values: [''click'', ''view'']; null count: 0; unexpected rows: ',
-    count(*) FILTER (WHERE media_hashed_id NOT IN ('click', 'view')),
-    '; unexpected values: [error, purchase, signup]')"""))
+    """concat('rows without a value: 0; rows with another value: ',
+    count(*) FILTER (WHERE media_hashed_id NOT IN ('click', 'view')), '; other values: ',
+    count(DISTINCT media_hashed_id) FILTER (WHERE media_hashed_id NOT IN ('click', 'view')))"""))
 def check_allowed_values(lake):
     return _one_check(lake, quality.allowed_values, "media_hashed_id", ["view", "click"])
 
 
+@query(f"""SELECT visitor_key AS value, count(*) AS rows FROM {FACT}
+    WHERE visitor_key IS NULL OR visitor_key NOT IN ('v1', 'v2') GROUP BY visitor_key""")
+def unexpected_values(lake):
+    """All values that a check of allowed values finds, however many."""
+    return quality.unexpected_values(lake[FACT], "visitor_key", ["v1", "v2"])
+
+
 @query(_fact_check("numeric range: percent_viewed",
                    "min(percent_viewed) >= 0.5 AND max(percent_viewed) <= 1"))
 def check_range(lake):
     return _one_check(lake, quality.numeric_range, "percent_viewed", 0.5, 1.0).drop("message")
 
 
+# Four media are configured; media and channels have a row for each day with statistics.
+_EXPECTED_ROWS = {
+    "dim_media": "SELECT 4",
+    "fact_media_daily_stats": "SELECT count(*) FROM a_stats_once",
+    "mart_channel_performance":
+        "SELECT count(*) FROM (SELECT DISTINCT channel, snapshot_date FROM fact_media_daily_stats)",
+}
+
+
 def _layer_sql(layer: str, tables: tuple[str, ...]) -> str:
     """The catalogue of a layer, spelled check by check."""
     channel_ok = "count(*) FILTER (WHERE channel IN ('Facebook', 'YouTube')) = count(*)"
@@ -926,6 +942,8 @@ def _layer_sql(layer: str, tables: tuple[str, ...]) -> str:
     for t in tables:
         rules = quality.RULES[t]
         rows.append((t, f"{t}: non-empty", "count(*) > 0"))
+        if t in _EXPECTED_ROWS:
+            rows.append((t, f"{t}: expected row count", f"count(*) = ({_EXPECTED_ROWS[t]})"))
         rows.append((t, f"{t}: required columns", "count(*) >= 0"))
         rows += [
             (t, f"{t}: no nulls: {c}", f"count(*) = count({c})")
@@ -947,29 +965,33 @@ def _layer_sql(layer: str, tables: tuple[str, ...]) -> str:
     )
 
 
+def _expected_rows(lake) -> dict[str, int]:
+    return quality.expected_row_counts(lake.config, lake.stats)
+
+
 @query(_layer_sql("Gold", schemas.GOLD_TABLES))
 def gold_checks(lake):
     tables = lake.write(schemas.GOLD_TABLES)
-    return quality.gold_checks(lake.spark, tables, CHANNELS).select("check_name", "passed")
+    found = quality.gold_checks(lake.spark, tables, CHANNELS, _expected_rows(lake))
+    return found.select("check_name", "passed")
 
 
 @query(_layer_sql("Mart", schemas.MART_TABLES))
 def mart_checks(lake):
     tables = lake.write(schemas.MART_TABLES)
-    return quality.mart_checks(lake.spark, tables, CHANNELS).select("check_name", "passed")
+    found = quality.mart_checks(lake.spark, tables, CHANNELS, _expected_rows(lake))
+    return found.select("check_name", "passed")
 
 
-@query(f"""SELECT count(*) AS checks, count(*) FILTER (WHERE passed) AS passed_checks,
-    bool_and(passed) AS all_passed
+@query(f"""SELECT check_name, passed, count(*) FILTER (WHERE NOT passed) OVER () = 0 AS all_passed
     FROM ({_layer_sql('Gold', schemas.GOLD_TABLES)} UNION ALL
           {_layer_sql('Mart', schemas.MART_TABLES)})""")
 def run_validation(lake):
-    layers = [
-        quality.gold_checks(lake.spark, lake.write(schemas.GOLD_TABLES), CHANNELS),
-        quality.mart_checks(lake.spark, lake.write(schemas.MART_TABLES), CHANNELS),
-    ]
-    return layers[0].unionByName(layers[1]).agg(
-        F.count(F.lit(1)).alias("checks"),
-        F.count_if("passed").alias("passed_checks"),
-        F.bool_and("passed").alias("all_passed"),
-    )
+    bases = [scratch_path(lake.spark, n) for n in ("gold", "marts")]
+    for base, names in zip(bases, (schemas.GOLD_TABLES, schemas.MART_TABLES)):
+        for name in names:
+            write_table(lake[name], base, name)
+    channels = lake.config.select("channel")
+    passed, results = quality.run_validation(lake.spark, *bases, channels, _expected_rows(lake))
+    rows = [(r["check_name"], r["passed"], passed) for r in results]  # one for each of the checks
+    return lake.spark.createDataFrame(rows, "check_name STRING, passed BOOLEAN, all_passed BOOLEAN")

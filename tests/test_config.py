@@ -35,6 +35,21 @@ def test_config_from_file(spark, tmp_path, name, text):
     ]
 
 
+def test_config_from_lines_tables_and_folders(spark, tmp_path):
+    wanted = [("m1", "YouTube", "First"), ("m2", "Facebook", "Second")]
+
+    def loaded(path):
+        return sorted(map(tuple, load_media_config(spark, path).collect()))
+
+    assert loaded(write(tmp_path, "c.jsonl", "\n".join(map(json.dumps, ITEMS)))) == wanted
+    spark.createDataFrame(ITEMS, "media_id STRING, channel STRING, name STRING").write.parquet(f"{tmp_path}/c.parquet")
+    assert loaded(f"{tmp_path}/c.parquet") == wanted
+    (tmp_path / "yaml").mkdir()
+    for item in ITEMS:
+        write(tmp_path / "yaml", f"{item['media_id']}.yaml", json.dumps({"media_ids": [item]}))
+    assert loaded(f"{tmp_path}/yaml") == wanted
+
+
 def test_key_is_not_nullable_and_the_size_is_known(spark):
     config = media_config(spark, ITEMS)
     assert not config.schema["media_hashed_id"].nullable

@@ -21,9 +21,11 @@ def put(path, payload):
     path.write_text(json.dumps(payload, indent=2))
 
 
-def land(raw, extra_media=None):
+def land(raw, extra_media=None, late_media=None):
     for media in ("m1", "m2", *([extra_media] if extra_media else [])):
         for day, plays in (("2024-01-01", 1), ("2024-01-02", 3)):
+            if media == late_media and day == "2024-01-01":
+                continue
             folder = f"media_id={media}/ingest_date={day}"
             put(raw / "media_metadata" / folder / "response.json",
                 {"id": 1, "hashed_id": media, "name": f"{media} {day}", "updated": f"{day}T00:00:00Z",
@@ -90,6 +92,14 @@ def test_unmapped_media_fail_the_run(spark, tmp_path):
     assert run_lakehouse(spark, str(tmp_path / "config.json"), *folders, validate=False)["dim_media"] == 3
 
 
+def test_a_media_may_begin_later(spark, tmp_path):
+    land(tmp_path / "raw", late_media="m2")
+    put(tmp_path / "config.json", CONFIG)
+    folders = [str(tmp_path / k) for k in ("raw", "silver", "gold", "marts")]
+    written = run_lakehouse(spark, str(tmp_path / "config.json"), *folders)
+    assert (written["fact_media_daily_stats"], written["mart_channel_performance"]) == (3, 3)
+
+
 def test_chosen_tables_only(spark, lake, tmp_path):
     folders = lake[0]
     config = str(tmp_path / "config.json")
@@ -138,7 +148,7 @@ def test_paths_and_sizes(spark, tmp_path):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shuffle_tasks_for(1) == 200
     assert shuffle_tasks_for(1 << 40) == 4096
-    assert shuffle_tasks_for(100 << 40) == 100_000
+    assert shuffle_tasks_for(100 << 40) == 409_600
 
 
 def test_another_session_zone_is_refused(spark, tmp_path):
