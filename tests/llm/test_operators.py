@@ -176,6 +176,35 @@ def test_quality_counts(odd, empty):
     assert judge(empty).count() == 0
 
 
+def test_quality_bands_count_a_text_once(spark):
+    """More than half of a language is one text; another language has two texts."""
+    random = np.random.default_rng(6)
+    letters = np.array(list("etaoinshrdlu"))
+
+    def prose():
+        return " ".join("".join(random.choice(letters, random.integers(2, 8))) for _ in range(60))
+
+    copied, others = prose(), [prose() for _ in range(45)]
+    odd_one = " ".join("".join(random.choice(list("QXZ#@9"), 5)) for _ in range(60))
+    rows = [(i, copied, "en") for i in range(55)] + [(100 + i, t, "en") for i, t in enumerate(others)]
+    rows += [(200, odd_one, "en"), (300, prose(), "de"), (301, prose(), "de")]
+    found = {r["key"]: r for r in judge(spark.createDataFrame(rows, "doc_id int, text string, lang string")).collect()}
+    once = {(r[2], r[1]): found[r[0]]["log_perplexity"] for r in rows}
+    middle, off = {}, {}
+    for lang in ("en", "de"):
+        values = sorted(v for (of, _), v in once.items() if of == lang)
+        middle[lang] = values[(len(values) - 1) // 2]
+        off[lang] = sorted(abs(v - middle[lang]) for v in values)
+    pooled = sorted(off["en"] + off["de"])
+    spread = {lang: max(x[(len(x) - 1) // 2], 0.005) for lang, x in off.items()}
+    spread["de"] = max(spread["de"], pooled[(len(pooled) - 1) // 2])
+    expected = {i: abs(found[i]["log_perplexity"] - middle[lang]) <= 6 * spread[lang] for i, _, lang in rows}
+    assert {i: r["kept"] for i, r in found.items()} == expected
+    assert sum(found[i]["kept"] for i in range(100, 145)) >= 40 and not found[200]["kept"]
+    assert found[300]["kept"] and found[301]["kept"]
+    assert len({found[i]["log_perplexity"] for i in range(55)}) == 1
+
+
 def test_kneser_ney_is_a_distribution():
     random = np.random.default_rng(9)
     codes, counts = np.unique(random.integers(0, 5, (500, 3)) @ [64 * 64, 64, 1], return_counts=True)
