@@ -69,20 +69,27 @@ def query_groups(pivots: np.ndarray, counts: dict[int, int]) -> dict[int, int]:
     return groups
 
 
-def needed_rings(pivots, rings: list, cells: list, k: int) -> list[tuple[int, int]]:
+def needed_rings(pivots, rings: list, cells: list, k: int, own: list) -> list[tuple[int, int]]:
     """(query cell, ring index) of every ring that may hold one of the k nearest of one of its queries.
 
-    ``rings`` are (cell, ring, n, least, most), ``cells`` (query cell, n, radius).
+    ``rings`` are (cell, ring, n, least, most), ``cells`` (query cell, n, radius, barred): the most
+    rows that share the id of one of the cell's queries. ``own`` are (query cell, cell, ring, barred),
+    the same within one ring.
     """
+    at_ring = {(r[0], r[1]): i for i, r in enumerate(rings)}
+    barred_at = {c[0]: np.zeros(len(rings)) for c in cells}
+    for cell, *place, barred in own:
+        barred_at[cell][at_ring[tuple(place)]] = barred
     ring_cell = np.array([r[0] for r in rings], int)
     n, least, most = (np.array([r[i] for r in rings], float) for i in (2, 3, 4))
     needed = []
-    for cell, _, radius in cells:
+    for cell, _, radius, barred in cells:
         apart = np.linalg.norm(pivots[ring_cell] - pivots[cell], axis=1)
         farthest = radius + apart + most
         order = np.argsort(farthest)
-        # One more than k, since a query may be among the candidates itself.
-        enough = np.searchsorted(np.cumsum(n[order]), k + 1)
+        # Rows of a query's own id are never found: in all not more than barred, nor in any ring than there.
+        free = np.maximum(np.cumsum(n[order]) - barred, np.cumsum((n - barred_at[cell])[order]))
+        enough = np.searchsorted(free, k)
         within = farthest[order][enough] if enough < len(order) else np.inf
         nearest = np.maximum(apart - radius - most, least - apart - radius)
         slack = _SLACK * (1 + radius + apart + most)
@@ -156,15 +163,22 @@ def top_k(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vector
     )
     assigned = written(rows.mapInArrow(assign, schema), "voronoi")
 
-    # Summaries: at most PIVOTS * (2 / RING + 1) rings, PIVOTS query cells.
+    # Summaries: at most PIVOTS * (2 / RING + 1) rings, PIVOTS query cells, and pairs of both.
     rings = assigned.groupBy("cell", "ring").agg(F.count(F.lit(1)), F.min("apart"), F.max("apart")).collect()
     asking = assigned.where("asks")
+    # How many rows a query bars as of its own id: in each ring, and in all.
+    of_id = assigned.groupBy("id", "cell", "ring").agg(F.count(F.lit(1)).alias("barred"))
+    asked = asking.select("id", "ask_cell").distinct()
+    own = of_id.join(asked, "id").groupBy("ask_cell", "cell", "ring").agg(F.max("barred")).collect()
+    most = assigned.groupBy("id").agg(F.count(F.lit(1)).alias("barred")).join(asked, "id")
+    most = dict(most.groupBy("ask_cell").agg(F.max("barred")).collect())
     cells = asking.groupBy("ask_cell").agg(F.count(F.lit(1)), F.max("ask_apart")).collect()
+    cells = [(*c, most[c[0]]) for c in cells]
     groups = query_groups(pivots, {c[0]: c[1] for c in cells})
     sizes: dict[int, int] = {}
-    for cell, n, _ in cells:
+    for cell, n, *_ in cells:
         sizes[groups[cell]] = sizes.get(groups[cell], 0) + n
-    routes = sorted({(groups[cell], ring) for cell, ring in needed_rings(pivots, rings, cells, k)})
+    routes = sorted({(groups[cell], ring) for cell, ring in needed_rings(pivots, rings, cells, k, own)})
     table = [
         (g, rings[r][0], rings[r][1], -(-sizes[g] // BLOCK_ROWS), -(-rings[r][2] // BLOCK_ROWS)) for g, r in routes
     ]

@@ -354,6 +354,21 @@ def test_top_k(spark):
     assert top_k(frame.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_top_k_of_a_repeated_query_id(spark):
+    """Ten rows of a query's own id lie nearest: they are never found, so farther ones must be."""
+    random = np.random.default_rng(7)
+    rows = [(50, [8.0, 0.01 * i]) for i in range(10)] + [(1 + i % 49, [4.0, 0.01 * i]) for i in range(100)]
+    rows += [(1000 + 7 * i, (random.normal(size=2) * 2).tolist()) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = top_k(frame, F.col("vec_id") == 50, 5).collect()
+    points = [(i, np.floor(256 * np.array(v, np.float32).astype(float))) for i, v in rows]
+    expected = []
+    for i, q in points[:10]:
+        scores = sorted((-int(q @ c), j) for j, c in points if j != i)[:5]
+        expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores, 1)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
 def test_pipeline_stages(spark, odd):
     import corpus_pipeline
 
