@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     known = F.xxhash64("doc_id", "text")
     keyed = docs.select(F.struct("doc_id", known.alias("known")).alias("doc"), "text")
-    found = jaccard_components(keyed, key="doc")
+    found = jaccard_components(keyed, key="doc", counted=False)
     chosen = found.where("doc = component").groupBy(F.col("doc.known").alias("known"))
     chosen = written(chosen.agg(F.max("n_shingles").alias("size"), F.count(F.lit(1)).alias("rows")), "chosen")
     repeated = "rows > 1 AND size > 0"

@@ -15,6 +15,11 @@ of thousands of near copies costs a few comparisons a copy, and no link between
 is missed. Pairs are sifted by bitmaps that bound the overlap, and the rest verified on the sets,
 recomputed from the texts.
 
+That gives components, not all links. Links are then counted within each component, where all of
+them are: its sets are dealt into blocks of sets of about one size, and each pair of blocks of
+compatible sizes is compared whole, as a task's work of bounded size. So every similar pair is met
+once. Equal sets count as often as there are rows.
+
 Which elements are common is counted over all documents, one table of at most ``COMMON`` elements;
 it affects only the order, so no result depends on it.
 
@@ -54,6 +59,12 @@ PACKED = 6
 # Sets of a key that meet all others before the rest is compared, and pairs made at a time.
 PIVOTS = 3
 PAIR_BLOCK = 1 << 17
+# About so many sets, with so many elements, of a component are compared with as many at once.
+BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 21
+# Sizes whose ratio is below this are of one class; compatible sizes lie in one or in adjacent ones.
+SIZE_CLASS = 1.5
+# Columns of a matrix of elements, and meetings in an element, handled at a time.
+MATRIX_COLUMNS, MEETINGS = 4096, 1 << 22
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20
 
@@ -356,12 +367,148 @@ def _cross_pairs(pivots: int | None):
     return pairs_of
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, n_links, component) of every row.
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set on the left shares with each on the right.
 
-    ``component`` is the least key that links reach; ``n_links`` counts the compared sets that are
-    similar to the row's, not all there are.
+    Elements of many sets are multiplied as a matrix; of the others each meeting is counted.
     """
+    n, m = len(left), len(right)
+    _, element = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(n + m), [len(x) for x in (*left, *right)])
+    a, b = (np.bincount(element[of], minlength=int(element.max(initial=-1)) + 1) for of in (owner < n, owner >= n))
+    many = (a * b * 32 > n * m) & (n * m > MATRIX_COLUMNS)
+    out = np.zeros((n, m), np.int64)
+
+    column = np.cumsum(many) - 1
+    inside = np.flatnonzero(many[element])
+    inside = inside[np.argsort(column[element[inside]], kind="stable")]
+    places = column[element[inside]]
+    for begin in range(0, int(many.sum()), MATRIX_COLUMNS):
+        part = slice(*np.searchsorted(places, [begin, begin + MATRIX_COLUMNS]))
+        matrix = np.zeros((n + m, MATRIX_COLUMNS), np.float32)
+        matrix[owner[inside[part]], places[part] - begin] = 1
+        out += (matrix[:n] @ matrix[n:].T).astype(np.int64)
+
+    few = ~many & (a > 0) & (b > 0)
+    first, second = (np.flatnonzero(few[element] & of) for of in (owner < n, owner >= n))
+    second = second[np.argsort(element[second], kind="stable")]
+    starts = np.searchsorted(element[second], element[first])
+    times = b[element[first]]
+    total = np.cumsum(times)
+    begin = 0
+    while begin < len(first):
+        done = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, done + MEETINGS, side="right")))
+        t = times[begin:end]
+        step = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+        i = np.repeat(owner[first[begin:end]], t)
+        j = owner[second[np.repeat(starts[begin:end], t) + step]] - n
+        out += np.bincount(i * m + j, minlength=n * m).reshape(n, m)
+        begin = end
+    return out
+
+
+_PLACE = ["component", "class_a", "block_a", "class_b", "block_b"]
+
+
+def _linked(as_pairs: bool):
+    """Of rows sorted by pair of blocks: the similar pairs, or how many rows each set is similar to."""
+
+    def solve(sig, size, copies, side, elements) -> pa.RecordBatch | None:
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        if not len(left) or not len(right):
+            return None
+        sets = [_unpacked(x) for x in elements]
+        shared = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+        near = shared * (NUM + DEN) >= NUM * (size[left][:, None] + size[right])
+        alone = side[0] == 2  # a block with itself
+        if alone:
+            near = np.triu(near, 1)
+        i, j = np.nonzero(near)
+        a, b = left[i], right[j]
+        if as_pairs:
+            low, high = np.minimum(sig[a], sig[b]), np.maximum(sig[a], sig[b])
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+        n = np.zeros(len(sig), np.int64)
+        np.add.at(n, a, copies[b])
+        np.add.at(n, b, copies[a])
+        return pa.RecordBatch.from_arrays([pa.array(sig[n > 0]), pa.array(n[n > 0])], names=["sig", "n"])
+
+    def links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["sig", "size", "copies", "side"]
+        at, held = None, []
+
+        def solved():
+            columns = [np.concatenate([part[c] for part in held]) for c in range(len(names))]
+            return solve(*columns, [x for part in held for x in part[-1]])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _PLACE], axis=1)
+            columns = [batch.column(c).to_numpy() for c in names]
+            elements = batch.column("elements").to_pylist()
+            starts = np.flatnonzero(np.r_[True, (places[1:] != places[:-1]).any(axis=1)]).tolist()
+            for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
+                place = tuple(places[begin].tolist())
+                if place != at and held:
+                    if (found := solved()) is not None:
+                        yield found
+                    held = []
+                at = place
+                held.append([*(c[begin:end] for c in columns), elements[begin:end]])
+        if held and (found := solved()) is not None:
+            yield found
+
+    return links_of
+
+
+def _all_links(members: DataFrame, sets: DataFrame, partitions: int, as_pairs: bool) -> DataFrame:
+    """All (a, b) links, or (sig, n) counts of them, of the (component, sig, size, copies) members."""
+    of = F.floor(F.log("size") / float(np.log(SIZE_CLASS))).cast("int")
+    members = members.withColumn("class", of)
+
+    def blocks(sets: str, elements: str):
+        return F.greatest(F.ceil(F.col(sets) / BLOCK_SETS), F.ceil(F.col(elements) / BLOCK_ELEMENTS)).cast("int")
+
+    loads = members.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("elements"))
+    whole = loads.groupBy("component").agg(F.sum("n").alias("all"), F.sum("elements").alias("all_elements"))
+    large = loads.join(whole.where(blocks("all", "all_elements") > 1), "component")
+    large = written(large.select("component", "class", blocks("n", "elements").alias("blocks")), "blocks")
+    beside = {
+        name: large.select("component", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
+        for name, step in (("above", -1), ("below", 1))
+    }
+    for name in ("above", "below"):
+        large = large.join(beside[name], ["component", "class"], "left")
+    dealt = members.join(large.fillna(0, ["above", "below"]), ["component", "class"], "left")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+
+    def place(class_a, block_a, class_b, block_b, side):
+        parts = zip([*_PLACE[1:], "side"], (class_a, block_a, class_b, block_b, side))
+        return F.struct(*[x.cast("int").alias(name) for name, x in parts])
+
+    def each(n: str, f):
+        return F.transform(F.slice(F.sequence(F.lit(0), F.col(n)), F.lit(1), F.col(n)), f)
+
+    c, b = F.col("class"), F.col("block")
+    own = each("blocks", lambda j: place(
+        c, F.least(b, j), c, F.greatest(b, j), F.when(b == j, 2).when(b < j, 0).otherwise(1)
+    ))
+    above = each("above", lambda j: place(c, b, c + 1, j, F.lit(0)))
+    below = each("below", lambda j: place(c - 1, j, c, b, F.lit(1)))
+    alone = F.array(place(*[F.lit(0)] * 4, F.lit(2)))
+    to = F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(own, above, below))
+    sent = dealt.join(sets, "sig").withColumn("to", F.explode(to))
+    sent = sent.select("component", "to.*", "sig", "size", "copies", "elements")
+    sent = sent.repartition(partitions, *_PLACE).sortWithinPartitions(*_PLACE)
+    if as_pairs:
+        return sent.mapInArrow(freed(_linked(True)), "a bigint, b bigint")
+    return sent.mapInArrow(freed(_linked(False)), "sig bigint, n bigint").groupBy("sig").agg(F.sum("n").alias("n"))
+
+
+def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, SetStore, DataFrame, int]:
+    """The described rows, the sets of all that have a link, their components, a number of partitions."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     facts = written(_describe(rows), "shingle-facts")
     described = facts.where("kind = 0").select("key", "hash", "size", "sig", "bits")
@@ -404,22 +551,56 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         links = written(links.unionByName(store.similar(across)), "similar")
         done = done.unionByName(across)
 
-    groups = connected(links)
-    ends = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig")))
-    degree = ends.groupBy("sig").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = described.where("size > 0").groupBy("sig").agg(F.min("key").alias("least"))
-    classes = classes.join(groups, classes["sig"] == groups["node"], "left").join(degree, "sig", "left")
-    classes = classes.select("sig", "least", "n_links", F.coalesce("component", "sig").alias("component"))
+    return described, store, connected(links), partitions
+
+
+def _classes(described: DataFrame) -> DataFrame:
+    """(sig, least, size, copies) of each set that is not empty: its least key and how many rows have it."""
+    found = described.where("size > 0").groupBy("sig")
+    return found.agg(F.min("key").alias("least"), F.first("size").alias("size"), F.count(F.lit(1)).alias("copies"))
+
+
+def _members(described: DataFrame, groups: DataFrame) -> DataFrame:
+    named = groups.select(F.col("node").alias("sig"), "component")
+    return written(named.join(_classes(described).drop("least"), "sig"), "members")
+
+
+def jaccard_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(a, b) for each two different sets that are similar, each named by the least key that has it."""
+    described, store, groups, partitions = _connected_sets(docs, key, text)
+    pairs = _all_links(_members(described, groups), store.sets, partitions, True)
+    least = {x: _classes(described).select(F.col("sig").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab"}
+    pairs = pairs.join(least["a"], "a").join(least["b"], "b")
+    return pairs.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b"))
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", counted: bool = True) -> DataFrame:
+    """(key, n_shingles, n_links, component) of every row.
+
+    ``component`` is the least key that links reach; ``n_links`` counts the other rows that are similar
+    to the row, those of an equal set among them. Unless ``counted``, it is left out.
+    """
+    described, store, groups, partitions = _connected_sets(docs, key, text)
+    classes = _classes(described)
+    if counted:
+        degree = _all_links(_members(described, groups), store.sets, partitions, False)
+        classes = classes.join(degree, "sig", "left")
+    else:
+        classes = classes.withColumn("n", F.lit(0))
+    classes = classes.join(groups, classes["sig"] == groups["node"], "left")
+    links = F.coalesce("n", F.lit(0)) + F.col("copies") - 1
+    classes = classes.select("sig", "least", links.alias("n_links"), F.coalesce("component", "sig").alias("component"))
     roots = classes.groupBy("component").agg(F.min("least").alias("root"))
     classes = classes.join(roots, "component").select("sig", "root", "n_links")
     found = described.select("key", "size", F.when(F.col("size") > 0, F.col("sig")).alias("sig"))
     found = found.join(classes, "sig", "left")
-    return found.select(
+    found = found.select(
         F.col("key").alias(key),
         F.col("size").alias("n_shingles"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("root", "key").alias("component"),
     )
+    return found if counted else found.drop("n_links")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from engagement_lake.llm.packing import pack_documents, pack_lengths, packed_seq
 from engagement_lake.llm.ppm import SYMBOLS, Contexts, levels_of, log_probabilities, score_documents
 from engagement_lake.llm.quality_rules import SURFACE, KneserNey, judge
 from engagement_lake.llm.sharding import read_shards, shard_of, write_shards
-from engagement_lake.llm.shingle_join import choose_boundary, jaccard_components
+from engagement_lake.llm.shingle_join import choose_boundary, jaccard_components, jaccard_pairs
 from engagement_lake.llm.store import scratch_path
 from engagement_lake.llm.token_counts import token_counts
 from engagement_lake.llm.token_files import read_tokens, write_tokens
@@ -109,6 +109,35 @@ def test_jaccard_components_of_near_copies(spark):
     assert Counter((r["doc_id"], r["n_shingles"], r["component"]) for r in found) == plain_components(rows)
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_jaccard_links_are_all_counted(spark, monkeypatch, block):
+    """A group of near copies, exact copies among them, whole in one block and cut into many."""
+    monkeypatch.setattr("engagement_lake.llm.shingle_join.BLOCK_SETS", block)
+    rows = [(1, None), (2, "a b c d e f"), (3, "a b c d e f"), (4, "f e d c b a")]
+    for n in (40, 90):
+        words = [f"w{n}_{i}" for i in range(n)]
+        for copy in range(30):
+            changed = [*words[: n - copy // 2 % 9], f"end{copy // 2}"]
+            changed[copy // 4] = f"c{copy // 2}"
+            rows.append((len(rows) + 1, " ".join(changed)))
+    sets = [plain_set(text) for _, text in rows]
+    expected, pairs = Counter(), set()
+    least = {}
+    for (key, _), x in zip(rows, sets):
+        least.setdefault(x, key)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                expected[rows[i][0]] += 1
+                expected[rows[j][0]] += 1
+                if a != b:
+                    pairs.add((min(least[a], least[b]), max(least[a], least[b])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["n_links"] for r in jaccard_components(docs).collect()}
+    assert found == {key: expected[key] for key, _ in rows}
+    assert Counter(map(tuple, jaccard_pairs(docs).collect())) == Counter(pairs)
+
+
 def test_boundary_weighs_entries_against_scans():
     cheap = [{"size": s, "pairs": 3, "singles": 2, "scanned": 50} for s in (4, 8)]
     dear = [{"size": s, "pairs": 300, "singles": 2, "scanned": 0} for s in (4, 8)]
