@@ -20,6 +20,15 @@ from pyspark.sql import functions as F
 
 from engagement_lake.llm.store import read
 
+_GNU = (
+    "you can redistribute it and or modify it under the terms of the gnu {}general public license as published"
+    " by the free software foundation {}"
+)
+_LATER = " of the license or at your option any later version"
+_ENDORSE = (
+    " the names of its contributors may be used to endorse or promote products derived from this software"
+    " without specific prior written permission"
+)
 # Normalised sentences (lower case, runs of other than a-z and 0-9 as one space) by
 # which licenses are granted, and the licenses they spell, one after another.
 SENTENCES = {
@@ -44,12 +53,46 @@ SENTENCES = {
     "b2": "redistributions of source code must retain the above copyright notice this list of conditions"
     " and the following disclaimer",
     "b3": "redistributions in binary form must reproduce the above copyright notice",
+    # Of the standard texts and headers, as splitting at marks leaves them.
+    "a5": "unless required by applicable law or agreed to in writing software distributed under the license is"
+    " distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "a6": "see the license for the specific language governing permissions and limitations under the license",
+    "a7": "this project is licensed under the apache license 2 0",
+    "m4": "permission is hereby granted free of charge to any person obtaining a copy of this software and"
+    " associated documentation files the software to deal in the software without restriction including"
+    " without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies"
+    " of the software and to permit persons to whom the software is furnished to do so subject to the"
+    " following conditions",
+    "m5": "the above copyright notice and this permission notice shall be included in all copies or"
+    " substantial portions of the software",
+    "m6": "this project is licensed under the mit license",
+    "m7": "this project is licensed under the mit license see the license file for details",
+    "g4": "this program is free software",
+    "g5": _GNU.format("", "either version 3" + _LATER),
+    "g6": _GNU.format("", "either version 2" + _LATER),
+    "g7": _GNU.format("", "version 2"),
+    "g8": "this library is free software",
+    "l1": _GNU.format("lesser ", "either version 2 1" + _LATER),
+    "l2": _GNU.format("lesser ", "either version 3" + _LATER),
+    "l3": _GNU.format("affero ", "either version 3" + _LATER),
+    "g9": "see the gnu general public license for more details",
+    "b4": "redistributions in binary form must reproduce the above copyright notice this list of conditions"
+    " and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "b5": "neither the name of the copyright holder nor" + _ENDORSE,
+    "b6": "nor" + _ENDORSE,
+    "i1": "permission to use copy modify and or distribute this software for any purpose with or without fee is"
+    " hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "p1": "this source code form is subject to the terms of the mozilla public license v",
     "z1": "all rights reserved",
     "z2": "no license is granted",
 }
 RULES = (
     (("a2", "a3", "a4"), "Apache-2.0"),
+    (("b1", "b2", "b4", "b5"), "BSD-3-Clause"),
+    (("b1", "b2", "b4", "b6"), "BSD-3-Clause"),
+    (("b1", "b2", "b4"), "BSD-2-Clause"),
     (("b1", "b2", "b3"), "BSD-2-Clause"),
+    (("a2", "a3"), "Apache-2.0"),
     (("a1", "a3"), "Apache-2.0"),
     (("a1",), "Apache-2.0"),
     (("m1",), "MIT"),
@@ -62,6 +105,18 @@ RULES = (
     (("c2",), "CC-BY-4.0"),
     (("c4",), "CC-BY-4.0"),
     (("c3",), "CC-BY-SA-4.0"),
+    (("a7",), "Apache-2.0"),
+    (("m4",), "MIT"),
+    (("m6",), "MIT"),
+    (("m7",), "MIT"),
+    (("g5",), "GPL-3.0-or-later"),
+    (("g6",), "GPL-2.0-or-later"),
+    (("g7",), "GPL-2.0-only"),
+    (("l1",), "LGPL-2.1-or-later"),
+    (("l2",), "LGPL-3.0-or-later"),
+    (("l3",), "AGPL-3.0-or-later"),
+    (("i1",), "ISC"),
+    (("p1",), "MPL-2.0"),
     (("z1",), "Proprietary"),
     (("z2",), "Proprietary"),
 )

@@ -2,6 +2,7 @@
 
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -359,6 +360,32 @@ def test_licenses(spark, odd, empty):
     assert scan_licenses(empty).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_3 = """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+
+
+def test_licenses_of_standard_texts(spark):
+    wanted = [(MIT, "MIT"), (GPL, "GPL-3.0-or-later"), (BSD, "BSD-2-Clause"), (BSD + BSD_3, "BSD-3-Clause")]
+    wanted += [(GPL.replace("software: you", "software; you").replace("version 3", "version 2"), "GPL-2.0-or-later")]
+    wanted += [("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT")]
+    wrapped = [("\n\n".join(textwrap.fill(x, 72) for x in t.split("\n\n")), name) for t, name in wanted]
+    rows = [(i, t) for i, (t, _) in enumerate(wanted + wrapped)]
+    found = {r["doc_id"]: r["licenses"] for r in scan_licenses(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found == {i: name for i, (_, name) in enumerate(wanted + wrapped)}
+
+
 def test_top_k(spark):
     random = np.random.default_rng(1)
     rows = [(i, random.normal(size=6).tolist(), 0) for i in range(300)]
