@@ -20,6 +20,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,10 @@ def ragged(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - before, lengths) + np.arange(lengths.sum())
 
 
+# Every id in decimal digits; vocabularies are far smaller.
+_DIGITS = Vocabulary([b"%d" % i for i in range(1 << 18)])
+
+
 def byte_letters() -> dict[str, int]:
     """Byte-level vocabularies write each byte as a letter: itself if it can be seen, else one of U+0100 on."""
     seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -116,29 +121,39 @@ class PieceTokens:
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    return lengths, np.fromiter((i for some in ids for i in some), np.uint32, lengths.sum())
-
-
-def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[str, int, list[tuple[int, int]]]:
-    """Groups (as text, and their number) and linked pairs of two runs of tokens over the same bytes."""
-    groups, links = [], []
-    a_from = b_from = j = 0
-    a_end, b_end = 0, b_sizes[0]
-    for i, size in enumerate(a_sizes):
-        a_end += size
-        links.append((a[i], b[j]))
-        while b_end < a_end:
-            j += 1
-            b_end += b_sizes[j]
-            links.append((a[i], b[j]))
-        if b_end == a_end:
-            left, right = a[a_from : i + 1], b[b_from : j + 1]
-            groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-            a_from, b_from = i + 1, j + 1
-            j += 1
-            if j < len(b):
-                b_end += b_sizes[j]
-    return ";".join(groups), len(groups), links
+    return lengths, np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum())
+
+
+def align(
+    a: Vocabulary, n_a: np.ndarray, a_ids: np.ndarray, b: Vocabulary, n_b: np.ndarray, b_ids: np.ndarray
+) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window: its groups as text, their number, the number of its links; and all links' pairs.
+
+    All windows at once: they stand one after another, and each is the same bytes in both vocabularies.
+    A group's text ends with a semicolon.
+    """
+    a_ends, b_ends = np.cumsum(a.lengths[a_ids]), np.cumsum(b.lengths[b_ids])
+    first = np.searchsorted(b_ends, a_ends - a.lengths[a_ids], side="right")
+    each = np.searchsorted(b_ends, a_ends) - first + 1
+    pairs = np.repeat(a_ids, each) * len(b.lengths) + b_ids[ragged(first, each)]
+
+    # A group ends where both have an end; its number stands for the bytes before.
+    last_a, last_b = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
+    a_group, b_group = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    order = np.argsort(np.r_[2 * a_group, 2 * b_group + 1], kind="stable")
+    ids = np.r_[a_ids, b_ids][order]
+    marks = np.r_[np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))][order]
+    sizes = _DIGITS.lengths[ids] + 1
+    ends = np.cumsum(sizes)
+    written = np.empty(sizes.sum(), np.uint8)
+    written[ends - 1] = marks
+    written[ragged(ends - sizes, sizes - 1)] = _DIGITS.spelled(ids)
+    # A window's tokens stand together in this order, too.
+    bounds = np.r_[0, ends][np.r_[0, np.cumsum(n_a + n_b)]].tolist()
+    whole = written.tobytes().decode()
+    texts = [whole[x:y] for x, y in zip(bounds, bounds[1:])]
+    a_bounds = np.r_[0, np.cumsum(n_a)]
+    return texts, _sums(last_a, a_bounds), _sums(each, a_bounds), pairs
 
 
 class Windows:
@@ -152,30 +167,24 @@ class Windows:
         self.index: dict[bytes, int] = {}
         self.texts: list[str] = []
         self.groups = self.starts = self.lengths = np.zeros(0, np.int64)
-        self.links = np.zeros(0, np.int64)
+        self.pairs = np.zeros(0, np.int64)
 
-    def places(self, windows: list[bytes]) -> np.ndarray:
+    def places(self, windows: pa.Array) -> np.ndarray:
         """Where each window's alignment is; a window is the number of first ids, these, then the others."""
-        if len(self.index) + len(windows) > max(WINDOWS_REMEMBERED, len(windows)):
+        names = windows.to_pylist()
+        if len(self.index) + len(names) > max(WINDOWS_REMEMBERED, len(names)):
             self.forget()
-        new = [w for w in windows if w not in self.index]
+        new = [i for i, w in enumerate(names) if w not in self.index]
         if new:
-            groups, lengths, links = [], [], []
-            for window in new:
-                ids = np.frombuffer(window, np.int32)
-                a, b = ids[1 : ids[0] + 1], ids[ids[0] + 1 :]
-                text, n, pairs = align(a.tolist(), b.tolist(), self.a.lengths[a].tolist(), self.b.lengths[b].tolist())
-                self.texts.append(text)
-                groups.append(n)
-                lengths.append(len(pairs))
-                links.extend(x * len(self.b.lengths) + y for x, y in pairs)
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            lengths = np.array(lengths, np.int64)
-            self.starts = np.r_[self.starts, len(self.links) + np.cumsum(lengths) - lengths]
+            n_a, a_ids, n_b, b_ids = _ids_of(windows.take(pa.array(new)))
+            texts, groups, lengths, pairs = align(self.a, n_a, a_ids, self.b, n_b, b_ids)
+            self.index.update((names[i], n) for n, i in enumerate(new, len(self.index)))
+            self.texts.extend(texts)
+            self.starts = np.r_[self.starts, len(self.pairs) + np.cumsum(lengths) - lengths]
             self.lengths = np.r_[self.lengths, lengths]
-            self.groups = np.r_[self.groups, np.array(groups, np.int64)]
-            self.links = np.r_[self.links, np.array(links, np.int64)]
-        return np.fromiter(map(self.index.__getitem__, windows), np.int64, len(windows))
+            self.groups = np.r_[self.groups, groups]
+            self.pairs = np.r_[self.pairs, pairs]
+        return np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
 
 
 @dataclass
@@ -226,24 +235,23 @@ class Aligner:
         n_a = np.diff(np.searchsorted(a_ends, cuts) + 1, prepend=0)
         n_b = np.diff(np.searchsorted(b_ends, cuts) + 1, prepend=0)
         windows = _id_tuples(n_a, a_ids, n_b, b_ids).dictionary_encode()
-        places = self.windows.places(windows.dictionary.to_pylist())[windows.indices.to_numpy()]
+        places = self.windows.places(windows.dictionary)[windows.indices.to_numpy()]
 
         text_ends = np.r_[0, a_ends][np.cumsum(a_counts)]
         bounds = np.r_[0, np.searchsorted(cuts, text_ends, side="right")]
         lengths = self.windows.lengths[places]
-        pairs = self.windows.links[ragged(self.windows.starts[places], lengths)]
+        pairs = self.windows.pairs[ragged(self.windows.starts[places], lengths)]
         of = np.repeat(np.repeat(np.arange(len(texts)), np.diff(bounds)), lengths)
         every = len(a.lengths) * len(b.lengths)
         linked, times = np.unique(of * every + pairs, return_counts=True)
+        found = list(map(self.windows.texts.__getitem__, places.tolist()))
         return Alignment(
             n_a=a_counts,
             n_b=b_counts,
             n_groups=_sums(self.windows.groups[places], bounds),
             n_links=_sums(lengths, bounds),
             digests=[
-                hashlib.sha256(";".join(map(self.windows.texts.__getitem__, places[x:y].tolist())).encode()).digest()
-                if y > x
-                else b""
+                hashlib.sha256("".join(found[x:y])[:-1].encode()).digest() if y > x else b""
                 for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())
             ],
             pairs=linked % every,
@@ -279,6 +287,17 @@ def _id_tuples(n_a: np.ndarray, a_ids: np.ndarray, n_b: np.ndarray, b_ids: np.nd
     return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
 
 
+def _ids_of(windows: pa.Array) -> tuple[np.ndarray, ...]:
+    """What ``_id_tuples`` was made from."""
+    offsets = np.frombuffer(windows.buffers()[1], np.int64)[: len(windows) + 1] // 4
+    flat = np.frombuffer(windows.buffers()[2], "<i4")
+    begins = offsets[:-1]
+    n_a = flat[begins].astype(np.int64)
+    n_b = np.diff(offsets) - 1 - n_a
+    a_ids, b_ids = flat[ragged(begins + 1, n_a)], flat[ragged(begins + 1 + n_a, n_b)]
+    return n_a, a_ids.astype(np.int64), n_b, b_ids.astype(np.int64)
+
+
 def _spells(vocabulary: Vocabulary, counts: np.ndarray, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Whether each text's tokens, put together, are its bytes."""
     before = np.r_[0, np.cumsum(vocabulary.lengths[ids])]

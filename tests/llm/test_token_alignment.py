@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -11,7 +12,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from engagement_lake.llm import token_alignment as module
-from engagement_lake.llm.token_alignment import Aligner, align, aligned_tokens, byte_letters, vocabulary_size
+from engagement_lake.llm.token_alignment import Aligner, Vocabulary, align, aligned_tokens, byte_letters, vocabulary_size
 
 FIRST, SECOND = (public_tokenizers.path(p) for p in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 DDL = "doc_id long, text string, `row` string, pairs int, n string"
@@ -112,9 +113,14 @@ def test_forgetting_windows_changes_nothing(spark, monkeypatch):
     assert len(forgetful.windows.index) <= 20
 
 
-def test_windows_are_told_apart_by_both_tuples():
-    assert align([1, 2, 3], [7, 8], [1, 1, 2], [2, 2]) == ("1,2|7;3|8", 2, [(1, 7), (2, 7), (3, 8)])
-    assert align([1, 2], [7, 8], [3, 1], [1, 3]) == ("1,2|7,8", 1, [(1, 7), (1, 8), (2, 8)])
+def test_windows_are_aligned_one_by_one():
+    a = Vocabulary([b"", b"x", b"y", b"zz", b"uvw"])
+    b = Vocabulary([b"", b"xy", b"zz", b"u", b"vwx"])
+    texts, groups, links, pairs = align(
+        a, np.array([3, 2]), np.array([1, 2, 3, 4, 1]), b, np.array([2, 2]), np.array([1, 2, 3, 4])
+    )
+    assert texts == ["1,2|1;3|2;", "4,1|3,4;"] and groups.tolist() == [2, 1] and links.tolist() == [3, 3]
+    assert [divmod(p, 5) for p in pairs.tolist()] == [(1, 1), (2, 1), (3, 2), (4, 3), (4, 4), (1, 4)]
 
 
 def test_repeated_and_null_ids_and_empty_table(spark):
