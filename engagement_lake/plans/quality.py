@@ -1,19 +1,21 @@
 """Data-quality checks.
 
-A check is a set of aggregates over one table and a (passed, message) pair computed from them.
-All checks of a table except uniqueness and allowed values share one aggregation without a shuffle
-of its rows; those two shuffle nothing but their own column, counted by value before.
+A check is a (passed, message) pair computed from measures of one table. All checks of a table share
+one scan: rows are taken apart into (column, value) pairs for the columns that have to be unique or to
+hold allowed values, counted by value in the map tasks before anything is shuffled, and all other
+measures travel beside them, one row a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from engagement_lake.operators.distinct import Total, column_values, merged_totals, rows_total
 from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
 from engagement_lake.sources.tables import find_table, table_path
 
@@ -50,17 +52,16 @@ MESSAGES = {
 
 @dataclass(frozen=True)
 class Check:
-    """``passed`` and ``message`` are expressions over the named aggregates.
-
-    The aggregates are taken over the table, or over what ``prepare`` makes of it.
-    """
+    """``passed`` and ``message`` are expressions over the named ``totals`` of the table's rows and over what
+    is measured of the values of the column ``by_value``: ``repeated_<column>``, ``null_rows_<column>``
+    and, with ``allowed``, ``other_rows_<column>`` and ``other_values_<column>``."""
 
     name: str
     passed: Column
     message: Column
-    aggregates: Mapping[str, Column] = field(default_factory=dict)
-    shuffles: bool = False
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    totals: Mapping[str, Total] = field(default_factory=dict)
+    by_value: str | None = None
+    allowed: DataFrame | tuple[str, ...] | None = None
 
 
 def _message(key: str, *measured: Column, **known) -> Column:
@@ -76,12 +77,12 @@ def _on_column(key: str, df: DataFrame, table: str, column: str, build) -> Check
     return Check(name, F.lit(False), _message("no_column", column=column))
 
 
-def _rows() -> dict[str, Column]:
-    return {"rows": F.count(F.lit(1))}
+def _rows() -> dict[str, Total]:
+    return {"rows": rows_total()}
 
 
-def _nulls(column: str) -> dict[str, Column]:
-    return {f"nulls_{column}": F.count_if(F.col(column).isNull())}
+def _nulls(column: str) -> dict[str, Total]:
+    return {f"nulls_{column}": Total("count", F.col(column).isNull())}
 
 
 def non_empty(df: DataFrame, table: str) -> Check:
@@ -115,16 +116,11 @@ def no_nulls(df: DataFrame, table: str, column: str) -> Check:
 
 def unique(df: DataFrame, table: str, column: str) -> Check:
     """Every row beyond the first of its value is a duplicate; NULL is a value."""
-    distinct = f"distinct_{column}"
-    null_group = F.least(F.col(f"nulls_{column}"), F.lit(1))
-    duplicates = F.col("rows") - F.col(distinct) - null_group
-
-    def build(name: str) -> Check:
-        aggregates = {**_rows(), **_nulls(column), distinct: F.count_distinct(column)}
-        message = _message("unique", duplicates, column=column)
-        return Check(name, duplicates == 0, message, aggregates, shuffles=True)
-
-    return _on_column("unique", df, table, column, build)
+    duplicates = F.col(f"repeated_{column}")
+    message = _message("unique", duplicates, column=column)
+    return _on_column(
+        "unique", df, table, column, lambda n: Check(n, duplicates == 0, message, by_value=column)
+    )
 
 
 def value_counts(df: DataFrame, column: str, allowed: DataFrame | Iterable[str]) -> DataFrame:
@@ -132,12 +128,9 @@ def value_counts(df: DataFrame, column: str, allowed: DataFrame | Iterable[str])
 
     ``allowed`` is a frame of one column, or values.
     """
-    if not isinstance(allowed, DataFrame):
-        allowed = df.sparkSession.createDataFrame([(v,) for v in allowed], "value STRING")
-    known = allowed.toDF("value").select(F.col("value").cast("string").alias("value")).distinct()
     counted = df.groupBy(F.col(column).cast("string").alias("value"))
     counted = counted.agg(F.count(F.lit(1)).alias("rows"))
-    known = known.where("value IS NOT NULL").withColumn("known", F.lit(True))
+    known = _known_values(df, allowed).withColumn("known", F.lit(True))
     found = counted.join(known, "value", "left")
     return found.select("value", "rows", F.coalesce("known", F.lit(False)).alias("allowed"))
 
@@ -149,20 +142,12 @@ def unexpected_values(df: DataFrame, column: str, allowed: DataFrame | Iterable[
 
 def allowed_values(df: DataFrame, table: str, column: str, allowed: DataFrame | Iterable[str]) -> Check:
     """NULL is not allowed. The message counts; ``unexpected_values`` lists."""
-    nulls, rows, values = (F.coalesce(n, F.lit(0)) for n in ("null_rows", "other_rows", "other_values"))
-    other = F.col("value").isNotNull() & ~F.col("allowed")
+    nulls, rows, values = (F.col(f"{n}_{column}") for n in ("null_rows", "other_rows", "other_values"))
+    allowed = allowed if isinstance(allowed, DataFrame) else tuple(allowed)
 
     def build(name: str) -> Check:
-        aggregates = {
-            "null_rows": F.sum(F.when(F.col("value").isNull(), F.col("rows"))),
-            "other_rows": F.sum(F.when(other, F.col("rows"))),
-            "other_values": F.count_if(other),
-        }
         message = _message("allowed", nulls, rows, values)
-        return Check(
-            name, (rows == 0) & (nulls == 0), message, aggregates,
-            shuffles=True, prepare=lambda table: value_counts(table, column, allowed),
-        )
+        return Check(name, (rows == 0) & (nulls == 0), message, by_value=column, allowed=allowed)
 
     return _on_column("allowed", df, table, column, build)
 
@@ -181,10 +166,10 @@ def numeric_range(df: DataFrame, table: str, column: str, low: float, high: floa
             smallest.isNotNull() & (below == 0) & (above == 0),
             F.when(smallest.isNull(), _message("no_number", column=column)).otherwise(observed),
             {
-                f"min_{column}": F.min(number),
-                f"max_{column}": F.max(number),
-                f"below_{column}": F.count_if(number < low),
-                f"above_{column}": F.count_if(number > high),
+                f"min_{column}": Total("min", number),
+                f"max_{column}": Total("max", number),
+                f"below_{column}": Total("count", number < low),
+                f"above_{column}": Total("count", number > high),
             },
         )
 
@@ -192,15 +177,8 @@ def numeric_range(df: DataFrame, table: str, column: str, low: float, high: floa
 
 
 def evaluate(df: DataFrame, checks: Iterable[Check], first_no: int = 0) -> DataFrame:
-    """(check_no, check_name, passed, message), one row per check of this table."""
+    """(check_no, check_name, passed, message), one row per check of this table, from one scan."""
     numbered = list(enumerate(checks, first_no))
-    passes = [[(n, c) for n, c in numbered if not c.shuffles]]
-    passes += [[(n, c)] for n, c in numbered if c.shuffles]
-    return reduce(DataFrame.unionByName, [_one_pass(df, p) for p in passes if p])
-
-
-def _one_pass(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
-    aggregates = {a: c for _, check in numbered for a, c in check.aggregates.items()} or _rows()
     results = F.array(
         *[
             F.struct(
@@ -212,10 +190,47 @@ def _one_pass(df: DataFrame, numbered: list[tuple[int, Check]]) -> DataFrame:
             for n, check in numbered
         ]
     )
-    for _, check in numbered:
-        df = check.prepare(df) if check.prepare else df
-    totals = df.agg(*[c.alias(a) for a, c in aggregates.items()])
-    return totals.select(F.inline(results))
+    return _measured(df, [check for _, check in numbered]).select(F.inline(results))
+
+
+def _measured(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row with all that the checks are computed from."""
+    totals = {a: t for check in checks for a, t in check.totals.items()} or _rows()
+    columns = list(dict.fromkeys(check.by_value for check in checks if check.by_value))
+    if not columns:
+        rows = df.select(*[t.value.alias(a) for a, t in totals.items()])
+        return rows.agg(*[t.over_rows(F.col(a)).alias(a) for a, t in totals.items()])
+
+    values = column_values(df, columns, totals)
+    known = [
+        _known_values(df, check.allowed).withColumn("column_no", F.lit(columns.index(check.by_value)))
+        for check in checks
+        if check.allowed is not None
+    ]
+    if known:
+        known = reduce(DataFrame.unionByName, known).withColumn("known", F.lit(True))
+        values = values.join(known, ["column_no", "value"], "left")
+    else:
+        values = values.withColumn("known", F.lit(None).cast("boolean"))
+    measures = []
+    for number, column in enumerate(columns):
+        own = F.col("column_no") == number
+        null, other = own & F.col("value").isNull(), own & F.col("value").isNotNull() & F.col("known").isNull()
+        measures += [
+            F.coalesce(F.sum(F.when(own, F.col("value_rows") - 1)), F.lit(0)).alias(f"repeated_{column}"),
+            F.coalesce(F.sum(F.when(null, F.col("value_rows"))), F.lit(0)).alias(f"null_rows_{column}"),
+            F.coalesce(F.sum(F.when(other, F.col("value_rows"))), F.lit(0)).alias(f"other_rows_{column}"),
+            F.count_if(other).alias(f"other_values_{column}"),
+        ]
+    return values.agg(*merged_totals(totals), *measures)
+
+
+def _known_values(df: DataFrame, allowed: DataFrame | Iterable[str]) -> DataFrame:
+    """(value) of the allowed values, each once, as text and without NULL."""
+    if not isinstance(allowed, DataFrame):
+        allowed = df.sparkSession.createDataFrame([(v,) for v in allowed], "value STRING")
+    known = allowed.toDF("value").select(F.col("value").cast("string").alias("value"))
+    return known.where("value IS NOT NULL").distinct()
 
 
 @dataclass(frozen=True)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.operators.aggregates import Mean
+from engagement_lake.operators.distinct import Total, distinct_counts, rows_total
 from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
 from engagement_lake.sources.tables import read_table
 
@@ -218,15 +219,29 @@ def most_engaged_visitors(t: Tables) -> DataFrame:
 
 
 def event_fact_validation(t: Tables) -> DataFrame:
-    return t["fact_media_engagement"].agg(
+    measured = distinct_counts(
+        t["fact_media_engagement"],
+        {
+            "unique_events": "event_key",
+            "unique_visitors": "visitor_key",
+            "media_count": "media_hashed_id",
+            "channel_count": "channel",
+        },
+        {
+            "total_events": rows_total(),
+            "first_event_at": Total("min", F.col("received_at")),
+            "last_event_at": Total("max", F.col("received_at")),
+        },
+    )
+    return measured.select(
         F.lit("Gold event fact validation").alias("check_name"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("event_key").alias("unique_events"),
-        F.count_distinct("visitor_key").alias("unique_visitors"),
-        F.count_distinct("media_hashed_id").alias("media_count"),
-        F.count_distinct("channel").alias("channel_count"),
-        F.min("received_at").alias("first_event_at"),
-        F.max("received_at").alias("last_event_at"),
+        "total_events",
+        "unique_events",
+        "unique_visitors",
+        "media_count",
+        "channel_count",
+        "first_event_at",
+        "last_event_at",
     )
 
 

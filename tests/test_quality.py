@@ -105,10 +105,21 @@ def test_an_absent_table_stops_its_layer(spark, silver):
     assert [r["passed"] for r in results] == [False, True, True, True]
 
 
-def test_shuffling_checks_read_only_their_own_column(spark, tmp_path, silver):
-    silver("fact_media_engagement", [{"event_key": "e"}]).write.parquet(str(tmp_path / "t"))
+@pytest.mark.parametrize("table", [*GOLD_TABLES, *MART_TABLES])
+def test_all_checks_of_a_table_share_one_scan(spark, tmp_path, silver, table):
+    silver(table, [{}]).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    found = [c for c in quality.table_checks(df, "fact_media_engagement", CHANNELS) if c.shuffles]
-    for one, column in zip(found, ("event_key", "channel"), strict=True):
-        plan = quality.evaluate(df, [one])._jdf.queryExecution().executedPlan().toString()
-        assert f"ReadSchema: struct<{column}:string>" in plan
+    found = quality.evaluate(df, quality.table_checks(df, table, CHANNELS, 2))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Expand" not in plan
+
+
+def test_checks_by_value_combine_before_the_shuffle(spark, tmp_path):
+    df = spark.range(0, 10_000, numPartitions=4).selectExpr("'YouTube' AS channel", "nullif(id, 7) AS k")
+    checks = [
+        quality.allowed_values(df, "t", "channel", CHANNELS), quality.unique(df, "t", "k"),
+        quality.no_nulls(df, "t", "k"), quality.row_count(df, "t", 10_000),
+    ]
+    assert [r["passed"] for r in quality.evaluate(df, checks).orderBy("check_no").collect()] == [
+        True, True, False, True,
+    ]
