@@ -26,7 +26,10 @@ def run_lakehouse(
     mart_base: str,
     validate: bool = True,
 ) -> dict[str, int]:
-    """Rebuild every table from raw and check the result; returns the rows written per table."""
+    """Rebuild every table from raw and check the result; returns the rows written per table.
+
+    The checks include that nothing raw had to be put aside as malformed.
+    """
     require_utc(spark)
     config = load_media_config(spark, config_path)
     written = run_silver(spark, raw_base, silver_base)
@@ -38,7 +41,7 @@ def run_lakehouse(
         stats = read_table(spark, silver_base, "media_stats")
         channels = config.select("channel").where("channel IS NOT NULL")
         passed, results = run_validation(
-            spark, gold_base, mart_base, channels, expected_row_counts(config, stats)
+            spark, gold_base, mart_base, channels, expected_row_counts(config, stats), silver_base
         )
         if not passed:
             failed = [r["check_name"] for r in results if not r["passed"]]

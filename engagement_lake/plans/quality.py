@@ -8,6 +8,7 @@ measures travel beside them, one row a task.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -16,9 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.operators.distinct import Total, column_values, merged_totals, rows_total
-from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
+from engagement_lake.plans.silver import quarantine_counts
+from engagement_lake.sources.schemas import ENDPOINTS, GOLD_TABLES, MART_TABLES
 from engagement_lake.sources.tables import find_table, table_path
 
+log = logging.getLogger(__name__)
+
 RESULT_DDL = "check_no INT, check_name STRING, passed BOOLEAN, message STRING"
 
 # The name of each check.
@@ -32,6 +36,7 @@ NAMES = {
     "unique": "{table}: unique: {column}",
     "allowed": "{table}: allowed values: {column}",
     "range": "{table}: numeric range: {column}",
+    "quarantine": "Silver quarantine is empty: {table}",
 }
 # What a check measured: "%s" stands for the measured values.
 MESSAGES = {
@@ -47,6 +52,7 @@ MESSAGES = {
     "allowed": "rows without a value: %s; rows with another value: %s; other values: %s",
     "range": "from %s to %s; rows below: %s; rows above: %s",
     "no_number": "no row holds a number",
+    "quarantine": "malformed rows: %s; files: %s",
 }
 
 
@@ -420,6 +426,19 @@ def mart_checks(spark, tables, channels, expected_rows=None, where=None) -> Data
     return layer_checks(spark, "Mart", tables, channels, expected_rows, where)
 
 
+def quarantine_checks(spark: SparkSession, silver_base: str) -> DataFrame:
+    """One check per endpoint that was read: nothing had to be put aside."""
+    counts = quarantine_counts(spark, silver_base)
+    numbered = [(n, e, NAMES["quarantine"].format(table=e)) for n, e in enumerate(ENDPOINTS)]
+    names = spark.createDataFrame(numbered, "check_no INT, endpoint STRING, check_name STRING")
+    return names.join(counts, "endpoint").select(
+        "check_no",
+        "check_name",
+        (F.col("malformed_rows") == 0).alias("passed"),
+        _message("quarantine", F.col("malformed_rows"), F.col("files")).alias("message"),
+    )
+
+
 def expected_row_counts(config: DataFrame, stats: DataFrame) -> dict[str, int]:
     """Row counts that follow from the configured media and the days on which media have statistics.
 
@@ -444,10 +463,14 @@ def run_validation(
     mart_base: str,
     channels: DataFrame | Iterable[str],
     expected_rows: Mapping[str, int] | None = None,
+    silver_base: str | None = None,
 ) -> tuple[bool, list]:
-    """Run and print every check; returns whether all passed, and the result rows."""
+    """Run and log every check; returns whether all passed, and the result rows.
+
+    With ``silver_base``, the quarantine is checked, too.
+    """
     channels = channels if isinstance(channels, DataFrame) else list(channels)
-    layers = []
+    layers = [] if silver_base is None else [quarantine_checks(spark, silver_base)]
     for run, base, names in (
         (gold_checks, gold_base, GOLD_TABLES),
         (mart_checks, mart_base, MART_TABLES),
@@ -458,7 +481,7 @@ def run_validation(
     # One row per check, a fixed and small number whatever the size of the tables.
     results = [r for layer in layers for r in layer.orderBy("check_no").collect()]
     passed = sum(r["passed"] for r in results)
-    print(f"checks: {len(results)}, passed: {passed}, failed: {len(results) - passed}")
+    log.info("checks: %d, passed: %d, failed: %d", len(results), passed, len(results) - passed)
     for r in results:
-        print(f"[{'PASS' if r['passed'] else 'FAIL'}] {r['check_name']} -- {r['message']}")
+        log.info("[%s] %s -- %s", "PASS" if r["passed"] else "FAIL", r["check_name"], r["message"])
     return passed == len(results), results

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from engagement_lake.functions import (
@@ -19,8 +21,13 @@ from engagement_lake.functions import (
 )
 from engagement_lake.operators.dedup import keep_first
 from engagement_lake.sources.raw import scan_raw_json, with_path_metadata
-from engagement_lake.sources.schemas import ENDPOINTS, VISITOR_FIELDS, arrange
-from engagement_lake.sources.tables import write_table
+from engagement_lake.sources.schemas import ENDPOINTS, RAW_FIELDS, VISITOR_FIELDS, arrange
+from engagement_lake.sources.session import scratch_path
+from engagement_lake.sources.tables import find_table, remove_path, write_table
+
+log = logging.getLogger(__name__)
+
+QUARANTINE = "quarantine"
 
 
 def flatten_media_metadata(raw: DataFrame) -> DataFrame:
@@ -153,30 +160,107 @@ FLATTEN = {
 }
 
 
-def build_silver(spark: SparkSession, raw_base: str, endpoint: str) -> DataFrame | None:
-    """Silver rows of one endpoint, or None if nothing has been landed for it."""
-    raw = scan_raw_json(spark, raw_base, endpoint)
+def is_malformed(endpoint: str) -> Column:
+    """Whether a raw row is no record of its endpoint: nothing that its table needs was in it.
+
+    A visitors document may hold no visitors; only text that is no JSON is malformed there.
+    """
+    fields = {"events": ("event_key", "visitor_key"), "visitors": (*VISITOR_FIELDS, "visitors")}.get(endpoint)
+    if fields is None:
+        fields = RAW_FIELDS[endpoint]
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    return nothing & F.try_parse_json("_value").isNull() if endpoint == "visitors" else nothing
+
+
+@dataclass(frozen=True)
+class Staged:
+    """One endpoint's raw records, read once and written in two parts."""
+
+    path: str
+    good: DataFrame
+    malformed: DataFrame
+    good_rows: int
+    malformed_rows: int
+
+
+def stage_raw(spark: SparkSession, raw_base: str, endpoint: str) -> Staged | None:
+    """Read the endpoint once and part records from what is none; None if nothing has been landed."""
+    raw = scan_raw_json(spark, raw_base, endpoint, with_value=True)
     if raw is None:
-        print(f"{endpoint}: skipped, no folder below {raw_base}")
         return None
-    rows = FLATTEN[endpoint](with_path_metadata(raw))
-    if rows.isEmpty():
-        print(f"{endpoint}: skipped, no records below {raw_base}")
-        return None
-    return dedup_events(rows) if endpoint == "events" else rows
+    marked = with_path_metadata(raw).withColumn("malformed", is_malformed(endpoint))
+    marked = marked.withColumn("_value", F.when(F.col("malformed"), F.col("_value")))
+    counts, path = Observation(), scratch_path(spark, f"staged-{endpoint}")
+    observed = marked.observe(
+        counts,
+        F.count_if(~F.col("malformed")).alias("good"),
+        F.count_if(F.col("malformed")).alias("malformed"),
+    )
+    observed.write.partitionBy("malformed").parquet(path)
+    staged = spark.read.schema(marked.schema).parquet(path)
+    return Staged(
+        path,
+        staged.where("NOT malformed").drop("malformed", "_value"),
+        staged.where("malformed"),
+        counts.get["good"],
+        counts.get["malformed"],
+    )
+
+
+def quarantined(staged: Staged) -> DataFrame:
+    """What was no record: its text and where it came from."""
+    return staged.malformed.select(
+        "source_file",
+        "source_media_id",
+        "ingest_date",
+        "source_page",
+        F.col("_value").alias("record_text"),
+        "silver_processed_at",
+    )
 
 
 def run_silver(
     spark: SparkSession, raw_base: str, silver_base: str, endpoints: Iterable[str] | None = None
 ) -> dict[str, int]:
-    """Rebuild the chosen silver tables; returns the rows written per table."""
+    """Rebuild the chosen silver tables; returns the rows written per table.
+
+    Each endpoint is read once. What is no record goes to ``quarantine/<endpoint>`` below the silver
+    folder, which is rewritten in every run, and not into the table.
+    """
     chosen = list(ENDPOINTS if endpoints is None else endpoints)
     unknown = [e for e in chosen if e not in FLATTEN]
     if unknown:
         raise ValueError(f"unknown endpoints: {unknown}")
     written = {}
     for endpoint in chosen:
-        table = build_silver(spark, raw_base, endpoint)
-        if table is not None:
+        staged = stage_raw(spark, raw_base, endpoint)
+        if staged is None:
+            log.info("%s: skipped, no folder below %s", endpoint, raw_base)
+            continue
+        aside = write_table(quarantined(staged), silver_base, f"{QUARANTINE}/{endpoint}")
+        if aside != staged.malformed_rows:
+            raise RuntimeError(f"{endpoint}: {staged.malformed_rows} malformed rows were read, {aside} written")
+        table = FLATTEN[endpoint](staged.good)
+        if not staged.good_rows or table.isEmpty():
+            log.info("%s: skipped, no records below %s", endpoint, raw_base)
+        else:
+            table = dedup_events(table) if endpoint == "events" else table
             written[endpoint] = write_table(table, silver_base, endpoint)
+        remove_path(spark, staged.path)
     return written
+
+
+def quarantine_counts(spark: SparkSession, silver_base: str) -> DataFrame:
+    """(endpoint, malformed_rows, files) of every endpoint that the last runs read."""
+    counts = spark.createDataFrame([], "endpoint STRING, malformed_rows BIGINT, files BIGINT")
+    for endpoint in ENDPOINTS:
+        rows = find_table(spark, silver_base, f"{QUARANTINE}/{endpoint}")
+        if rows is not None:
+            counts = counts.unionByName(
+                rows.agg(
+                    F.lit(endpoint).alias("endpoint"),
+                    F.count(F.lit(1)).alias("malformed_rows"),
+                    F.count_distinct("source_file").alias("files"),
+                )
+            )
+    return counts

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from engagement_lake.functions import to_int
 from engagement_lake.sources.schemas import RAW_DDL
-from engagement_lake.sources.tables import path_exists, table_path
+from engagement_lake.sources.tables import child_names, path_exists, put_marker, table_path
 
 # How a path spells the media, the ingest date and the page it belongs to.
 MEDIA_IN_PATH = r"media_id=([^/]+)"
@@ -16,14 +18,19 @@ PAGE_IN_PATH = r"page=(\d+)\.json"
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-# Files that are known to hold one record per line: they can be large and are still split.
+# Files that are known to hold one record per line.
 _RECORD_LINES = r"\.(txt|jsonl|ndjson)[^/]*$"
 
 LAYOUTS = ("lines", "documents")
 
+_BATCH = "batch="
+_COMMITTED = "_committed"
+# What batches may be called: a name that every file system keeps as it is.
+_BATCH_NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
+
 
 def scan_raw_json(
-    spark: SparkSession, base: str, endpoint: str, layout: str | None = None
+    spark: SparkSession, base: str, endpoint: str, layout: str | None = None, with_value: bool = False
 ) -> DataFrame | None:
     """All records of all files below ``base/endpoint`` with their ``source_file``; None if absent.
 
@@ -31,37 +38,146 @@ def scan_raw_json(
     JSON value). Without it, files named ``*.txt*``, ``*.jsonl*`` or ``*.ndjson*`` are lines, and every
     other file, whatever its name, is lines if its first line is a whole JSON value and else a
     document. A value is a record or an array of records; one that is no JSON gives a row without
-    any field, never none. Files that are not known to be lines are read whole, each in one task.
+    any field, never none. ``with_value`` adds the text of the value that a record came in as ``_value``.
+
+    Files of at most one split (``spark.sql.files.maxPartitionBytes``) that are not known to be lines are
+    read whole. Larger ones are cut: lines at their ends, documents between the records of their array,
+    so that no task and no string holds a large file. Of a document that is one object, the object is
+    one record. Batches that were landed without being committed are not read.
     """
     if layout is not None and layout not in LAYOUTS:
         raise ValueError(f"unknown layout: {layout}")
     path = table_path(base, endpoint)
     if not path_exists(spark, path):
         return None
-    reader = spark.read.option("recursiveFileLookup", True)
+    paths = _committed_paths(spark, base, endpoint)
+    if not paths:
+        return None
+    values = _values(spark, paths, layout)
+    return _records(values, endpoint, with_value)
+
+
+def _committed_paths(spark: SparkSession, base: str, endpoint: str) -> list[str]:
+    """The endpoint's folder, or, where batches lie in it, what is committed and what has no batch."""
+    path = table_path(base, endpoint)
+    names = child_names(spark, path)
+    if not any(n.startswith(_BATCH) for n in names):
+        return [path]
+    markers = table_path(base, f"{_COMMITTED}/{endpoint}")
+    committed = set(child_names(spark, markers)) if path_exists(spark, markers) else set()
+    read = [n for n in names if not n.startswith(_BATCH) or n.removeprefix(_BATCH) in committed]
+    return [f"{path}/{n}" for n in read if not n.startswith(("_", "."))]
+
+
+def split_bytes(spark: SparkSession) -> int:
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
+def _values(spark: SparkSession, paths: list[str], layout: str | None) -> DataFrame:
+    """(source_file, value): the text of every JSON value."""
     source_file = F.col("_metadata.file_path").alias("source_file")
-    lines = reader.schema(RAW_DDL[endpoint]).json(path).select("*", source_file)
+
+    def reader():
+        return spark.read.option("recursiveFileLookup", True)
+
     if layout == "lines":
-        return lines
-    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    whole = whole.select("value", source_file)
+        return reader().text(paths).select(source_file, "value")
+    limit = split_bytes(spark)
+    named = F.col("_metadata.file_path").rlike(_RECORD_LINES)
+    cut = ~named if layout is None else F.lit(True)
+    small = F.col("_metadata.file_size") <= limit
+    whole = reader().text(paths, wholetext=True)
+    whole = whole.where(cut & small).select("value", source_file)
     if layout == "documents":
-        return _records(whole, F.array("value"), endpoint)
-    text = F.regexp_replace("value", r"^\s+", "")
-    first_line = F.substring_index(text, "\n", 1)
-    values = F.when(F.try_parse_json(first_line).isNotNull(), F.split("value", "\n"))
-    named = F.col("source_file").rlike(_RECORD_LINES)
-    records = _records(whole.where(~named), F.coalesce(values, F.array("value")), endpoint)
-    return lines.where(named).unionByName(records)
-
-
-def _records(files: DataFrame, values: Column, endpoint: str) -> DataFrame:
-    """The records of each file's JSON values."""
-    values = files.select("source_file", F.explode(values).alias("value")).where(r"value RLIKE '\\S'")
-    parsed = F.from_json("value", f"ARRAY<STRUCT<{RAW_DDL[endpoint]}>>")
+        values = whole.select("source_file", "value")
+    else:
+        text = F.regexp_replace("value", r"^\s+", "")
+        first_line = F.substring_index(text, "\n", 1)
+        each = F.when(F.try_parse_json(first_line).isNotNull(), F.split("value", "\n"))
+        values = whole.select("source_file", F.explode(F.coalesce(each, F.array("value"))).alias("value"))
+        values = values.unionByName(reader().text(paths).where(named).select(source_file, "value"))
+    sizes = reader().format("binaryFile").load(paths)
+    large = sizes.where(F.col("length") > limit).select("path")
+    large = large if layout == "documents" else large.where(~F.col("path").rlike(_RECORD_LINES))
+    if large.isEmpty():
+        return values
+    numbered = lines_of(spark, paths, cut & ~small)
+    return values.unionByName(cut_files(numbered, layout))
+
+
+def lines_of(spark: SparkSession, paths: list[str], keep: Column | None = None) -> DataFrame:
+    """(source_file, block, at, value): every line; ``at`` orders the lines of a block, ``block`` the blocks of a file."""
+    read = spark.read.option("recursiveFileLookup", True).text(paths)
+    read = read if keep is None else read.where(keep)
+    return read.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+
+
+def cut_files(lines: DataFrame, layout: str | None = None) -> DataFrame:
+    """(source_file, value) of files that are too large to be read whole."""
+    begins = lines.where((F.col("block") == 0) & F.col("value").rlike(r"\S"))
+    first = begins.groupBy("source_file").agg(F.min_by("value", "at").alias("first"))
+    is_lines = F.try_parse_json("first").isNotNull() if layout is None else F.lit(False)
+    kinds = first.select("source_file", is_lines.alias("is_lines"), F.col("first").rlike(r"^\s*\[").alias("is_array"))
+    # One row per file: joined, not gathered.
+    known = lines.join(kinds, "source_file", "left").withColumn("is_lines", F.coalesce("is_lines", F.lit(True)))
+    by_line = known.where("is_lines").select("source_file", "value")
+    return by_line.unionByName(_document_records(known.where("NOT is_lines")))
+
+
+# Strings, marks of structure, and what lies between. Strings hold no line ends, so each line can be cut alone.
+_TOKENS = r'"(?:[^"\\]++|\\.)*+"|[\[\]{},]|[^"\[\]{},]++|"'
+
+
+def _document_records(lines: DataFrame) -> DataFrame:
+    """(source_file, value): the elements of each document's array, or the whole object.
+
+    How deep a place lies in the document follows from the marks before it: added up within each block,
+    then over the blocks of a file. Commas at depth one part the records.
+    """
+    tokens = F.regexp_extract_all("value", F.lit(_TOKENS), F.lit(0))
+    cut = lines.select("source_file", "is_array", "block", "at", F.posexplode(tokens).alias("pos", "token"))
+    step = F.when(F.col("token").isin("[", "{"), 1).when(F.col("token").isin("]", "}"), -1).otherwise(0)
+    deep = _running(cut.withColumn("step", step), "step", "depth")
+    parts = F.col("is_array") & (F.col("token") == ",") & (F.col("depth") == 1)
+    counted = _running(deep.withColumn("parts", parts.cast("int")), "parts", "record")
+    outside = F.col("is_array") & ((F.col("depth") == 0) | ((F.col("depth") == 1) & (F.col("step") == 1)))
+    inside = counted.where(~(outside & (F.col("step") != 0)) & (F.col("parts") == 0))
+    # Grouped by record: no more than one record's tokens meet.
+    ordered = F.array_sort(F.collect_list(F.struct("block", "at", "pos", "token")))
+    records = inside.groupBy("source_file", "record").agg(ordered.alias("tokens"))
+    return records.select("source_file", F.array_join(F.col("tokens.token"), "").alias("value"))
+
+
+def _running(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the running sum of a column over each file, in the order of its blocks, lines and tokens."""
+    block = Window.partitionBy("source_file", "block").orderBy("at", "pos")
+    file = Window.partitionBy("source_file").orderBy("block")
+    sums = df.groupBy("source_file", "block").agg(F.sum(column).alias("_sum"))
+    before = sums.select("source_file", "block", (F.sum("_sum").over(file) - F.col("_sum")).alias("_before"))
+    within = df.withColumn("_within", F.sum(column).over(block.rowsBetween(Window.unboundedPreceding, 0)))
+    added = within.join(before, ["source_file", "block"])
+    return added.withColumn(name, F.col("_within") + F.col("_before")).drop("_within", "_before")
+
+
+def _records(values: DataFrame, endpoint: str, with_value: bool = False) -> DataFrame:
+    """The records of JSON values."""
+    values = values.where(r"value RLIKE '\\S'")
+    record = f"STRUCT<{RAW_DDL[endpoint]}>"
+    parsed = F.from_json("value", f"ARRAY<{record}>")
+    # One element that is no object spoils the whole array: then each is read alone.
+    elements = F.transform(F.from_json("value", "ARRAY<STRING>"), lambda e: F.from_json(e, record))
     # Text that is no JSON stays as a row; an empty array has no records.
-    parsed = F.coalesce(parsed, F.array(F.lit(None)))
-    return values.select("source_file", F.explode(parsed).alias("record")).select("record.*", "source_file")
+    parsed = F.coalesce(parsed, elements, F.array(F.lit(None)))
+    kept = [F.col("value").alias("_value")] if with_value else []
+    return values.select("source_file", *kept, F.explode(parsed).alias("record")).select(
+        "record.*", "source_file", *(["_value"] if with_value else [])
+    )
 
 
 def _path_part(pattern: str) -> Column:
@@ -99,9 +215,14 @@ def land_raw_json(
     media_id: Column | None = None,
     page: Column | None = None,
     payload: list[str] | None = None,
+    batch: str | None = None,
 ) -> str:
     """Append records as JSON lines below ``endpoint/[media_id=../]ingest_date=../``.
 
+    With a ``batch``, landing may be repeated: its files lie below ``endpoint/batch=../`` and count from the
+    moment a marker says that all are there. A batch that is committed is not landed again; one that
+    was left unfinished is replaced. Two landings of one batch must not run at once.
+
     The payload is every column of ``records``, or those named. The page of an event goes into the payload
     too: a folder per page would mean one file per hundred events. The rebalance hint gathers a
     media's rows into few files and splits a media that holds much of the data.
@@ -118,11 +239,20 @@ def land_raw_json(
         F.to_json(F.struct(*fields)).alias("value"),
         *[c.cast("string").alias(name) for name, c in folders.items()],
     )
-    path = table_path(base, endpoint)
+    path, mode, marker = table_path(base, endpoint), "append", None
+    if batch is not None:
+        if not _BATCH_NAME.fullmatch(batch):
+            raise ValueError(f"not a name for a batch: {batch}")
+        marker = table_path(base, f"{_COMMITTED}/{endpoint}/{batch}")
+        path, mode = f"{path}/{_BATCH}{batch}", "overwrite"
+        if path_exists(lines.sparkSession, marker):
+            return path
     (
         lines.hint("rebalance", *folders)
-        .write.mode("append")
+        .write.mode(mode)
         .partitionBy(*folders)
         .text(path)
     )
+    if marker is not None:
+        put_marker(lines.sparkSession, marker)
     return path

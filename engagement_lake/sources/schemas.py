@@ -44,6 +44,15 @@ RAW_DDL = {
         _page STRING""",
 }
 
+# The fields of each endpoint's records.
+RAW_FIELDS = {
+    "media_metadata": (
+        "id", "hashed_id", "type", "name", "duration", "created", "updated", "status", "archived",
+        "description", "project", "section", "share_link", "thumbnail",
+    ),
+    "media_stats": ("load_count", "play_count", "play_rate", "hours_watched", "engagement", "visitors"),
+}
+
 # Endpoint and table names, and the columns of each table in output order.
 ENDPOINTS = ("media_metadata", "media_stats", "visitors", "events")
 GOLD_TABLES = ("dim_media", "fact_media_daily_stats", "fact_media_engagement", "dim_visitor")

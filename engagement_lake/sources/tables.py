@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+log = logging.getLogger(__name__)
+
+
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
@@ -17,6 +22,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below the folder, on whatever file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+
+
+def put_marker(spark: SparkSession, path: str) -> None:
+    """Create an empty file, and its folders, in one step."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
@@ -39,7 +61,7 @@ def write_table(df: DataFrame, base: str, name: str, mode: str = "overwrite") ->
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.mode(mode).parquet(table_path(base, name))
     rows = written.get["rows"]
-    print(f"{name}: {rows} rows -> {table_path(base, name)}")
+    log.info("%s: %d rows -> %s", name, rows, table_path(base, name))
     return rows
 
 

@@ -7,6 +7,7 @@ from engagement_lake.plans.gold import run_gold
 from engagement_lake.plans.lakehouse import ValidationFailed, run_lakehouse
 from engagement_lake.plans.marts import run_marts
 from engagement_lake.plans.quality import run_validation
+from engagement_lake.plans.silver import quarantine_counts
 from engagement_lake.sources.session import scratch_path, shuffle_tasks_for
 from engagement_lake.sources.tables import describe_tables, find_table, read_table, register_tables, write_table
 
@@ -92,6 +93,30 @@ def test_unmapped_media_fail_the_run(spark, tmp_path):
     assert run_lakehouse(spark, str(tmp_path / "config.json"), *folders, validate=False)["dim_media"] == 3
 
 
+def test_a_broken_page_is_put_aside_and_fails_the_run(spark, tmp_path):
+    land(tmp_path / "raw")
+    put(tmp_path / "config.json", CONFIG)
+    broken = tmp_path / "raw/events/media_id=m1/ingest_date=2024-01-02"
+    (broken / "page=3.json").write_text("<html>\nlimit reached")
+    put(broken / "page=4.json", {"error": "limit"})
+    put(broken / "page=5.json", [{"event_key": "m1-9", "visitor_key": "v9", "percent_viewed": 1}, {"oops": [1]}, 7])
+    folders = [str(tmp_path / k) for k in ("raw", "silver", "gold", "marts")]
+    with pytest.raises(ValidationFailed, match="quarantine is empty: events"):
+        run_lakehouse(spark, str(tmp_path / "config.json"), *folders)
+    assert read_table(spark, folders[1], "events").where("event_key = 'm1-9'").count() == 1
+    assert read_table(spark, folders[1], "events").where("event_key IS NULL").count() == 0
+    aside = read_table(spark, folders[1], "quarantine/events").collect()
+    assert sorted((r["source_page"], r["source_media_id"], r["ingest_date"]) for r in aside) == [
+        (3, "m1", "2024-01-02"), (4, "m1", "2024-01-02"), (5, "m1", "2024-01-02"), (5, "m1", "2024-01-02"),
+    ]
+    assert {r["record_text"] for r in aside if r["source_page"] == 3} == {"<html>\nlimit reached"}
+    counts = {r["endpoint"]: (r["malformed_rows"], r["files"]) for r in quarantine_counts(spark, folders[1]).collect()}
+    assert counts == {"events": (4, 3), "media_metadata": (0, 0), "media_stats": (0, 0), "visitors": (0, 0)}
+    for page in (3, 4, 5):
+        (broken / f"page={page}.json").unlink()
+    assert run_lakehouse(spark, str(tmp_path / "config.json"), *folders)["events"] == 8
+
+
 def test_a_media_may_begin_later(spark, tmp_path):
     land(tmp_path / "raw", late_media="m2")
     put(tmp_path / "config.json", CONFIG)
@@ -113,10 +138,11 @@ def test_chosen_tables_only(spark, lake, tmp_path):
         run_marts(spark, gold, gold, ["mart_time"])
 
 
-def test_validation_reports_absent_layers(spark, tmp_path, capsys):
+def test_validation_reports_absent_layers(spark, tmp_path, caplog):
+    caplog.set_level("INFO", "engagement_lake")
     passed, results = run_validation(spark, str(tmp_path / "a"), str(tmp_path / "b"), ["YouTube"])
     assert not passed and len(results) == 8
-    assert "checks: 8, passed: 0, failed: 8" in capsys.readouterr().out
+    assert "checks: 8, passed: 0, failed: 8" in caplog.text
 
 
 def test_gold_does_not_need_visitors(spark, lake, tmp_path):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from engagement_lake.plans import silver
-from engagement_lake.sources.raw import land_raw_json, scan_raw_json, with_path_metadata
+from engagement_lake.sources.raw import land_raw_json, lines_of, scan_raw_json, with_path_metadata
 from engagement_lake.sources.schemas import RAW_DDL, column_types
 from engagement_lake.sources.tables import read_table
 
@@ -117,13 +117,14 @@ def test_payload_that_is_no_event_list_is_reported(spark, tmp_path):
     assert [(r["source_file"].rsplit("/", 1)[1], r["malformed_rows"]) for r in bad] == [("page=2.json", 1)]
 
 
-def test_missing_or_empty_endpoints_are_skipped(spark, tmp_path, capsys):
+def test_missing_or_empty_endpoints_are_skipped(spark, tmp_path, caplog):
+    caplog.set_level("INFO", "engagement_lake")
     raw, out = tmp_path / "raw", str(tmp_path / "silver")
     (raw / "media_stats").mkdir(parents=True)
     put(raw, "visitors/ingest_date=2024-01-01/response.json", "[]")
     put(raw, f"events/media_id=m1/{DAY}/page=1.json", [{"event_key": "a"}, {"event_key": "a"}])
     assert silver.run_silver(spark, str(raw), out) == {"events": 1}
-    shown = capsys.readouterr().out
+    shown = caplog.text
     for endpoint in ("media_metadata", "media_stats", "visitors"):
         assert f"{endpoint}: skipped" in shown
     assert read_table(spark, out, "events").count() == 1
@@ -202,3 +203,87 @@ def test_media_ids_survive_the_path(spark, tmp_path):
         stats, str(tmp_path), "media_stats", F.lit("2024-01-01"), F.col("media"), payload=["load_count"]
     )
     assert rows(flat(spark, tmp_path, "media_stats"), "media_hashed_id") == sorted([(i,) for i in ids], key=repr)
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def events_of(n, start=0):
+    odd = ['plain', 'a } b', '[{"x": 1}, {', 'quote " and \\\\ back', '},{', 'é 中', '\\n', '']
+    return [
+        {"event_key": f"e{i}", "city": odd[i % len(odd)] + "x" * (i % 50), "conversion_data": {"k": [i, {"z": odd[i % 5]}]}}
+        for i in range(start, start + n)
+    ]
+
+
+def expected_of(records):
+    return sorted((r["event_key"], r["city"], json.dumps(r["conversion_data"], sort_keys=True)) for r in records)
+
+
+def found_of(df):
+    found = df.select("event_key", "city", "conversion_data").collect()
+    return sorted((r[0], r[1], json.dumps(json.loads(r[2]), sort_keys=True)) for r in found)
+
+
+def test_large_files_are_cut_at_their_records(spark, tmp_path, small_splits):
+    folder = f"events/media_id=m1/{DAY}"
+    lines, pretty, inline, small = (events_of(300, start) for start in (0, 1000, 2000, 3000))
+    put(tmp_path, f"{folder}/lines.json", "".join(json.dumps(r, ensure_ascii=False) + "\n" for r in lines))
+    put(tmp_path, f"{folder}/pretty.json", "\n\n" + json.dumps(pretty, indent=3))
+    put(tmp_path, f"{folder}/inline.json", "[ " + "},\n{".join(json.dumps(r)[1:-1] for r in inline).join("{}") + " ]")
+    put(tmp_path, f"{folder}/small.json", json.dumps(small[:3]))
+    put(tmp_path, f"{folder}/object.json", {**pretty[0], "event_key": "alone", "media_url": "\n" * 9000})
+    put(tmp_path, f"{folder}/named.jsonl", "".join(json.dumps(r) + "\n" for r in events_of(200, 5000)))
+    found = scan_raw_json(spark, str(tmp_path), "events")
+    alone = {**pretty[0], "event_key": "alone"}
+    assert found_of(found) == expected_of([*lines, *pretty, *inline, *small[:3], alone, *events_of(200, 5000)])
+    read = lines_of(spark, [str(tmp_path / "events")]).where("source_file LIKE '%lines.json'")
+    assert read.select(F.spark_partition_id()).distinct().count() > 5
+    assert read.groupBy(F.spark_partition_id()).agg(F.sum(F.length("value")).alias("n")).where("n > 8192").count() == 0
+
+
+def test_large_documents_with_a_given_layout(spark, tmp_path, small_splits):
+    records = events_of(200)
+    put(tmp_path, "events/x.txt", json.dumps(records, indent=1))
+    assert found_of(scan_raw_json(spark, str(tmp_path), "events", "documents")) == expected_of(records)
+
+
+def test_a_large_file_that_is_no_json_stays_one_malformed_row(spark, tmp_path, small_splits):
+    put(tmp_path, "events/x.json", "<html>\n" + "no record { here ]\n" * 1000)
+    assert scan_raw_json(spark, str(tmp_path), "events").where("event_key IS NULL").count() == 1
+
+
+def test_landing_a_batch_again_changes_nothing(spark, tmp_path):
+    rows_in = spark.createDataFrame([("a", "m1"), ("b", "m2")], "event_key STRING, media STRING")
+
+    def land(df, batch):
+        return land_raw_json(df, str(tmp_path), "events", F.lit("2024-01-02"), F.col("media"), F.lit(1), ["event_key"], batch)
+
+    land(rows_in, "one")
+    land(rows_in, "one")
+    land(rows_in.withColumn("event_key", F.lit("c")), "two")
+    assert rows(flat(spark, tmp_path, "events"), "event_key", "source_media_id", "ingest_date") == [
+        ("a", "m1", "2024-01-02"), ("b", "m2", "2024-01-02"), ("c", "m1", "2024-01-02"), ("c", "m2", "2024-01-02"),
+    ]
+    with pytest.raises(ValueError, match="not a name"):
+        land(rows_in, "a/b")
+
+
+def test_an_unfinished_batch_is_not_read_and_is_replaced(spark, tmp_path):
+    rows_in = spark.createDataFrame([("a", "m1")], "event_key STRING, media STRING")
+
+    def land(batch=None):
+        land_raw_json(rows_in, str(tmp_path), "events", F.lit("2024-01-02"), F.col("media"), F.lit(1), ["event_key"], batch)
+
+    put(tmp_path, "events/batch=one/media_id=m1/ingest_date=2024-01-02/part.txt", json.dumps({"event_key": "half"}))
+    assert scan_raw_json(spark, str(tmp_path), "events") is None
+    land()  # records without a batch are read beside
+    assert rows(flat(spark, tmp_path, "events"), "event_key") == [("a",)]
+    land("one")
+    assert rows(flat(spark, tmp_path, "events"), "event_key") == [("a",), ("a",)]
