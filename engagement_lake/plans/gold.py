@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from engagement_lake.operators.aggregates import LatestValues, Mean
 from engagement_lake.operators.dedup import keep_first
+from engagement_lake.operators.skew import spread_left_join
 from engagement_lake.plans.silver import dedup_events
 from engagement_lake.sources.config import load_media_config
 from engagement_lake.sources.schemas import GOLD_TABLES, arrange, columns_of, select_existing
@@ -16,12 +17,15 @@ from engagement_lake.sources.session import require_utc
 from engagement_lake.sources.tables import find_table, read_table, write_table
 
 
-def with_channel(df: DataFrame, config: DataFrame) -> DataFrame:
+def with_channel(df: DataFrame, config: DataFrame, spread: bool = False) -> DataFrame:
     """Add the configured channel; media that are not configured keep NULL.
 
     No broadcast hint: the configuration's exact size decides. A small one is broadcast, a large
-    one is joined by sort-merge, where adaptive execution splits the partition of a hot media.
+    one is joined by sort-merge. ``spread`` deals the rows of heavy media over salts for that, for one
+    more scan of the media column, instead of leaving them to adaptive execution.
     """
+    if spread:
+        return spread_left_join(df, config.select("media_hashed_id", "channel"), "media_hashed_id")
     return df.join(config.select("media_hashed_id", "channel"), "media_hashed_id", "left")
 
 
@@ -45,18 +49,20 @@ def dedup_daily_stats(stats: DataFrame) -> DataFrame:
     )
 
 
-def build_fact_media_daily_stats(stats: DataFrame, config: DataFrame) -> DataFrame:
+def build_fact_media_daily_stats(
+    stats: DataFrame, config: DataFrame, spread_media: bool = False
+) -> DataFrame:
     """One row per media and snapshot date, with totals cumulative up to that date."""
     used = select_existing(stats, [*columns_of("fact_media_daily_stats"), "source_file"])
     snapshots = used.withColumn("snapshot_date", F.col("ingest_date"))
-    keyed = with_channel(dedup_daily_stats(snapshots), config).withColumn(
+    keyed = with_channel(dedup_daily_stats(snapshots), config, spread_media).withColumn(
         "media_daily_stats_key", F.concat_ws("_", "media_hashed_id", "snapshot_date")
     )
     return arrange(keyed, "fact_media_daily_stats")
 
 
 def build_fact_media_engagement(
-    events: DataFrame, config: DataFrame, events_unique: bool = False
+    events: DataFrame, config: DataFrame, events_unique: bool = False, spread_media: bool = False
 ) -> DataFrame:
     """One row per event.
 
@@ -66,7 +72,7 @@ def build_fact_media_engagement(
     # Only what the fact keeps is read and shuffled, plus the file that orders the copies.
     used = select_existing(events, [*columns_of("fact_media_engagement"), "source_file"])
     unique = used if events_unique else dedup_events(used)
-    keyed = with_channel(unique, config).withColumns(
+    keyed = with_channel(unique, config, spread_media).withColumns(
         {"media_engagement_key": F.col("event_key"), "event_date": F.to_date("received_at")}
     )
     return arrange(keyed, "fact_media_engagement")
@@ -151,8 +157,14 @@ def run_gold(
     config_path: str,
     tables: Iterable[str] | None = None,
     events_unique: bool = False,
+    snapshots: bool = False,
+    spread_media: bool = False,
 ) -> dict[str, int]:
-    """Rebuild the chosen gold tables; returns the rows written per table."""
+    """Rebuild the chosen gold tables; returns the rows written per table.
+
+    With ``snapshots``, the daily statistics have a folder per snapshot date. ``spread_media`` is for a
+    configuration too large to broadcast beside media that have a large part of the events.
+    """
     require_utc(spark)
     chosen = list(GOLD_TABLES if tables is None else tables)
     unknown = [t for t in chosen if t not in GOLD_TABLES]
@@ -166,13 +178,18 @@ def run_gold(
     builders = {
         "dim_media": lambda: build_dim_media(silver("media_metadata"), config),
         "fact_media_daily_stats": lambda: build_fact_media_daily_stats(
-            silver("media_stats"), config
+            silver("media_stats"), config, spread_media
         ),
         "fact_media_engagement": lambda: build_fact_media_engagement(
-            silver("events"), config, events_unique
+            silver("events"), config, events_unique, spread_media
         ),
         "dim_visitor": lambda: build_dim_visitor(
             silver("events"), find_table(spark, silver_base, "visitors")
         ),
     }
-    return {name: write_table(builders[name](), gold_base, name) for name in chosen}
+    return {
+        name: write_table(
+            builders[name](), gold_base, name, snapshots=snapshots and name == "fact_media_daily_stats"
+        )
+        for name in chosen
+    }

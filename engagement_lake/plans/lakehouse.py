@@ -25,6 +25,7 @@ def run_lakehouse(
     gold_base: str,
     mart_base: str,
     validate: bool = True,
+    snapshots: bool = False,
 ) -> dict[str, int]:
     """Rebuild every table from raw and check the result; returns the rows written per table.
 
@@ -34,9 +35,9 @@ def run_lakehouse(
     config = load_media_config(spark, config_path)
     written = run_silver(spark, raw_base, silver_base)
     written |= run_gold(
-        spark, silver_base, gold_base, config_path, events_unique="events" in written
+        spark, silver_base, gold_base, config_path, events_unique="events" in written, snapshots=snapshots
     )
-    written |= run_marts(spark, gold_base, mart_base)
+    written |= run_marts(spark, gold_base, mart_base, snapshots=snapshots)
     if validate:
         stats = read_table(spark, silver_base, "media_stats")
         channels = config.select("channel").where("channel IS NOT NULL")

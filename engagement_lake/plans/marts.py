@@ -14,6 +14,7 @@ from engagement_lake.operators.aggregates import (
     share_of_events,
     view_measures,
 )
+from engagement_lake.operators.lists import SEGMENT_BYTES, text_segments
 from engagement_lake.sources.schemas import MART_TABLES, arrange
 from engagement_lake.sources.tables import read_table, write_table
 
@@ -48,6 +49,18 @@ def media_names_by_channel(media: DataFrame) -> DataFrame:
     return media.groupBy("channel").agg(distinct_text("media_name").alias("media_names"))
 
 
+def media_name_segments(media: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+    """(channel, part, text): the names of ``media_names_by_channel`` for channels of very many media, whose
+    list should not be one cell. A channel without names has no rows."""
+    return text_segments(media, ["channel"], "media_name", segment_bytes)
+
+
+def seen_segments(engagement: DataFrame, seen: str, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
+    """(visitor_key, part, text): the channels or media (``seen``) of ``visitor_viewing`` in segments."""
+    known = engagement.where(F.col("visitor_key").isNotNull())
+    return text_segments(known, ["visitor_key"], seen, segment_bytes)
+
+
 def build_mart_channel_performance(
     daily_stats: DataFrame, engagement: DataFrame, media: DataFrame, mean: Mean = F.avg
 ) -> DataFrame:
@@ -120,9 +133,16 @@ def build_mart_visitor_engagement(visitors: DataFrame, engagement: DataFrame) ->
 
 
 def run_marts(
-    spark: SparkSession, gold_base: str, mart_base: str, marts: Iterable[str] | None = None
+    spark: SparkSession,
+    gold_base: str,
+    mart_base: str,
+    marts: Iterable[str] | None = None,
+    snapshots: bool = False,
 ) -> dict[str, int]:
-    """Rebuild the chosen marts; returns the rows written per mart."""
+    """Rebuild the chosen marts; returns the rows written per mart.
+
+    With ``snapshots``, the channel mart has a folder per snapshot date.
+    """
     chosen = list(MART_TABLES if marts is None else marts)
     unknown = [m for m in chosen if m not in MART_TABLES]
     if unknown:
@@ -141,4 +161,9 @@ def run_marts(
             gold("dim_visitor"), gold("fact_media_engagement")
         ),
     }
-    return {name: write_table(builders[name](), mart_base, name) for name in chosen}
+    return {
+        name: write_table(
+            builders[name](), mart_base, name, snapshots=snapshots and name == "mart_channel_performance"
+        )
+        for name in chosen
+    }

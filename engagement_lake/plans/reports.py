@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from engagement_lake.operators.aggregates import Mean
 from engagement_lake.operators.distinct import Total, distinct_counts, rows_total
 from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
-from engagement_lake.sources.tables import read_table
+from engagement_lake.sources.tables import footers, latest_rows, read_latest_snapshot, read_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -100,19 +100,21 @@ def top(df: DataFrame, n: int, by: list[str], keys: tuple[str, ...]) -> DataFram
 
 
 def row_counts(tables: Tables, names: tuple[str, ...]) -> DataFrame:
+    """Counts by table. Tables that offer their ``footers`` are counted without reading a row."""
+    source = getattr(tables, "footers", tables.__getitem__)
     counts = [
-        tables[name].agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
-        )
+        source(name)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count")
         for name in names
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
-def latest_snapshot(df: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot. The one-row maximum is broadcast: its size is known."""
-    newest = df.agg(F.max("snapshot_date").alias("snapshot_date"))
-    return df.join(newest, "snapshot_date")
+def latest_snapshot(tables: Tables, name: str) -> DataFrame:
+    """Rows of the table's newest snapshot; written tables read only its folder, if it has one."""
+    read = getattr(tables, "latest", None)
+    return read(name) if read else latest_rows(tables[name])
 
 
 def rows_by_snapshot(df: DataFrame, counted: str, alias: str) -> DataFrame:
@@ -136,12 +138,12 @@ def mart_rows_by_snapshot(t: Tables) -> DataFrame:
 
 
 def latest_snapshot_count(t: Tables) -> DataFrame:
-    latest = latest_snapshot(t["mart_channel_performance"])
+    latest = latest_snapshot(t, "mart_channel_performance")
     return row_counts({"mart_channel_performance_latest": latest}, ("mart_channel_performance_latest",))
 
 
 def latest_channel_performance(t: Tables) -> DataFrame:
-    latest = latest_snapshot(t["mart_channel_performance"])
+    latest = latest_snapshot(t, "mart_channel_performance")
     return latest.select(*CHANNEL_COLUMNS).orderBy(*ascending("channel"))
 
 
@@ -299,6 +301,12 @@ class LakeTables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         return read_table(self._spark, self._bases[name], name)
 
+    def footers(self, name: str) -> DataFrame:
+        return footers(self._spark, self._bases[name], name)
+
+    def latest(self, name: str) -> DataFrame:
+        return read_latest_snapshot(self._spark, self._bases[name], name)
+
     def __iter__(self):
         return iter(self._bases)
 

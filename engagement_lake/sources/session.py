@@ -28,6 +28,9 @@ def build_session(app_name: str, input_bytes: int | None = None, **settings: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
         "spark.sql.files.openCostInBytes": str(512 << 10),
+        "spark.sql.cbo.enabled": "true",
+        "spark.sql.cbo.joinReorder.enabled": "true",
+        "spark.sql.parquet.aggregatePushdown": "true",
     }
     if input_bytes is not None:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_tasks_for(input_bytes))
