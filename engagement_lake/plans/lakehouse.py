@@ -14,7 +14,11 @@ from engagement_lake.sources.tables import read_table
 
 
 class ValidationFailed(ValueError):
-    """At least one quality check failed."""
+    """At least one quality check failed; ``failed`` names them."""
+
+    def __init__(self, failed: list[str]):
+        super().__init__(f"quality checks failed: {failed}")
+        self.failed = failed
 
 
 def run_lakehouse(
@@ -45,6 +49,5 @@ def run_lakehouse(
             spark, gold_base, mart_base, channels, expected_row_counts(config, stats), silver_base
         )
         if not passed:
-            failed = [r["check_name"] for r in results if not r["passed"]]
-            raise ValidationFailed(f"quality checks failed: {failed}")
+            raise ValidationFailed([r["check_name"] for r in results if not r["passed"]])
     return written

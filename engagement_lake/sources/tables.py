@@ -128,11 +128,12 @@ def write_table(
 
 
 def register_tables(spark: SparkSession, database: str, base: str, names: list[str]) -> None:
-    """Expose written tables as external tables of a database."""
+    """Expose written tables as external tables of a database; a suffix of a file's name is left out."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.catalog.createTable(f"{database}.{name}", path=table_path(base, name), source="parquet")
+        table = f"{database}.{name.split('.')[0]}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=table_path(base, name), source="parquet")
 
 
 def write_clustered(

@@ -20,6 +20,7 @@ CONFIG_ITEMS = (
     {"media_id": "purchase", "channel": "Facebook", "name": "Purchase reel"},
     {"media_id": "signup", "channel": "Facebook", "name": "Signup reel"},
 )
+UNCONFIGURED = {"media_id": "error", "channel": "YouTube", "name": "Error reel"}
 CHANNELS = ("Facebook", "YouTube")
 
 FIRST_BATCH, SECOND_BATCH = "2024-01-31", "2024-02-29"
@@ -30,8 +31,9 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def config(spark: SparkSession) -> DataFrame:
-    return media_config(spark, CONFIG_ITEMS)
+def config(spark: SparkSession, every_media: bool = False) -> DataFrame:
+    """The configuration, without or with the media that is left unconfigured on purpose."""
+    return media_config(spark, (*CONFIG_ITEMS, UNCONFIGURED) if every_media else CONFIG_ITEMS)
 
 
 def _landings(key: str, every: int = 10) -> Column:
@@ -209,25 +211,39 @@ def fixed_point_mean(c: Column) -> Column:
 # Raw records as the API would return them. "landed" and "page" say where they are landed.
 
 
+def _thumbnail() -> Column:
+    fields = {"url": "thumbnail_url", "width": "thumbnail_width", "height": "thumbnail_height"}
+    return F.struct(*[F.col(c).alias(f) for f, c in fields.items()]).alias("thumbnail")
+
+
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Event records of all batches, repeats included."""
+    """Event records of all batches, repeats included, with every field."""
     return events(spark, folder).select(
         "event_key",
         F.col("received_at").cast("string").alias("received_at"),
         "visitor_key",
         F.col("media_hashed_id").alias("media_id"),
+        "media_name",
+        "media_url",
         "percent_viewed",
+        F.col("ip_address").alias("ip"),
         "country",
         "region",
         "city",
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
         F.col("organization").alias("org"),
         "email",
-        F.struct(
-            "browser", "browser_version", "platform", F.col("is_mobile").alias("mobile")
-        ).alias("user_agent_details"),
+        "embed_url",
+        "conversion_type",
         F.struct(F.col("region").alias("to"), F.col("country").alias("from")).alias(
             "conversion_data"
         ),
+        "iframe_heatmap_url",
+        F.struct(
+            "browser", "browser_version", "platform", F.col("is_mobile").alias("mobile")
+        ).alias("user_agent_details"),
+        _thumbnail(),
         F.col("ingest_date").alias("landed"),
         F.col("source_page").alias("page"),
     )
@@ -243,7 +259,9 @@ def raw_stats(spark: SparkSession, folder: str) -> DataFrame:
             F.col("ingest_date").alias("landed"),
             "load_count",
             "play_count",
+            F.col("api_play_rate").alias("play_rate"),
             "hours_watched",
+            "engagement",
             F.col("visitor_count").alias("visitors"),
         )
     )
@@ -253,6 +271,7 @@ def raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata records, one per part; the section is text for even parts, an object for odd."""
     key = F.col("p_partkey")
     as_object = F.to_json(F.struct(key.alias("id"), F.col("p_type").alias("name")))
+    url = F.concat(F.lit("https://cdn.example/"), key).alias("url")
     return read(spark, folder, "part").select(
         key.alias("id"),
         F.concat(F.lit("m"), key).alias("hashed_id"),
@@ -261,39 +280,109 @@ def raw_metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_retailprice").alias("duration"),
         F.lit("2024-01-05T10:00:00+02:00").alias("created"),
         F.when(key % 5 != 0, "2024-01-06T10:00:00Z").otherwise("never").alias("updated"),
+        F.when(key % 4 == 0, "ready").otherwise("queued").alias("status"),
         (key % 3 == 0).alias("archived"),
+        F.concat(F.lit("about "), "p_name").alias("description"),
         F.struct(
             key.alias("id"), F.concat(F.lit("p"), key).alias("hashed_id"), F.col("p_brand").alias("name")
         ).alias("project"),
         F.when(key % 2 == 0, F.col("p_type")).otherwise(as_object).alias("section"),
-        F.struct(F.concat(F.lit("https://cdn.example/"), key).alias("url"), F.col("p_size").alias("width")).alias(
-            "thumbnail"
-        ),
+        F.struct(F.concat(F.lit("https://share.example/"), key).alias("url")).alias("share_link"),
+        F.struct(url, F.col("p_size").alias("width"), (F.col("p_size") + 1).alias("height")).alias("thumbnail"),
         F.lit(FIRST_BATCH).alias("landed"),
     )
 
 
-def raw_visitors(spark: SparkSession, folder: str) -> DataFrame:
-    """Visitor records, one per customer; odd customers come wrapped in a ``visitors`` list."""
-    key = F.col("c_custkey")
-    record = F.struct(
+def raw_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata records of the media that have events, one in each batch."""
+    section = F.struct(F.col("section_id").alias("id"), F.col("section_name").alias("name"))
+    return metadata(spark, folder).select(
+        F.col("media_numeric_id").alias("id"),
+        F.col("media_hashed_id").alias("hashed_id"),
+        F.col("media_type").alias("type"),
+        F.col("media_name").alias("name"),
+        F.col("duration_seconds").alias("duration"),
+        F.col("created_at").cast("string").alias("created"),
+        F.col("updated_at").cast("string").alias("updated"),
+        "status",
+        "archived",
+        "description",
+        F.struct(
+            F.col("project_id").alias("id"), F.col("project_hashed_id").alias("hashed_id"),
+            F.col("project_name").alias("name"),
+        ).alias("project"),
+        F.to_json(section).alias("section"),
+        F.struct(F.col("share_url").alias("url")).alias("share_link"),
+        _thumbnail(),
+        F.col("ingest_date").alias("landed"),
+    )
+
+
+def _visitor(key: Column, **fields: Column) -> Column:
+    """A visitor record with every field; ``fields`` say what differs from one made of the key."""
+    made = {
+        "name": F.concat(F.lit("visitor "), key),
+        "email": F.lit(None).cast("string"),
+        "org": F.lit(None).cast("string"),
+        "created_at": F.lit("2024-01-03T00:00:00Z"),
+        "last_active_at": F.concat(F.lit("2024-01-04T00:00:"), F.lpad((key % 60).cast("string"), 2, "0"), F.lit("Z")),
+        "browser_version": F.lit("1"),
+        "platform": F.lit("Windows"),
+        "mobile": key % 2 == 0,
+        **fields,
+    }
+    return F.struct(
         F.concat(F.lit("v"), key).alias("visitor_key"),
-        F.lit("2024-01-03T00:00:00Z").alias("created_at"),
+        made["created_at"].alias("created_at"),
+        made["last_active_at"].alias("last_active_at"),
+        F.concat(F.lit("e"), key).alias("last_event_key"),
         key.alias("load_count"),
+        (key % 9).alias("play_count"),
+        F.when(key % 2 == 1, F.concat(F.lit("e"), key + 1)).alias("identifying_event_key"),
         F.struct(
-            F.col("c_name").alias("name"),
-            F.when(key % 3 == 0, F.concat(F.col("c_name"), F.lit("@example.com"))).alias("email"),
-            F.struct(F.col("c_mktsegment").alias("name")).alias("org"),
+            made["name"].alias("name"),
+            made["email"].alias("email"),
+            F.struct(made["org"].alias("name"), F.concat(F.lit("title "), key % 3).alias("title")).alias("org"),
         ).alias("visitor_identity"),
-        F.struct(F.lit("Edge").alias("browser"), (key % 2 == 0).alias("mobile")).alias(
-            "user_agent_details"
-        ),
+        F.struct(
+            F.lit("Edge").alias("browser"), made["browser_version"].alias("browser_version"),
+            made["platform"].alias("platform"), made["mobile"].alias("mobile"),
+        ).alias("user_agent_details"),
+    )
+
+
+VISITOR_RECORD = (
+    "visitor_key", "created_at", "last_active_at", "last_event_key", "load_count", "play_count",
+    "identifying_event_key", "visitor_identity", "user_agent_details",
+)
+
+
+def raw_visitors(spark: SparkSession, folder: str) -> DataFrame:
+    """Visitor records, one per customer; odd customers come wrapped in a ``visitors`` list."""
+    key = F.col("c_custkey")
+    record = _visitor(
+        key,
+        name=F.col("c_name"),
+        email=F.when(key % 3 == 0, F.concat(F.col("c_name"), F.lit("@example.com"))),
+        org=F.col("c_mktsegment"),
+        browser_version=(key % 5).cast("string"),
+        platform=F.when(key % 2 == 0, "Android").otherwise("Mac"),
     )
     alone = F.when(key % 2 == 0, record)
     return read(spark, folder, "customer").select(
-        *[alone.getField(f).alias(f) for f in (
-            "visitor_key", "created_at", "load_count", "visitor_identity", "user_agent_details"
-        )],
+        *[alone.getField(f).alias(f) for f in VISITOR_RECORD],
         F.when(key % 2 == 1, F.array(record)).alias("visitors"),
         F.lit(FIRST_BATCH).alias("landed"),
     )
+
+
+def raw_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """Visitor records with what the silver-shaped summaries say, in both batches."""
+    key = F.expr("CAST(substr(visitor_key, 2) AS BIGINT)")
+    record = _visitor(
+        key, email=F.col("visitor_email"), org=F.col("visitor_org_name"), created_at=F.lit("2024-03-01T00:00:00Z"),
+        last_active_at=F.lit("2023-12-01T00:00:00Z"), mobile=F.lit(False),
+    )
+    return visitors(spark, folder).select(
+        *[record.getField(f).alias(f) for f in VISITOR_RECORD], F.col("ingest_date").alias("landed")
+    )

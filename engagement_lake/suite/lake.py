@@ -13,11 +13,11 @@ from engagement_lake.plans.silver import dedup_events
 from engagement_lake.sources.raw import land_raw_json, scan_raw_json, with_path_metadata
 from engagement_lake.sources.schemas import GOLD_TABLES, MART_TABLES
 from engagement_lake.sources.session import scratch_path
-from engagement_lake.sources.tables import read_table, write_table
+from engagement_lake.sources.tables import footers, read_latest_snapshot, read_table, write_table
 from engagement_lake.suite import adapters
 
 # Raw zones landed by this process, so that the queries over one share it.
-_landed: dict[tuple[str, str], str] = {}
+_landed: dict[tuple[str, str, str], str] = {}
 
 
 class Lake(Mapping):
@@ -26,6 +26,7 @@ class Lake(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._frames: dict[str, DataFrame] = {}
+        self._bases: dict[tuple[str, bool], str] = {}
 
     @cached_property
     def events(self) -> DataFrame:
@@ -102,32 +103,52 @@ class Lake(Mapping):
         return len(GOLD_TABLES) + len(MART_TABLES)
 
     def raw_base(self) -> str:
-        """Land all four endpoints as JSON, once per session and folder."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
+        """All four endpoints landed as JSON, once per session and folder; metadata and visitors are those
+        of parts and customers."""
+        return self._landed_once("all", adapters.raw_metadata, adapters.raw_visitors)
+
+    def matching_raw_base(self) -> str:
+        """Another raw zone, whose metadata and visitors belong to the events: the tables above silver that
+        are built from it are those of this lake."""
+        return self._landed_once("matching", adapters.raw_responses, adapters.raw_summaries)
+
+    def _landed_once(self, name: str, metadata: Callable, visitors: Callable) -> str:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _landed:
             base = scratch_path(self.spark, "raw")
-            spark, folder = self.spark, self.folder
-            date = F.col("landed")
-            events = adapters.raw_events(spark, folder)
-            land_raw_json(
-                events, base, "events", date, F.col("media_id"), F.col("page"),
-                [c for c in events.columns if c not in ("landed", "page")],
-            )
-            stats = adapters.raw_stats(spark, folder)
-            land_raw_json(
-                stats, base, "media_stats", date, F.col("media"),
-                payload=[c for c in stats.columns if c not in ("landed", "media")],
-            )
-            for endpoint, records in (
-                ("media_metadata", adapters.raw_metadata(spark, folder)),
-                ("visitors", adapters.raw_visitors(spark, folder)),
-            ):
-                land_raw_json(
-                    records, base, endpoint, date,
-                    payload=[c for c in records.columns if c != "landed"],
-                )
+            self.land(base, "events", adapters.raw_events, "media_id", "page")
+            self.land(base, "media_stats", adapters.raw_stats, "media")
+            self.land(base, "media_metadata", metadata)
+            self.land(base, "visitors", visitors)
             _landed[key] = base
         return _landed[key]
 
+    def land(
+        self, base: str, endpoint: str, records: Callable | DataFrame, media: str | None = None,
+        page: str | None = None, batch: str = "first",
+    ) -> None:
+        """Land raw records; the media is part of an event's payload but not of statistics."""
+        df = records if isinstance(records, DataFrame) else records(self.spark, self.folder)
+        left_out = ("landed", page, *(() if endpoint == "events" else (media,)))
+        land_raw_json(
+            df, base, endpoint, F.col("landed"), F.col(media) if media else None,
+            F.col(page) if page else None, [c for c in df.columns if c not in left_out], batch,
+        )
+
+    def footers(self, name: str) -> DataFrame:
+        """The table, written once, as a source that is counted without being read."""
+        return footers(self.spark, self._written_base(name), name)
+
+    def latest(self, name: str) -> DataFrame:
+        """The newest snapshot of the table, written with a folder per snapshot."""
+        return read_latest_snapshot(self.spark, self._written_base(name, snapshots=True), name)
+
+    def _written_base(self, name: str, snapshots: bool = False) -> str:
+        if (name, snapshots) not in self._bases:
+            base = scratch_path(self.spark, "tables")
+            write_table(self[name], base, name, snapshots=snapshots)
+            self._bases[name, snapshots] = base
+        return self._bases[name, snapshots]
+
     def raw(self, endpoint: str) -> DataFrame:
         return with_path_metadata(scan_raw_json(self.spark, self.raw_base(), endpoint))

@@ -236,5 +236,34 @@ mart_visitor_engagement AS (
 """
 
 
-def over_tables(select: str) -> str:
-    return f"{TABLES} {select}"
+_UNCONFIGURED = "('signup', 'Facebook', 'Signup reel')"
+
+
+def over_tables(select: str, every_media: bool = False) -> str:
+    """The select over the tables; ``every_media`` adds the media that is left unconfigured otherwise."""
+    tables = TABLES
+    if every_media:
+        tables = tables.replace(_UNCONFIGURED, f"{_UNCONFIGURED}, ('error', 'YouTube', 'Error reel')")
+    return f"{tables} {select}"
+
+
+def _as_text(column: str, kind: str, micros: str) -> str:
+    text = f"CAST({column} AS STRING)"
+    if kind == "DOUBLE":
+        # Steps of a millionth, cut where no short decimal number lies.
+        text = f"CAST(CAST(floor({column} * 1000000 + 0.318309886) AS BIGINT) AS STRING)"
+    elif kind == "TIMESTAMP":
+        text = f"CAST({micros}({column}) AS STRING)"
+    return f"coalesce({text}, '~')"
+
+
+def row_text(columns: dict[str, str], micros: str) -> str:
+    """SQL for all columns of a row as one text; ``micros`` names the engine's function of a time."""
+    return "concat_ws('|', " + ", ".join(_as_text(c, k, micros) for c, k in columns.items()) + ")"
+
+
+def contents(table: str, columns: dict[str, str]) -> str:
+    """SELECT of a table's name, rows and a checksum of all rows of these columns."""
+    part = f"CAST(concat('0x', substr(md5({row_text(columns, 'epoch_us')}), 1, 8)) AS BIGINT)"
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count,
+        CAST(sum({part}) AS BIGINT) AS checksum FROM {table}"""
