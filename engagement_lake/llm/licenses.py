@@ -120,6 +120,8 @@ RULES = (
     (("z1",), "Proprietary"),
     (("z2",), "Proprietary"),
 )
+# What follows a grant as well as a refusal: it names a licence only where no other rule has matched before.
+YIELDING = (("z1",),)
 # A sentence without any of these is never known, so it need not be normalised.
 CUES = ("licens", "compliance", "permission", "free software", "redistribution", "rights reserved")
 _BREAK = "\x0b"
@@ -170,7 +172,8 @@ def scan_licenses(
     for n, (ids, _) in enumerate(rules):
         run = "".join(f",{i}," for i in ids)
         counted = counted.withColumn(f"left_{n + 1}", F.replace(f"left_{n}", F.lit(run), F.lit("|")))
-        found.append(F.col(f"left_{n + 1}") != F.col(f"left_{n}"))
+        hit = F.col(f"left_{n + 1}") != F.col(f"left_{n}")
+        found.append(hit & (F.col(f"left_{n}") == F.col("left_0")) if ids in YIELDING else hit)
     names = F.array(*[F.when(hit, F.lit(name)) for hit, (_, name) in zip(found, rules)])
     licenses = F.array_join(F.array_sort(F.array_distinct(F.array_compact(names))), ",")
     return counted.select(F.col("key").alias(key), licenses.alias("licenses"), "n_known", "n_unknown")
@@ -195,9 +198,10 @@ def _oracle() -> str:
     left, steps = "base", []
     for n, (run, name) in enumerate(RULES):
         text = "".join(f",{i}," for i in run)
+        yields = " AND len(names) = 0" if run in YIELDING else ""
         steps.append(
             f"s{n} AS (SELECT * REPLACE (replace(ids, '{text}', '|') AS ids, CASE WHEN contains(ids,"
-            f" '{text}') THEN list_append(names, '{name}') ELSE names END AS names) FROM {left})"
+            f" '{text}'){yields} THEN list_append(names, '{name}') ELSE names END AS names) FROM {left})"
         )
         left = f"s{n}"
     return f"""

@@ -37,12 +37,19 @@ BUCKET_ROWS = 20_000
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    capacity: int,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
     """(key, piece, start, length, ids_crc32, ids): each text's ids and ``end_id``, cut if too long.
 
-    ``ids`` are little-endian unsigned 32-bit integers.
+    ``ids`` are little-endian unsigned 32-bit integers, left out unless ``with_ids``.
     """
+    names = ["key", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
@@ -59,21 +66,21 @@ def token_pieces(
                 start = piece * capacity
                 length = np.minimum(counts[row] - start, capacity)
                 parts = stretches(ids, length)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("key").take(pa.array(row)),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array([zlib.crc32(p) for p in parts], pa.int64()),
-                        pa.array([p.tobytes() for p in parts], pa.binary()),
-                    ],
-                    names=["key", "piece", "start", "length", "ids_crc32", "ids"],
-                )
+                columns = [
+                    rows.column("key").take(pa.array(row)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+                ]
+                if with_ids:
+                    columns.append(pa.array([p.tobytes() for p in parts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
+    schema = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
+    schema += ", ids binary" if with_ids else ""
     return rows.mapInArrow(cut, schema)
 
 
@@ -281,13 +288,14 @@ def packed_sequences(placed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """The placed pieces of all documents, without their ids."""
-    pieces = written(token_pieces(docs, tokenizer_path, end_id, capacity), "pieces")
-    placed = place_pieces(pieces.drop("ids"), capacity)
+    pieces = written(token_pieces(docs, tokenizer_path, end_id, capacity, with_ids=False), "pieces")
+    placed = place_pieces(pieces, capacity)
     columns = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     return placed.select(F.col("key").alias("doc_id"), *columns)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all documents' pieces; cases as the module states them."""
     import public_tokenizers
 
     return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

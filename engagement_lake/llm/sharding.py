@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from engagement_lake.llm.store import read, scratch_path
 
@@ -64,12 +65,17 @@ def write_shards(
     # A bucket is permuted whole, in one task; an attempt's rows are written all or not at all.
     shuffled = gathered.select("shard", "bucket", F.shuffle("rows", seed).alias("rows"))
     placed = shuffled.select("shard", "bucket", F.posexplode("rows").alias("position", "entry"))
-    placed.select("shard", "bucket", "position", "entry.row").write.partitionBy("shard").parquet(path)
+    shaped = placed.select("shard", "bucket", "position", "entry.row")
+    shaped.write.partitionBy("shard").parquet(path)
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, slot, row) of every row written; slots of a shard run from 0 without gaps."""
-    rows = spark.read.parquet(path)
+def read_shards(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """(shard, slot, row) of every row written; slots of a shard run from 0 without gaps.
+
+    ``columns`` is the schema of the rows: shards of an empty table hold no file that tells it.
+    """
+    layout = StructType().add("bucket", "integer").add("position", "integer").add("row", columns).add("shard", "integer")
+    rows = spark.read.schema(layout).parquet(path)
     sizes = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
@@ -81,10 +87,10 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents into 16 shuffled shards in the shared folder; what those files hold."""
-    path, seed = scratch_path(spark, "shards"), 8
-    write_shards(read(spark, sf_dir, "documents"), path, SHARDS, seed)
+    path, seed, docs = scratch_path(spark, "shards"), 8, read(spark, sf_dir, "documents")
+    write_shards(docs, path, SHARDS, seed)
     text = F.coalesce("row.text", F.lit(""))
-    return read_shards(spark, path).select(
+    return read_shards(spark, path, docs.schema).select(
         F.col("row.doc_id").alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),

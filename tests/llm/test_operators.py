@@ -296,6 +296,23 @@ def test_packing(spark, odd, empty):
     assert sum(len(r["ids"]) // 4 for r in packed_sequences(placed).collect()) == total
 
 
+def test_pieces_are_the_library_s_ids(spark, odd):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    expected = Counter()
+    for row in ODD:
+        ids = [*library.encode(row[1] or "", add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 128)):
+            part = np.array(ids[start : start + 128], "<u4")
+            expected[row[0], piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(tuple(r) for r in pack_documents(odd, path, 1, 128).select(*columns).collect()) == expected
+    with_ids = token_pieces(odd, path, 1, 128).collect()
+    assert Counter((r["key"], r["piece"], r["start"], r["length"], zlib.crc32(r["ids"])) for r in with_ids) == expected
+
+
 def test_packing_places_every_rank_once():
     random = np.random.default_rng(10)
     counts = Counter(np.minimum(4096, random.lognormal(6, 1.3, 20_000).astype(int) + 1).tolist())
@@ -314,7 +331,7 @@ def test_packing_places_every_rank_once():
 def test_shards(spark, odd, empty):
     path = scratch_path(spark, "test-shards")
     write_shards(odd, path, 4, bucket_bytes=1000)
-    found = read_shards(spark, path).select("*", shard_of(F.col("row.doc_id"), 5, 8).alias("grown")).collect()
+    found = read_shards(spark, path, odd.schema).select("*", shard_of(F.col("row.doc_id"), 5, 8).alias("grown")).collect()
     assert Counter(tuple(r["row"]) for r in found) == Counter(ODD)
     slots = {}
     for r in found:
@@ -323,6 +340,8 @@ def test_shards(spark, odd, empty):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     path = scratch_path(spark, "test-shards")
     write_shards(empty, path)
+    none = read_shards(spark, path, empty.schema)
+    assert none.collect() == [] and none.select("row.*").columns == empty.columns
 
 
 def test_mixing(spark, odd, empty):
@@ -386,6 +405,15 @@ def test_licenses_of_standard_texts(spark):
     assert found == {i: name for i, (_, name) in enumerate(wanted + wrapped)}
 
 
+def test_a_rights_notice_is_no_licence_beside_a_grant(spark):
+    header = "Copyright (c) 2020, Somebody. All rights reserved.\n\n"
+    rows = [(1, header + BSD), (2, header + "Nothing else."), (3, MIT + "\n\nAll rights reserved.")]
+    rows += [(4, "No license is granted. All rights reserved."), (5, BSD + "\nAll rights reserved.\nNo license is granted.")]
+    found = {r["doc_id"]: r["licenses"] for r in scan_licenses(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found[1] == "BSD-2-Clause" and found[2] == "Proprietary" and found[3] == "MIT"
+    assert found[4] == "Proprietary" and found[5] == "BSD-2-Clause,Proprietary"
+
+
 def test_top_k(spark):
     random = np.random.default_rng(1)
     rows = [(i, random.normal(size=6).tolist(), 0) for i in range(300)]
@@ -441,3 +469,15 @@ def test_pipeline_stages(spark, odd):
     mixed = stages["mixing"](spark, docs, "")
     assert mixed.columns == docs.columns and mixed.count() > 0
     assert stages["packing"](spark, mixed, "").where("length > 4096").count() == 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, odd, empty):
+    import corpus_pipeline
+
+    named = odd.withColumns({c: F.lit(c) for c in ("known", "doc", "size", "kept", "key", "component")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, named, "")
+        assert found.columns == named.columns
+        assert all(r[c] == c for r in found.collect() for c in ("known", "doc", "size", "kept", "key", "component"))
+        assert stage(spark, empty, "").collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, "").collect() == []
