@@ -9,10 +9,10 @@ boundary between small and large is where the estimated cost is least: entries,
 scan.
 
 Equal sets are one (told by 64 bits of all elements and the size). Sets that stand under one key are
-compared with the key's smallest set first; then, under keys whose sets still belong to different
-components, with ``PIVOTS`` others; and at last all pairs across components are compared. So a group
-of thousands of near copies costs a few comparisons a copy, and no link between different components
-is missed. Pairs are sifted by bitmaps that bound the overlap, and the rest verified on the sets,
+compared with the key's smallest set first; then, in turns, under keys whose sets still belong to different
+components, the likeliest pairs of each two components meet; and at last all pairs across components
+are compared. So a group of thousands of near copies costs a few comparisons a copy, and no link between
+different components is missed. Pairs are sifted by bitmaps that bound the overlap, and the rest verified on the sets,
 recomputed from the texts.
 
 That gives components, not all links. Links are then counted within each component, where all of
@@ -55,9 +55,12 @@ LARGEST_SMALL = 64
 COUNTED = 2 << 20
 # Bits of the filter of needed texts, and bytes kept of each element while pairs are verified.
 FILTER_BITS = 1 << 24
-PACKED = 6
-# Sets of a key that meet all others before the rest is compared, and pairs made at a time.
-PIVOTS = 3
+PACKED = 8
+# Sets of a key that meet all others in a turn, at most so many turns before the rest is compared, and pairs
+# made at a time.
+PIVOTS, TURNS = 16, 3
+# Pairs that a task gives for each two components in a turn, the likeliest ones.
+LIKELIEST = 4
 PAIR_BLOCK = 1 << 17
 # About so many sets, with so many elements, of a component are compared with as many at once.
 BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 21
@@ -205,20 +208,26 @@ def _entries(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], boundary: i
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The entries of a partition whose key more than one set has, each once."""
+    """The entries of a partition whose key more than one set has, each once, with the number of the key's
+    sets and its smallest one."""
     parts = [[batch.column(i).to_numpy() for i in range(3)] for batch in batches]
     if not parts:
         return
     entry, sig, size = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((sig, entry))
+    order = np.lexsort((sig, size, entry))
     entry, sig, size = entry[order], sig[order], size[order]
     new = np.r_[True, (entry[1:] != entry[:-1]) | (sig[1:] != sig[:-1])]
     entry, sig, size = entry[new], sig[new], size[new]
     same = entry[1:] == entry[:-1]
     keep = np.r_[same, False] | np.r_[False, same]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c[keep]) for c in (entry, sig, size)], names=["entry", "sig", "size"]
-    )
+    entry, sig, size = entry[keep], sig[keep], size[keep]
+    least = np.searchsorted(entry, entry)
+    sets = np.searchsorted(entry, entry, side="right") - least
+    columns = (entry, sig, size, sets, sig[least], size[least])
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_LIST_COLUMNS)
+
+
+_LIST_COLUMNS = ["entry", "sig", "size", "sets", "least", "least_size"]
 
 
 def _compatible(a: str, b: str):
@@ -259,7 +268,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """The upper ``PACKED`` bytes of each hash: enough to tell apart the elements of two sets."""
+    """The upper ``PACKED`` bytes of each hash, all of them."""
     kept = (values >> np.uint64(64 - 8 * PACKED)).astype("<u8")
     return kept.view(np.uint8).reshape(-1, 8)[:, :PACKED].tobytes()
 
@@ -271,11 +280,13 @@ def _unpacked(packed: bytes) -> np.ndarray:
 
 
 class SetStore:
-    """Sets of the documents that pairs need, taken from the texts once for each set."""
+    """Sets of the documents that pairs need, taken from the texts once for each set, and the bitmaps of
+    those that are ``listed``."""
 
-    def __init__(self, docs: DataFrame, described: DataFrame):
+    def __init__(self, docs: DataFrame, described: DataFrame, listed: DataFrame):
         self.docs, self.described = docs, described
         self.bitmaps = described.groupBy("sig").agg(F.first("bits").alias("bits"), F.first("size").alias("size"))
+        self.bitmaps = written(self.bitmaps.join(listed, "sig", "left_semi"), "bitmaps")
         self.sets: DataFrame | None = None
 
     def _fetch(self, pairs: DataFrame) -> None:
@@ -325,11 +336,12 @@ class SetStore:
         return sifted.join(sets["a"], "a").join(sets["b"], "b").mapInArrow(freed(_verify), "a bigint, b bigint")
 
 
-def _cross_pairs(pivots: int | None):
+def _cross_pairs(turn: int | None):
     """Pairs of sets under one key, of compatible size and in different components, that bitmaps allow.
 
-    With ``pivots``, only so many sets of a key, by hash, meet the others; without, all do. Pairs are
-    made a bounded block at a time.
+    In a ``turn``, ``PIVOTS`` sets of a key, others in each turn, meet the others, and of the pairs that would
+    join the same two components a task gives the ``LIKELIEST`` ones. Without, it gives all pairs of all sets,
+    each once. Pairs are made a bounded block at a time.
     """
 
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,13 +353,15 @@ def _cross_pairs(pivots: int | None):
             return
         entry, size, component, sig = (np.concatenate(x) for x in zip(*parts))
         bits = np.concatenate(bitmaps)
-        order = np.lexsort((mixed(sig.view(np.uint64)), entry))
+        order = np.lexsort((mixed(sig.view(np.uint64) ^ np.uint64(turn or 0)), entry))
         entry, size, component, sig, bits = (x[order] for x in (entry, size, component, sig, bits))
         every = np.arange(len(entry))
         n = np.searchsorted(entry, entry, side="right") - every - 1
-        if pivots is not None:
-            n[every - np.searchsorted(entry, entry) >= pivots] = 0
+        if turn is not None:
+            n[every - np.searchsorted(entry, entry) >= PIVOTS] = 0
         total = np.cumsum(n)
+        kept = np.zeros((0, 2), np.int64)
+        best = np.zeros((0, 5), np.int64)
         begin = 0
         while begin < len(entry):
             done = total[begin - 1] if begin else 0
@@ -358,15 +372,39 @@ def _cross_pairs(pivots: int | None):
             a, b = size[first], size[second]
             keep = (component[first] != component[second]) & (np.minimum(a, b) * DEN >= np.maximum(a, b) * NUM)
             first, second = first[keep], second[keep]
-            keep = _possible(bits[first], bits[second], size[first] + size[second])
-            a, b = sig[first[keep]], sig[second[keep]]
-            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            a, b = sig[first], sig[second]
+            pairs = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+            if turn is None:
+                # A pair stands under many keys: bitmaps are looked at once.
+                pairs, at = np.unique(pairs, axis=0, return_index=True)
+                first, second = first[at], second[at]
+            apart = np.bitwise_count((bits[first] ^ bits[second]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            both = size[first] + size[second]
+            able = (NUM + DEN) * (both - apart) >= 2 * NUM * both
+            if turn is None:
+                kept = np.unique(np.concatenate([kept, pairs[able]]), axis=0)
+                if len(kept) > PAIR_BLOCK:
+                    yield _pair_batch(kept)
+                    kept = kept[:0]
+            else:
+                c, d = component[first[able]], component[second[able]]
+                unlike = (apart[able] << 20) // np.maximum(both[able], 1)
+                found = np.stack([np.minimum(c, d), np.maximum(c, d), unlike, *pairs[able].T], axis=1)
+                best = np.concatenate([best, found])
+                best = np.unique(best, axis=0)  # in order of components, then of likeness
+                starts = np.flatnonzero(np.r_[True, (best[1:, :2] != best[:-1, :2]).any(axis=1)][: len(best)])
+                rank = np.arange(len(best)) - np.repeat(starts, np.diff(np.r_[starts, len(best)]))
+                best = best[rank < LIKELIEST]
             begin = end
+        yield _pair_batch(kept if turn is None else np.unique(best[:, 3:], axis=0))
 
     return pairs_of
 
 
+def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set on the left shares with each on the right.
 
@@ -524,32 +562,35 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
     entries = _entries(rows, (elements[order], common["n"].to_numpy(np.int64)[order]), boundary)
     size = facts.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
     partitions = max(12, -(-int(size) * 6 // ENTRIES_BYTES))
-    lists = entries.repartition(partitions, "entry").mapInArrow(freed(_shared), "entry bigint, sig bigint, size bigint")
+    lists = entries.repartition(partitions, "entry").mapInArrow(
+        freed(_shared), ", ".join(f"{c} bigint" for c in _LIST_COLUMNS)
+    )
     lists = written(lists, "lists")
-
-    smallest = lists.groupBy("entry").agg(F.min(F.struct("size", "sig")).alias("least"))
-    smallest = smallest.select("entry", F.col("least.sig").alias("a"), F.col("least.size").alias("size_a"))
-    near = lists.join(smallest, "entry").where(_compatible("size", "size_a") & (F.col("sig") != F.col("a")))
-    pairs = near.select(F.least("a", "sig").alias("a"), F.greatest("a", "sig").alias("b")).distinct()
+    near = lists.where(_compatible("size", "least_size") & (F.col("sig") != F.col("least")))
+    pairs = near.select(F.least("least", "sig").alias("a"), F.greatest("least", "sig").alias("b")).distinct()
     pairs = written(pairs, "near")
-    store = SetStore(rows, described)
+    store = SetStore(rows, described, lists.select("sig").distinct())
     links = written(store.similar(pairs), "similar")
 
-    # Keys whose sets are not yet of one component: first a few sets of each meet the others across,
-    # which joins most of what hangs together, then all that are still apart.
-    done = pairs
-    for pivots in (PIVOTS, None):
-        groups = connected(links)
-        named = lists.join(groups, lists["sig"] == groups["node"], "left")
-        named = named.select("entry", "sig", "size", F.coalesce("component", "sig").alias("component"))
-        named = written(named, "named-lists")
-        apart = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        across = named.join(apart.where("lo <> hi").select("entry"), "entry")
-        across = across.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
-        across = across.mapInArrow(freed(_cross_pairs(pivots)), "a bigint, b bigint").distinct()
+    # Keys whose sets are not yet of one component: in some turns a few sets of each meet the others across,
+    # which joins most of what hangs together, and then all that are still apart. A key whose sets are of
+    # one component is done with, as is one of two sets, which have met.
+    done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size")
+    turn: int | None = 0
+    while True:
+        groups = connected(links).withColumnRenamed("node", "sig")
+        named = apart.join(groups, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+        bounds = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        named = written(named.join(bounds.where("lo <> hi").select("entry"), "entry"), "apart")
+        across = named.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
+        across = across.mapInArrow(freed(_cross_pairs(turn)), "a bigint, b bigint").distinct()
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
-        links = written(links.unionByName(store.similar(across)), "similar")
-        done = done.unionByName(across)
+        found = written(store.similar(across), "similar")
+        links = links.unionByName(found)
+        if turn is None:
+            break
+        done, apart = done.unionByName(across), named.drop("component")
+        turn = None if turn + 1 == TURNS or found.isEmpty() else turn + 1
 
     return described, store, connected(links), partitions
 
