@@ -577,22 +577,30 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
     # one component is done with, as is one of two sets, which have met.
     done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size")
     turn: int | None = 0
+    groups = connected(links)
     while True:
-        groups = connected(links).withColumnRenamed("node", "sig")
-        named = apart.join(groups, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+        components = groups.withColumnRenamed("node", "sig")
+        named = apart.join(components, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
         bounds = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         named = written(named.join(bounds.where("lo <> hi").select("entry"), "entry"), "apart")
+        if named.isEmpty():
+            break
         across = named.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
         across = across.mapInArrow(freed(_cross_pairs(turn)), "a bigint, b bigint").distinct()
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
-        found = written(store.similar(across), "similar")
-        links = links.unionByName(found)
+        joined = False
+        if not across.isEmpty():
+            found = written(store.similar(across), "similar")
+            joined = not found.isEmpty()
+        if joined:
+            links = links.unionByName(found)
+            groups = connected(links)
         if turn is None:
             break
         done, apart = done.unionByName(across), named.drop("component")
-        turn = None if turn + 1 == TURNS or found.isEmpty() else turn + 1
+        turn = turn + 1 if joined and turn + 1 < TURNS else None
 
-    return described, store, connected(links), partitions
+    return described, store, groups, partitions
 
 
 def _classes(described: DataFrame) -> DataFrame:
