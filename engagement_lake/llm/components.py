@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engagement_lake.llm.store import written
+from engagement_lake.llm.store import given_back, written
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -24,12 +24,16 @@ def connected(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "links")
+        turned = written(small, "links")
+        given_back(edges)
+        edges = turned
         before, state = state, _state(edges)
         if state == before:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    groups = written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "groups")
+    given_back(edges)
+    return groups
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -165,8 +165,6 @@ class KneserNey:
         p1 = uniform * (rest[0] if len(rest) else 1.0)
         p1[singles] += one
         p2 = self._mixed(pairs, kinds.astype(float), CLASSES, np.tile(p1, CLASSES))
-        self.codes = codes
-        self.probability = np.zeros(0)
         self._whole = self._mixed(codes, counts, CLASSES**2, np.tile(p2, CLASSES))
 
     @staticmethod

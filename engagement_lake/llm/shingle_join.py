@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from engagement_lake.llm.components import connected
 from engagement_lake.llm.shingles import parity_bitmaps, set_signatures, shingle_sets
-from engagement_lake.llm.store import read, written
+from engagement_lake.llm.store import given_back, read, written
 from engagement_lake.llm.units import HASHED_BYTES, freed, slices
 from engagement_lake.llm.words import mixed, owners
 
@@ -288,6 +288,11 @@ class SetStore:
         self.bitmaps = described.groupBy("sig").agg(F.first("bits").alias("bits"), F.first("size").alias("size"))
         self.bitmaps = written(self.bitmaps.join(listed, "sig", "left_semi"), "bitmaps")
         self.sets: DataFrame | None = None
+        self._parts: list[DataFrame] = []
+
+    def give_back(self) -> None:
+        """Delete the files of all sets: nothing may need them any more."""
+        given_back(*self._parts)
 
     def _fetch(self, pairs: DataFrame) -> None:
         wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
@@ -322,10 +327,11 @@ class SetStore:
         texts = self.docs.select(F.pmod(F.xxhash64("hash"), F.lit(FILTER_BITS)).alias("place"), "text")
         found = texts.mapInArrow(freed(sets), "sig bigint, elements binary").join(wanted, "sig", "left_semi")
         found = written(found.dropDuplicates(["sig"]), "sets")
+        self._parts.append(found)
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """The (a, b) pairs of signatures whose sets are similar."""
+        """The (a, b) pairs of signatures whose sets are similar, written."""
         side = {x: self.bitmaps.select(
             F.col("sig").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")
         ) for x in "ab"}
@@ -333,7 +339,10 @@ class SetStore:
         sifted = written(sifted, "pairs")
         self._fetch(sifted)
         sets = {x: self.sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab"}
-        return sifted.join(sets["a"], "a").join(sets["b"], "b").mapInArrow(freed(_verify), "a bigint, b bigint")
+        pairs = sifted.join(sets["a"], "a").join(sets["b"], "b")
+        found = written(pairs.mapInArrow(freed(_verify), "a bigint, b bigint"), "similar")
+        given_back(sifted)
+        return found
 
 
 def _cross_pairs(turn: int | None):
@@ -570,19 +579,24 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
     pairs = near.select(F.least("least", "sig").alias("a"), F.greatest("least", "sig").alias("b")).distinct()
     pairs = written(pairs, "near")
     store = SetStore(rows, described, lists.select("sig").distinct())
-    links = written(store.similar(pairs), "similar")
+    links = store.similar(pairs)
 
     # Keys whose sets are not yet of one component: in some turns a few sets of each meet the others across,
     # which joins most of what hangs together, and then all that are still apart. A key whose sets are of
     # one component is done with, as is one of two sets, which have met.
+    # What only led to a table is given back when that is written.
     done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size")
+    compared, held = [pairs], lists
     turn: int | None = 0
     groups = connected(links)
+    given_back(links)
     while True:
         components = groups.withColumnRenamed("node", "sig")
         named = apart.join(components, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
         bounds = named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         named = written(named.join(bounds.where("lo <> hi").select("entry"), "entry"), "apart")
+        given_back(held)
+        held = named
         if named.isEmpty():
             break
         across = named.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
@@ -590,16 +604,21 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
         joined = False
         if not across.isEmpty():
-            found = written(store.similar(across), "similar")
+            found = store.similar(across)
             joined = not found.isEmpty()
-        if joined:
-            links = links.unionByName(found)
-            groups = connected(links)
+            if joined:
+                # A star links what its component's links do.
+                star = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                before, groups = groups, connected(star.unionByName(found))
+                given_back(before)
+            given_back(found)
+        compared.append(across)
         if turn is None:
             break
         done, apart = done.unionByName(across), named.drop("component")
         turn = turn + 1 if joined and turn + 1 < TURNS else None
 
+    given_back(held, *compared, store.bitmaps)
     return described, store, groups, partitions
 
 
@@ -617,7 +636,10 @@ def _members(described: DataFrame, groups: DataFrame) -> DataFrame:
 def jaccard_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b) for each two different sets that are similar, each named by the least key that has it."""
     described, store, groups, partitions = _connected_sets(docs, key, text)
-    pairs = _all_links(_members(described, groups), store.sets, partitions, True)
+    members = _members(described, groups)
+    pairs = written(_all_links(members, store.sets, partitions, True), "pairs")
+    given_back(members)
+    store.give_back()
     least = {x: _classes(described).select(F.col("sig").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab"}
     pairs = pairs.join(least["a"], "a").join(least["b"], "b")
     return pairs.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b"))
@@ -632,10 +654,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     described, store, groups, partitions = _connected_sets(docs, key, text)
     classes = _classes(described)
     if counted:
-        degree = _all_links(_members(described, groups), store.sets, partitions, False)
+        members = _members(described, groups)
+        degree = written(_all_links(members, store.sets, partitions, False), "degrees")
+        given_back(members)
         classes = classes.join(degree, "sig", "left")
     else:
         classes = classes.withColumn("n", F.lit(0))
+    store.give_back()
     classes = classes.join(groups, classes["sig"] == groups["node"], "left")
     links = F.coalesce("n", F.lit(0)) + F.col("copies") - 1
     classes = classes.select("sig", "least", links.alias("n_links"), F.coalesce("component", "sig").alias("component"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 
 from engagement_lake.sources.session import scratch_path
+from engagement_lake.sources.tables import remove_path
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -14,6 +17,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 # Bytes of an Arrow batch handed to Python; Spark's own limit lets thousands of long texts through.
 BATCH_BYTES = 8 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Where the tables of ``written`` lie.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -29,12 +34,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_BATCH_SETTING)
         else:
             spark.conf.set(_BATCH_SETTING, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
 
+def given_back(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` returned, once nothing will read them again.
 
-def free_name(columns: list[str], wish: str) -> str:
-    """A column name that clashes with none of those given, whatever their case."""
-    taken = {c.lower() for c in columns}
-    while wish.lower() in taken:
-        wish += "_"
-    return wish
+    What was made of them must be written itself by then: a lost task of an unwritten result would look for
+    the files. Any other DataFrame is left alone.
+    """
+    for table in tables:
+        folder = _FOLDERS.pop(table, None)
+        if folder is not None:
+            remove_path(table.sparkSession, folder)
