@@ -4,7 +4,8 @@ A file row is a block: the ids of consecutive documents as little-endian integer
 the document keys, and the ends of the documents in that array as an Elias-Fano sequence. Blocks
 are ordered by (part, block); offsets across blocks are sums of the blocks' lengths, so no table of
 64-bit offsets is stored. The rows are in Parquet, so that Spark's committer makes each file appear
-once however often a task ran.
+once however often a task ran. All documents are read in one pass that decodes the boundaries; chosen
+ones are fetched by their keys, their boundaries selected one by one.
 
 Cases: a null or empty text has the end id only. Null keys come first; documents with equal keys
 follow one another, ordered by their text's hash. An empty table gives a readable, empty file.
@@ -87,6 +88,10 @@ def write_tokens(
     sorted_rows.mapInArrow(encode, _BLOCK.format(key=kind)).write.parquet(path)
 
 
+def _boundaries(row: dict) -> EliasFano:
+    return EliasFano(*(row[n].as_py() for n in ("n_ends", "low_bits", "low", "high", "samples")))
+
+
 def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """(key, start, n_tokens, ids_crc32[, ids]) of every document in the files.
 
@@ -99,8 +104,7 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i] for n in batch.schema.names}
-                fields = ("n_ends", "low_bits", "low", "high", "samples")
-                ends = EliasFano(*(row[n].as_py() for n in fields)).values()
+                ends = _boundaries(row).values()
                 counts = np.diff(ends, prepend=0)
                 ids = np.frombuffer(row["ids"].as_buffer(), f"<u{row['width'].as_py()}")
                 parts = stretches(ids, counts)
@@ -122,6 +126,53 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
     schema = f"part int, block int, key {kind}, begin bigint, n_tokens bigint, ids_crc32 bigint"
     documents = blocks.mapInArrow(decode, schema + (", ids binary" if with_ids else ""))
 
+    return _placed(documents, blocks, key, with_ids)
+
+
+def fetch_tokens(spark: SparkSession, path: str, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, start, n_tokens, ids_crc32, ids) of the documents that the ``wanted`` rows name by ``key``.
+
+    Blocks are found by their keys alone; only those that hold a wanted document are read, and there its
+    begin and end are selected from the Elias-Fano sequence, which is not decoded. A key of several documents
+    gives them all, one of none gives nothing; repeated and null keys are asked for once.
+    """
+    blocks = spark.read.parquet(path)
+    kind = blocks.schema["keys"].dataType.elementType.simpleString()
+    asked = wanted.select(F.col(key).cast(kind).alias("asked")).distinct()
+    held = blocks.select("part", "block", F.posexplode("keys").alias("at", "key"))
+    held = held.join(asked, held["key"].eqNullSafe(asked["asked"]), "left_semi")
+    # At most as many places as the block has documents.
+    places = held.groupBy("part", "block").agg(F.sort_array(F.collect_list("at")).alias("places"))
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i] for n in batch.schema.names}
+                ends = _boundaries(row)
+                at = row["places"].values.to_numpy()
+                begin = np.array([ends.select(x - 1) if x else 0 for x in at.tolist()], np.int64)
+                end = np.array([ends.select(x) for x in at.tolist()], np.int64)
+                ids = np.frombuffer(row["ids"].as_buffer(), f"<u{row['width'].as_py()}")
+                parts = [ids[a:b].astype("<u4").tobytes() for a, b in zip(begin.tolist(), end.tolist())]
+                columns = [
+                    pa.array(np.full(len(at), row["part"].as_py(), np.int32)),
+                    pa.array(np.full(len(at), row["block"].as_py(), np.int32)),
+                    row["keys"].values.take(pa.array(at)),
+                    pa.array(begin),
+                    pa.array(end - begin),
+                    pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+                    pa.array(parts, pa.binary()),
+                ]
+                names = ["part", "block", "key", "begin", "n_tokens", "ids_crc32", "ids"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = f"part int, block int, key {kind}, begin bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
+    found = blocks.join(places, ["part", "block"]).mapInArrow(select, schema)
+    return _placed(found, blocks, key, True)
+
+
+def _placed(documents: DataFrame, blocks: DataFrame, key: str, with_ids: bool) -> DataFrame:
+    """The documents with ``start``, their place in all files, for ``begin``, that in their block."""
     # Offsets of parts are summed over one row a part, those of blocks within their part.
     lengths = blocks.select("part", "block", "n_ids")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)

@@ -21,7 +21,7 @@ from engagement_lake.llm.sharding import read_shards, shard_of, write_shards
 from engagement_lake.llm.shingle_join import choose_boundary, jaccard_components, jaccard_pairs
 from engagement_lake.llm.store import scratch_path
 from engagement_lake.llm.token_counts import token_counts
-from engagement_lake.llm.token_files import read_tokens, write_tokens
+from engagement_lake.llm.token_files import fetch_tokens, read_tokens, write_tokens
 from engagement_lake.llm.voronoi import top_k
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -271,6 +271,21 @@ def test_token_files_round_trip(spark, odd, empty, name):
     path = scratch_path(spark, "test-tokens")
     write_tokens(empty, path, public_tokenizers.path(name), 0)
     assert read_tokens(spark, path).count() == 0
+    assert fetch_tokens(spark, path, empty).count() == 0
+
+
+def test_documents_are_fetched_by_key(spark, odd):
+    path = scratch_path(spark, "test-tokens")
+    write_tokens(odd.repartition(3), path, public_tokenizers.path("byte_bpe_50k.json"), 0)
+    columns = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"]
+    whole = read_tokens(spark, path, with_ids=True).select(columns).collect()
+    keys = sorted({r["doc_id"] for r in whole} - {None})
+    # Null, asked for twice, unknown, the first and the last document, every other one.
+    for asked in ([None], [keys[0], keys[0], 10**12], [None, keys[-1]], keys[::2], [10**12], []):
+        wanted = spark.createDataFrame([(k, "x") for k in asked], "doc_id long, start string")
+        found = fetch_tokens(spark, path, wanted)
+        assert found.columns == columns
+        assert Counter(found.collect()) == Counter(r for r in whole if r["doc_id"] in asked)
 
 
 @pytest.mark.parametrize("values", [[], [0], [5, 5, 5, 9], list(range(0, 90_000, 7)), [10**9, 10**9 + 1]])
