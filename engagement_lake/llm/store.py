@@ -49,3 +49,11 @@ def given_back(*tables: DataFrame) -> None:
         folder = _FOLDERS.pop(table, None)
         if folder is not None:
             remove_path(table.sparkSession, folder)
+
+
+def free_name(columns: list[str], wish: str) -> str:
+    """A column name that clashes with none of those given, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
