@@ -1,20 +1,21 @@
 """Quality rules: surface counts of each text, and its perplexity under a modified Kneser-Ney model.
 
-The model is of symbols, not words: bytes folded to 64 classes (small letters, capitals, digits,
-marks, and the bytes of other letters), trigrams, one model per language. Its size is bounded by
-64 ** 3 trigrams for each of at most ``LANGUAGES`` + 1 models however much text there is, so it can
-be broadcast. Spark counts the trigrams of all texts; the driver turns the counts, at most as many,
-into probabilities held in arrays sorted by hash.
+Each language has a model of its own, of grams of whole characters (``kneser_ney``), however many
+languages there are. It learns each distinct text once, so that copies do not make a text likely,
+and only texts that look like prose (``looks_like_prose``), so that junk stays unlikely.
+Spark counts the grams and estimates the models by grouping and joins. The finished table of
+logarithms, hash-sorted, is broadcast if its counted rows take at most ``HELD_BYTES``, else joined
+to the texts' grams; both give the same sums to the bit.
 
-A text may quote another language, so each of its lines is scored by the model that fits it best.
 Each language has its own band: the median of its distinct texts' log perplexities less and plus so
-many times their median deviation, which counts as ``LEAST_SPREAD`` at least; with fewer than
-``FEWEST_TEXTS`` distinct texts it counts at least as much as that of all languages' texts. Copies
-weigh no more than one text, and score the same to the last bit. A text outside is rejected.
+many times their median deviation, both exact over perplexities counted in steps of ``STEP``. The
+deviation counts as ``LEAST_SPREAD`` at least; with fewer than ``FEWEST_TEXTS`` distinct texts it
+counts at least as much as that of all languages' texts. A text outside is rejected.
 
 Cases: a null or empty text has no words and fails the base rule; a null language is a language;
-languages beyond the ``LANGUAGES`` with most rows share a model and a band; repeated rows count and
-are judged each; other columns are left out of the scores. An empty table gives no rows.
+repeated rows are judged each; other columns are left out of the scores; texts are told apart by 128
+bits. A language of which no text passes the base rule has no band and nothing to judge by it. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,59 +28,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from engagement_lake.llm.kneser_ney import LOG_UNIT, ROW_BYTES, GramTable, joined_sums, kneser_ney, log_sums
 from engagement_lake.llm.store import read, written
 from engagement_lake.llm.units import HASHED_BYTES, freed, slices, text_bytes
 from engagement_lake.llm.words import owners, per_text, span_hashes, window_hashes, word_spans
 
-LANGUAGES = 64
 # Median deviations that a text's log perplexity may lie below and above its language's median.
 BELOW, ABOVE = 6.0, 6.0
 # Least median deviation, so that a language of near copies does not reject everything else.
 LEAST_SPREAD = 0.005
 FEWEST_TEXTS = 20
-# Log probabilities are whole numbers of this part, so that sums do not depend on what stands before.
-LOG_UNIT = 2.0**-22
+STEP = 1e-4
+# Largest broadcast table of logarithms; larger ones are joined.
+HELD_BYTES = 64 << 20
 FEWEST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 WINDOW = 8
-CLASSES = 64
+# Texts from which models learn have at most so many symbols and capitals.
+MOST_SYMBOLS_A_WORD, MOST_CAPITALS_A_LETTER = 0.1, 0.5
 SURFACE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_MARKS = b" \n.,;:!?'\"-()|#*$%&<>/_@+="
 _SYMBOLS = b"#*$%&|<>"
 
 
-def _folding() -> np.ndarray:
-    """Byte to class 1 to 63; class 0 stands before and after a text."""
-    fold = np.full(256, 63, np.uint8)
-    fold[0x61:0x7B] = np.arange(1, 27)
-    fold[0x41:0x5B] = 27
-    fold[0x30:0x3A] = 28
-    fold[list(_MARKS)] = np.arange(29, 29 + len(_MARKS))
-    first = 29 + len(_MARKS)
-    fold[0x80:] = first + np.arange(128) % (62 - first)
-    return fold
-
-
-_FOLD = _folding()
-
-
-def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram codes of all texts, each closed by class 0, and the n + 1 offsets of the texts."""
-    n = len(offsets) - 1
-    ends = offsets + np.arange(n + 1)
-    symbols = np.zeros(len(data) + n, np.int32)
-    keep = np.ones(len(symbols), bool)
-    keep[ends[1:] - 1] = False
-    symbols[keep] = _FOLD[data]
-    one = np.r_[0, symbols[:-1]].astype(np.int32)
-    two = np.r_[0, one[:-1]].astype(np.int32)
-    two[ends[:-1]] = 0  # the class before a text's first is always 0, also two before
-    second = ends[:-1] + 1
-    second = second[second < len(symbols)]
-    two[second] = 0
-    return (two * CLASSES + one) * CLASSES + symbols, ends
-
-
 def surface(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """The counts that need no model."""
     begins, ends = word_spans(data, offsets)
@@ -131,173 +101,106 @@ def _repeated(text: np.ndarray, value: np.ndarray, later_only: bool = False) ->
     return order[later if later_only else later | np.r_[same, False]]
 
 
-def _line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where lines begin, counted in trigrams: after each line feed and with each text, empty or not."""
-    feeds = np.flatnonzero(data == 0x0A) + 1
-    text_of = np.searchsorted(offsets, feeds - 1, side="right") - 1
-    texts = offsets[:-1] + np.arange(len(offsets) - 1)
-    return np.union1d(texts, feeds + text_of)
-
-
-def _line_sums(logs, data, offsets, ends) -> np.ndarray:
-    """Sum over each line; the closing trigram belongs to a text's last line."""
-    starts = _line_starts(data, offsets)
-    return np.diff(np.r_[0, np.cumsum(logs, dtype=np.int64)][np.r_[starts, ends[-1]]])
-
-
-def _line_offsets(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The n + 1 offsets of the texts, counted in lines."""
-    return np.searchsorted(_line_starts(data, offsets), offsets + np.arange(len(offsets)))
-
-
-class KneserNey:
-    """Interpolated modified Kneser-Ney trigrams of one language, in arrays sorted by trigram."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        order = np.argsort(codes)
-        codes, counts = codes[order].astype(np.int64), counts[order].astype(np.float64)
-        # Orders below count in how many contexts a gram occurs, not how often.
-        pairs, kinds = np.unique(codes % CLASSES**2, return_counts=True)
-        singles, heads = np.unique(pairs % CLASSES, return_counts=True)
-        uniform = np.full(CLASSES, 1.0 / CLASSES)
-        # Without context, what discounting leaves is shared evenly.
-        one, rest = self._order(singles, heads.astype(float), np.zeros(len(singles), np.int64))
-        p1 = uniform * (rest[0] if len(rest) else 1.0)
-        p1[singles] += one
-        p2 = self._mixed(pairs, kinds.astype(float), CLASSES, np.tile(p1, CLASSES))
-        self._whole = self._mixed(codes, counts, CLASSES**2, np.tile(p2, CLASSES))
-
-    @staticmethod
-    def _order(grams, counts, contexts) -> tuple[np.ndarray, np.ndarray]:
-        """Discounted share of each gram in its context, and what each context has left to share."""
-        if not len(grams):
-            return np.zeros(0), np.ones(1)
-        n1, n2, n3, n4 = (max(1.0, float((counts == k).sum())) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        discounts = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0.05, None)
-        discount = np.minimum(discounts[np.minimum(counts, 3).astype(int)], counts * 0.95)
-        size = int(contexts.max()) + 1
-        total = np.bincount(contexts, counts, size)
-        left = np.bincount(contexts, discount, size)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return (counts - discount) / total[contexts], np.where(total > 0, left / total, 1.0)
-
-    def _mixed(self, grams, counts, n_contexts, lower: np.ndarray) -> np.ndarray:
-        contexts = grams // CLASSES
-        share, rest = self._order(grams, counts, contexts)
-        left = np.ones(n_contexts)
-        left[: len(rest)] = rest
-        mixed = lower * np.repeat(left, CLASSES)
-        mixed[grams] += share
-        return mixed
-
-    def log_probabilities(self) -> np.ndarray:
-        """Natural logarithm of every trigram's probability, by trigram code."""
-        return np.log(self._whole)
-
-
-def _with_model_key(docs: DataFrame, languages: list, lang: str) -> DataFrame:
-    known = F.col(lang).isin(*[x for x in languages if x is not None]) if languages else F.lit(False)
-    if None in languages:
-        known = known | F.col(lang).isNull()
-    name = F.concat(F.lit("="), F.coalesce(F.col(lang).cast("string"), F.lit("\x00")))
-    return docs.withColumn("model", F.when(known, name).otherwise(F.lit("other")))
-
-
-def count_trigrams(docs: DataFrame) -> DataFrame:
-    """(model, code, n) over all (model, text) rows."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for rows in slices(batch, "text", HASHED_BYTES):
-                codes, ends = trigrams(*text_bytes(rows.column("text")))
-                models = np.array(rows.column("model").to_pylist(), object)
-                for model in set(models):
-                    of_model = codes[np.repeat(models == model, np.diff(ends))]
-                    found = np.bincount(of_model, minlength=CLASSES**3)
-                    totals[model] = totals.get(model, 0) + found
-        for model, found in totals.items():
-            codes = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([model] * len(codes), pa.string()),
-                    pa.array(codes, pa.int64()),
-                    pa.array(found[codes], pa.int64()),
-                ],
-                names=["model", "code", "n"],
-            )
-
-    counted = docs.select("model", "text").mapInArrow(freed(count), "model string, code bigint, n bigint")
-    return counted.groupBy("model", "code").agg(F.sum("n").alias("n"))
-
-
-def score_texts(docs: DataFrame, lang: str = "lang", languages: int = LANGUAGES) -> DataFrame:
-    """(key, model, text_hash, surface counts, base_failed, log_perplexity) of (key, lang, text) rows."""
-    common = docs.groupBy(lang).count().orderBy(F.desc("count"), F.asc_nulls_last(lang)).limit(languages)
-    docs = _with_model_key(docs, [r[0] for r in common.collect()], lang)
-    docs = docs.select("key", "model", F.xxhash64("text").alias("text_hash"), "text")
-    counts = count_trigrams(docs).toPandas()  # bounded: CLASSES ** 3 for each model
-    tables = [KneserNey(rows["code"].to_numpy(), rows["n"].to_numpy()) for _, rows in counts.groupby("model", dropna=False)]
-    held = docs.sparkSession.sparkContext.broadcast(
-        [np.rint(table.log_probabilities() / LOG_UNIT).astype(np.int32) for table in tables]
+def looks_like_prose(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts of enough words, with few symbols to a word and few capitals among the letters A to Z."""
+    begins, _ = word_spans(data, offsets)
+    words = np.diff(np.searchsorted(begins, offsets))
+    symbols = per_text(np.isin(data, np.frombuffer(_SYMBOLS, np.uint8)), offsets)
+    capitals = per_text((data >= 0x41) & (data <= 0x5A), offsets)
+    letters = capitals + per_text((data >= 0x61) & (data <= 0x7A), offsets)
+    return (
+        (words >= FEWEST_WORDS)
+        & (symbols <= MOST_SYMBOLS_A_WORD * words)
+        & (capitals <= MOST_CAPITALS_A_LETTER * letters)
     )
 
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(model, text_id, text): each text of a model once. Only texts that occur again are shuffled."""
+    again = rows.groupBy("model", "text_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = written(again, "texts-again")
+    rows = rows.select("model", "text_id", "text")
+    once = rows.join(again, ["model", "text_id"], "left_anti")
+    copies = rows.join(again, ["model", "text_id"], "left_semi")
+    return once.unionByName(copies.dropDuplicates(["model", "text_id"]))
+
+
+def score_texts(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
+    """(key, model, text_id, surface counts, base_failed, log_perplexity) of (key, lang, text) rows."""
+    model = F.xxhash64(F.col("lang").isNull(), F.col("lang")).alias("model")
+    text_id = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_id")
+    rows = docs.select("key", model, text_id, "text")
+    texts = distinct_texts(rows)
+    table = kneser_ney(texts, looks_like_prose)
+    held = None
+    if table.count() * ROW_BYTES <= held_bytes:
+        held = docs.sparkSession.sparkContext.broadcast(GramTable(table.toArrow()))
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text", HASHED_BYTES):
-                data, offsets = text_bytes(rows.column("text"))
-                codes, ends = trigrams(data, offsets)
-                best = np.maximum.reduce([_line_sums(logs[codes], data, offsets, ends) for logs in held.value])
-                sums = np.diff(np.r_[0, np.cumsum(best)][_line_offsets(data, offsets)])
-                found = surface(data, offsets)
-                columns = [rows.column("key"), rows.column("model"), rows.column("text_hash")]
+            for part in slices(batch, "text", HASHED_BYTES):
+                found = surface(*text_bytes(part.column("text")))
+                if held is not None:
+                    found["log_sum"], found["n_grams"] = log_sums(part, held.value.look_up)
+                columns = [part.column(name) for name in ("key", "model", "text_id")]
                 columns += [pa.array(c, pa.int64()) for c in found.values()]
-                columns.append(pa.array(-sums * LOG_UNIT / np.diff(ends)))
-                names = ["key", "model", "text_hash", *found, "log_perplexity"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "model", "text_id", *found])
 
-    schema = T.StructType().add("key", docs.schema["key"].dataType).add("model", "string").add("text_hash", "long")
-    for name in SURFACE:
+    schema = T.StructType().add("key", docs.schema["key"].dataType).add("model", "long").add("text_id", "binary")
+    for name in [*SURFACE, *(["log_sum", "n_grams"] if held is not None else [])]:
         schema = schema.add(name, "long")
-    scored = docs.mapInArrow(freed(score), schema.add("log_perplexity", "double"))
+    scored = rows.mapInArrow(freed(score), schema)
+    if held is None:
+        scored = scored.join(written(joined_sums(texts, table), "text-logs"), ["model", "text_id"])
     few = F.col("n_words") < FEWEST_WORDS
     same = 100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
-    return scored.withColumn("base_failed", few | same)
+    perplexity = -F.col("log_sum") * LOG_UNIT / F.col("n_grams")
+    columns = ["key", "model", "text_id", *SURFACE, (few | same).alias("base_failed")]
+    return scored.select(*columns, perplexity.alias("log_perplexity"))
 
 
 def bands(scored: DataFrame, below: float = BELOW, above: float = ABOVE) -> DataFrame:
-    """(model, lowest, highest): the log perplexities that each language allows."""
-    texts = scored.where(~F.col("base_failed")).groupBy("model", "text_hash")
-    texts = texts.agg(F.min("log_perplexity").alias("log_perplexity"))
-    middle = texts.groupBy("model").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle"))
-    # At most one row for each of LANGUAGES + 1 models; few models hold most rows, so none is gathered.
-    off = texts.join(F.broadcast(middle), "model")
-    off = off.withColumn("off", F.abs(F.col("log_perplexity") - F.col("middle")))
-    half = F.percentile_approx("off", 0.5, 10_000)
-    own = off.groupBy("model").agg(F.first("middle").alias("middle"), half.alias("own"), F.count("off").alias("texts"))
-    spread = own.crossJoin(F.broadcast(off.agg(half.alias("all"))))
+    """(model, lowest, highest): the log perplexities that each language allows, in steps.
+
+    Perplexities are counted by step first, so that no language's texts meet in one task: a step is one row
+    of a language whatever the number of texts.
+    """
+    texts = scored.where(~F.col("base_failed"))
+    texts = texts.select("model", "text_id", _steps().alias("step")).distinct()
+    counted = written(texts.groupBy("model", "step").agg(F.count(F.lit(1)).alias("n")), "perplexity-steps")
+    middle = counted.groupBy("model").agg(F.percentile("step", 0.5, F.col("n")).alias("middle"), F.sum("n").alias("texts"))
+    off = counted.join(middle, "model").withColumn("off", F.abs(F.col("step") - F.col("middle")))
+    own = off.groupBy("model").agg(
+        F.first("middle").alias("middle"), F.first("texts").alias("texts"), F.percentile("off", 0.5, F.col("n")).alias("own")
+    )
+    pooled = off.groupBy("off").agg(F.sum("n").alias("n")).agg(F.percentile("off", 0.5, F.col("n")).alias("all"))
     few = F.when(F.col("texts") < FEWEST_TEXTS, F.col("all"))
-    spread = spread.withColumn("spread", F.greatest("own", few, F.lit(LEAST_SPREAD)))
-    return spread.select(
+    spread = F.greatest("own", few, F.lit(LEAST_SPREAD / STEP))
+    return own.crossJoin(F.broadcast(pooled)).select(
         "model",
-        (F.col("middle") - below * F.col("spread")).alias("lowest"),
-        (F.col("middle") + above * F.col("spread")).alias("highest"),
+        (F.col("middle") - below * spread).alias("lowest"),
+        (F.col("middle") + above * spread).alias("highest"),
     )
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | str = "doc_id") -> DataFrame:
+def _steps() -> Column:
+    return F.round(F.col("log_perplexity") / STEP).cast("long")
+
+
+def judge(
+    docs: DataFrame, text: str = "text", lang: str = "lang", key: Column | str = "doc_id", held_bytes: int = HELD_BYTES
+) -> DataFrame:
     """The scores of every row, with ``kept``: inside its language's band and not failed before."""
     rows = docs.select(
         (F.col(key) if isinstance(key, str) else key).alias("key"),
         F.col(lang).alias("lang"),
         F.col(text).alias("text"),
     )
-    scored = written(score_texts(rows), "quality-scores")
-    within = F.col("log_perplexity").between(F.col("lowest"), F.col("highest"))
-    # A language of which no text passes the base rule has no band, and nothing to judge by it.
-    judged = scored.join(F.broadcast(bands(scored)), "model", "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True)))
+    scored = written(score_texts(rows, held_bytes), "quality-scores")
+    # One row for each language: Spark broadcasts it by its size, or splits a hot language of the join.
+    judged = scored.join(written(bands(scored), "bands"), "model", "left")
+    within = F.coalesce(_steps().between(F.col("lowest"), F.col("highest")), F.lit(True))
+    return judged.withColumn("kept", ~F.col("base_failed") & within)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
