@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from engagement_lake.llm.store import written
+from engagement_lake.llm.store import given_back, written
 from engagement_lake.llm.units import HASHED_BYTES, freed, give_back, slices, text_bytes
 from engagement_lake.llm.words import mixed
 
@@ -187,6 +187,7 @@ def kneser_ney(texts: DataFrame, learns: Callable = all_texts) -> DataFrame:
     """(model, code, log) of every gram of the (model, text) rows; log is in units of ``LOG_UNIT``."""
     counts = written(count_grams(texts, learns), "gram-counts")
     orders = written(all_orders(counts), "gram-orders")
+    given_back(counts)
     off = written(discounts(orders), "gram-discounts")
     lower = None
     for width in range(1, ORDER + 1):
@@ -198,7 +199,10 @@ def kneser_ney(texts: DataFrame, learns: Callable = all_texts) -> DataFrame:
             shares = shares.join(lower.select("model", F.col("code").alias("ending"), "p"), ["model", "ending"])
             below = F.col("p")
         lower = shares.select("model", "code", (F.col("share") + F.col("rest") * below).alias("p"))
-    return written(lower.select("model", "code", F.round(F.log("p") / LOG_UNIT).cast("int").alias("log")), "gram-logs")
+    logs = F.round(F.log("p") / LOG_UNIT).cast("int").alias("log")
+    table = written(lower.select("model", "code", logs), "gram-logs")
+    given_back(orders, off)
+    return table
 
 
 class GramTable:
