@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from engagement_lake.plans import silver
+from engagement_lake.sources import raw, session
 from engagement_lake.sources.raw import land_raw_json, lines_of, scan_raw_json, with_path_metadata
 from engagement_lake.sources.schemas import RAW_DDL, column_types
 from engagement_lake.sources.tables import read_table
@@ -287,3 +288,38 @@ def test_an_unfinished_batch_is_not_read_and_is_replaced(spark, tmp_path):
     assert rows(flat(spark, tmp_path, "events"), "event_key") == [("a",)]
     land("one")
     assert rows(flat(spark, tmp_path, "events"), "event_key") == [("a",), ("a",)]
+
+
+def test_landed_lines_are_small_files_of_few_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw, "COMPRESSED", {**raw.COMPRESSED, "maxRecordsPerFile": 400})
+    records = spark.range(4000).selectExpr("CAST(id AS STRING) AS event_key", "concat('m', id % 3) AS media_id")
+    land_raw_json(records, str(tmp_path), "events", F.lit("2024-01-02"), F.col("media_id"), F.lit(1))
+    files = list((tmp_path / "events").rglob("part-*"))
+    assert len(files) >= 10 and all(f.name.endswith(".txt.gz") for f in files)
+    text = sum(len(json.dumps({"event_key": str(n), "media_id": "m1", "_page": "1"})) for n in range(4000))
+    assert sum(f.stat().st_size for f in files) < text / 3
+    found = flat(spark, tmp_path, "events")
+    assert found.groupBy("source_file").count().where("count > 400").isEmpty()
+    assert rows(found.groupBy("source_media_id").count(), "source_media_id", "count") == [
+        ("m0", 1334), ("m1", 1333), ("m2", 1333),
+    ]
+
+
+def sorts(spark, df, path):
+    """Whether writing by folder sorts the rows, as its plan says."""
+    df.createOrReplaceTempView("written_by_folder")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS by_folder (n BIGINT, folder STRING) USING parquet PARTITIONED BY (folder) LOCATION '{path}'")
+    plan = spark.sql("EXPLAIN FORMATTED INSERT OVERWRITE by_folder SELECT n, folder FROM written_by_folder").head()[0]
+    return "Sort" in plan
+
+
+def test_writes_by_folder_do_not_sort(spark, tmp_path):
+    df = spark.range(100).selectExpr("id AS n", "concat('f', id % 70) AS folder").coalesce(1)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    assert sorts(spark, df, tmp_path / "table")
+    with session.unsorted_folders(spark):
+        assert not sorts(spark, df, tmp_path / "table")
+        df.write.partitionBy("folder").parquet(str(tmp_path / "many"))  # more folders than are kept open
+    assert spark.conf.get(name) == before
+    assert spark.read.parquet(str(tmp_path / "many")).agg(F.sum("n")).head()[0] == 4950
