@@ -323,3 +323,17 @@ def test_writes_by_folder_do_not_sort(spark, tmp_path):
         df.write.partitionBy("folder").parquet(str(tmp_path / "many"))  # more folders than are kept open
     assert spark.conf.get(name) == before
     assert spark.read.parquet(str(tmp_path / "many")).agg(F.sum("n")).head()[0] == 4950
+
+
+def test_staged_files_and_the_tasks_that_read_them_hold_few_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(silver, "STAGED_ROWS", 50)
+    put(tmp_path, f"events/media_id=m1/{DAY}/page=1.json", [{"event_key": f"e{n}"} for n in range(500)])
+    staged = silver.stage_raw(spark, str(tmp_path), "events")
+    assert (staged.good_rows, staged.malformed_rows) == (500, 0)
+    of_file = staged.good.groupBy(F.input_file_name()).count()
+    assert of_file.count() == 10 and of_file.where("count > 50").isEmpty()
+    name = "spark.sql.files.minPartitionNum"
+    with session.scan_tasks(spark, 10), session.settings(spark, spark__sql__files__openCostInBytes=1024):
+        assert spark.conf.get(name) == "10"
+        assert staged.good.groupBy(F.spark_partition_id()).count().where("count > 50").isEmpty()
+    assert spark.conf.get(name, None) is None
