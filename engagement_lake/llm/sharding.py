@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from engagement_lake.llm.store import read, scratch_path
+from engagement_lake.llm.store import read, scratch_path, shuffles_dropped
 
 SHARDS = 16
 # Text that a bucket should hold, and rows beside it; both fit one task's memory several times.
@@ -66,7 +66,8 @@ def write_shards(
     shuffled = gathered.select("shard", "bucket", F.shuffle("rows", seed).alias("rows"))
     placed = shuffled.select("shard", "bucket", F.posexplode("rows").alias("position", "entry"))
     shaped = placed.select("shard", "bucket", "position", "entry.row")
-    shaped.write.partitionBy("shard").parquet(path)
+    with shuffles_dropped(docs.sparkSession):
+        shaped.write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
@@ -80,7 +81,8 @@ def read_shards(spark: SparkSession, path: str, columns: StructType) -> DataFram
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     slot = F.col("start") + F.col("position")
-    return rows.join(starts, ["shard", "bucket"]).select(
+    # One row a bucket, small beside the rows: these are joined where they are read, not shuffled again.
+    return rows.join(F.broadcast(starts), ["shard", "bucket"]).select(
         F.col("shard").cast("int").alias("shard"), slot.cast("long").alias("slot"), "row"
     )
 

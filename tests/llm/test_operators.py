@@ -3,6 +3,7 @@
 import math
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -19,7 +20,7 @@ from engagement_lake.llm.ppm import SYMBOLS, Contexts, levels_of, log_probabilit
 from engagement_lake.llm.quality_rules import SURFACE, judge
 from engagement_lake.llm.sharding import read_shards, shard_of, write_shards
 from engagement_lake.llm.shingle_join import choose_boundary, jaccard_components, jaccard_pairs
-from engagement_lake.llm.store import scratch_path
+from engagement_lake.llm.store import scratch_path, written
 from engagement_lake.llm.token_counts import token_counts
 from engagement_lake.llm.token_files import fetch_tokens, read_tokens, write_tokens
 from engagement_lake.llm.voronoi import top_k
@@ -139,6 +140,23 @@ def test_jaccard_links_are_all_counted(spark, monkeypatch, block):
     assert Counter(map(tuple, jaccard_pairs(docs).collect())) == Counter(pairs)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set:
+        found = files.getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    table = written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    for _ in range(50):  # files go in the background
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.2)
+    assert not left and table.count() == 10
+
+
 def test_boundary_weighs_entries_against_scans():
     cheap = [{"size": s, "pairs": 3, "singles": 2, "scanned": 50} for s in (4, 8)]
     dear = [{"size": s, "pairs": 300, "singles": 2, "scanned": 0} for s in (4, 8)]
@@ -352,6 +370,14 @@ def test_shards(spark, odd, empty):
     assert none.collect() == [] and none.select("row.*").columns == empty.columns
 
 
+def test_shards_are_read_without_a_shuffle_of_rows(spark, odd):
+    path = scratch_path(spark, "shards")
+    write_shards(odd, path, 4)
+    found = read_shards(spark, path, odd.schema)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
 def test_mixing(spark, odd, empty):
     rows = [(i, "w " * (1 + i % 9), s) for i in range(600) for s in ("a", "b", None) if s != "b" or i < 100]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
