@@ -30,7 +30,9 @@ its component has no other; other columns are left out. An empty table gives no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +70,8 @@ BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1 << 21
 SIZE_CLASS = 1.5
 # Columns of a matrix of elements, and meetings in an element, handled at a time.
 MATRIX_COLUMNS, MEETINGS = 4096, 1 << 22
+# Elements that pairs carry to their partners at a time, as a share of the elements of all listed sets.
+CARRIED = 0.5
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20
 
@@ -252,7 +256,7 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
         keep = _possible(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b")), both)
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+        yield batch.select(["a", "b", "size_a"]).filter(pa.array(keep))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +293,7 @@ class SetStore:
         self.bitmaps = written(self.bitmaps.join(listed, "sig", "left_semi"), "bitmaps")
         self.sets: DataFrame | None = None
         self._parts: list[DataFrame] = []
+        self._elements: int | None = None
 
     def give_back(self) -> None:
         """Delete the files of all sets: nothing may need them any more."""
@@ -335,14 +340,30 @@ class SetStore:
         side = {x: self.bitmaps.select(
             F.col("sig").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")
         ) for x in "ab"}
-        sifted = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(freed(_sift), "a bigint, b bigint")
-        sifted = written(sifted, "pairs")
+        sifted = pairs.join(side["a"], "a").join(side["b"], "b")
+        sifted = written(sifted.mapInArrow(freed(_sift), "a bigint, b bigint, size_a bigint"), "pairs")
         self._fetch(sifted)
         sets = {x: self.sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab"}
-        pairs = sifted.join(sets["a"], "a").join(sets["b"], "b")
-        found = written(pairs.mapInArrow(freed(_verify), "a bigint, b bigint"), "similar")
+        # Each pair carries a set to its partner, and a set can have many: in rounds, whose shuffles go before
+        # the next begins, so that what is carried at a time stays in proportion to the sets.
+        n = self._rounds(sifted)
+        found = []
+        for turn in range(n):
+            part = sifted.where(F.pmod(F.xxhash64("a", "b"), F.lit(n)) == turn).select("a", "b")
+            part = part.join(sets["a"], "a").join(sets["b"], "b")
+            found.append(written(part.mapInArrow(freed(_verify), "a bigint, b bigint"), "similar"))
         given_back(sifted)
-        return found
+        if n == 1:
+            return found[0]
+        whole = written(reduce(DataFrame.unionByName, found), "similar")
+        given_back(*found)
+        return whole
+
+    def _rounds(self, sifted: DataFrame) -> int:
+        carried = sifted.agg(F.coalesce(F.sum("size_a"), F.lit(0))).head()[0]
+        if self._elements is None:
+            self._elements = self.bitmaps.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
+        return max(1, math.ceil(carried / max(1, CARRIED * self._elements)))
 
 
 def _cross_pairs(turn: int | None):

@@ -140,6 +140,24 @@ def test_jaccard_links_are_all_counted(spark, monkeypatch, block):
     assert Counter(map(tuple, jaccard_pairs(docs).collect())) == Counter(pairs)
 
 
+def test_pairs_are_verified_in_rounds(spark, monkeypatch):
+    """What pairs carry at a time is bounded; no link is lost by it."""
+    from engagement_lake.llm import shingle_join
+
+    rounds, count = [], shingle_join.SetStore._rounds
+    monkeypatch.setattr(shingle_join, "CARRIED", 0.05)
+    monkeypatch.setattr(shingle_join.SetStore, "_rounds", lambda *a: rounds.append(count(*a)) or rounds[-1])
+    rows = [
+        (100 * g + i, " ".join(f"g{g}w{j}" if j != 3 * i + 7 else f"changed{i}" for j in range(200)))
+        for g in range(3)
+        for i in range(6)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["component"], r["n_links"]) for r in jaccard_components(docs).collect()}
+    assert max(rounds) > 1
+    assert found == {key: (key // 100 * 100, 5) for key, _ in rows}
+
+
 def test_written_tables_leave_no_shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
