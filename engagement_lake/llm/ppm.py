@@ -42,6 +42,8 @@ END = 256
 START = 0xFF
 CHUNK_BYTES = 12 << 20
 PARTITION_BYTES = 8 << 20
+# Keys gathered before they are summed up, and rows of a batch handed to the JVM.
+GATHERED, BATCH_ROWS = 1 << 20, 1 << 17
 GRAM, WORD = 0, 1
 _END_WORD = np.int64(-1)
 
@@ -170,9 +172,30 @@ def short_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return _summed(total["code"].to_numpy(np.int64), total["n"].to_numpy(np.int64))
 
 
+class _Summing:
+    """Counts by key, summed up whenever about as many keys wait as there are sums."""
+
+    def __init__(self):
+        self.parts, self.waiting, self.most = [], 0, GATHERED
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > self.most:
+            keys, counts = self.sums()
+            self.most = len(keys) + max(GATHERED, len(keys))
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts = []
+        self.parts = [_summed(keys, counts)]
+        self.waiting = len(self.parts[0][0])
+        return self.parts[0]
+
+
 def _chunk_items(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The distinct grams and words of a chunk, with their counts in its training rows."""
-    found = {GRAM: [], WORD: []}
+    found = {kind: _Summing() for kind in (GRAM, WORD)}
     for batch in table.combine_chunks().to_batches():
         for rows in slices(batch, "text", HASHED_BYTES):
             data, offsets = plain(*text_bytes(rows.column("text")))
@@ -190,10 +213,9 @@ def _chunk_items(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]
                 taught, n = np.unique(keys[learnt], return_counts=True)
                 counts = np.zeros(len(distinct), np.int64)
                 counts[np.searchsorted(distinct, taught)] = n
-                found[kind].append((distinct, counts))
-    for kind, parts in found.items():
-        keys, counts = (np.concatenate(x) for x in zip(*parts))
-        yield kind, *_summed(keys, counts)
+                found[kind].add(distinct, counts)
+    for kind in (GRAM, WORD):
+        yield kind, *found.pop(kind).sums()
 
 
 _ITEM = "chunk int, kind tinyint, key bigint, n bigint"
@@ -207,7 +229,8 @@ def _item_batches(chunk: int, items) -> pa.Table:
             columns, (np.full(len(keys), chunk, np.int32), np.full(len(keys), kind, np.int8), keys, counts)
         ):
             column.append(values)
-    return pa.table([pa.array(np.concatenate(c)) for c in columns], names=["chunk", "kind", "key", "n"])
+    whole = pa.table([pa.array(np.concatenate(c)) for c in columns], names=["chunk", "kind", "key", "n"])
+    return pa.Table.from_batches(whole.to_batches(BATCH_ROWS), whole.schema)
 
 
 def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -277,6 +300,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
         keys, value = found.column("key").to_numpy(), found.column("value").to_numpy()
         sets = {k: (pa.array(keys[kinds == k]), value[kinds == k]) for k in (GRAM, WORD)}
         owned = int(pc.sum(found.column("owned")).as_py() or 0)
+        del kinds, keys, value
 
         def values_of(kind: int, wanted: np.ndarray) -> np.ndarray:
             known, logs = sets[kind]
@@ -284,7 +308,7 @@ def score_documents(docs: DataFrame, train: Column, key: str = "doc_id", text: s
 
         out = []
         for batch in table.combine_chunks().to_batches():
-            for rows in slices(batch, "text", 3 * HASHED_BYTES):
+            for rows in slices(batch, "text", HASHED_BYTES):
                 data, offsets = plain(*text_bytes(rows.column("text")))
                 codes, ends = grams(data, offsets)
                 logs = np.diff(np.r_[0.0, np.cumsum(values_of(GRAM, codes))][ends])

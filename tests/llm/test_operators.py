@@ -198,6 +198,25 @@ def test_ppm_probabilities_sum_to_one():
     assert log_probabilities(np.arange(2), untrained, order) == pytest.approx(-math.log10(SYMBOLS))
 
 
+def test_ppm_chunks_are_summed_as_they_come(monkeypatch):
+    """What waits to be summed is bounded, and a chunk's items reach the JVM in batches."""
+    from engagement_lake.llm import ppm
+
+    monkeypatch.setattr(ppm, "GATHERED", 10)
+    monkeypatch.setattr(ppm, "BATCH_ROWS", 7)
+    sums, total = ppm._Summing(), Counter()
+    for i in range(30):
+        keys = np.unique(np.arange(i, i + 9) % 13)
+        sums.add(keys, np.full(len(keys), i))
+        total.update({k: i for k in keys.tolist()})
+        assert sums.waiting <= 13 + 13 + 9
+    keys, counts = sums.sums()
+    assert dict(zip(keys.tolist(), counts.tolist())) == total
+    table = ppm._item_batches(3, [(ppm.GRAM, keys, counts), (ppm.WORD, keys, counts)])
+    assert max(b.num_rows for b in table.to_batches()) <= 7
+    assert table.column("key").to_pylist() == keys.tolist() * 2
+
+
 def test_ppm_scores(odd, empty):
     train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
     found = score_documents(odd, train).collect()
