@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from engagement_lake.llm.store import read, written
-from engagement_lake.llm.units import library_tokenizer, slices, stretches
+from engagement_lake.llm.units import freed, library_tokenizer, slices, stretches
 
 CAPACITY = 4096
 # Numbers of groups to try, and parts of a sequence up to which a piece is small.
 GROUPS = (24, 12, 48, 96, 200, 400)
 SMALL = (1 / 8, 1 / 4)
 BUCKET_ROWS = 20_000
+# Bytes of text that are cut into ids at a time.
+CUT_BYTES = 2 << 20
 
 
 def token_pieces(
@@ -56,7 +58,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = library_tokenizer(definition.value)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", CUT_BYTES):
                 counts, found = tokenizer(rows.column("text"))
                 ids = np.insert(found, np.cumsum(counts), end_id)
                 counts = counts + 1
@@ -81,7 +83,7 @@ def token_pieces(
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     schema += ", ids binary" if with_ids else ""
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(freed(cut), schema)
 
 
 @dataclass

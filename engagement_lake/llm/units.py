@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,9 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 # For work that makes several 64-bit values of every byte.
 HASHED_BYTES = 1 << 20
-REMEMBERED = 700_000
+# Bytes whose pairs are looked up at a time, so that the lookup takes little memory.
+PAIRED_BYTES = 1 << 18
+REMEMBERED = 400_000
 
 _VISIBLE_ASCII = np.zeros(256, bool)
 _VISIBLE_ASCII[0x21:0x7F] = True
@@ -84,14 +87,16 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray, parted: np.ndarray) -> n
     begins = offsets[:-1][np.diff(offsets) > 0]
     if len(data) < 3:
         return begins
-    visible = _VISIBLE_ASCII[data]
+    visible = (data > 0x20) & (data < 0x7F)
     before = visible[:-2].copy()
     before[1:] |= (data[:-3] == _LATIN) & (data[1:-2] >= 0x80)
     after = visible[2:] | (data[2:] == _LATIN)
-    cuts = np.flatnonzero((data[1:-1] == 0x20) & before & after) + 1
-    marks = np.flatnonzero(parted[data[:-1], data[1:]]) + 1
     flags = np.zeros(len(data), bool)
-    flags[begins], flags[cuts], flags[marks] = True, True, True
+    flags[1:-1] = (data[1:-1] == 0x20) & before & after
+    for begin in range(0, len(data) - 1, PAIRED_BYTES):
+        part = data[begin : begin + PAIRED_BYTES + 1]
+        flags[begin + 1 : begin + len(part)] |= parted[part[:-1], part[1:]]
+    flags[begins] = True
     return np.flatnonzero(flags)
 
 
@@ -109,8 +114,8 @@ class PieceCache:
 
     ``encode`` returns the number of values of each piece, and the values one after another.
 
-    Held per Python worker; beyond ``REMEMBERED`` pieces it starts anew, so that its memory is
-    bounded.
+    Held per Python worker; beyond ``REMEMBERED`` pieces it forgets those that it has not met again, or all
+    if these are few, so that its memory is bounded.
     """
 
     def __init__(self, encode: Callable, parted: np.ndarray, counts_only: bool = False):
@@ -121,10 +126,23 @@ class PieceCache:
         self.index: dict[str, int] = {}
         self.lengths = self.begins = np.zeros(0, np.int32)
         self.values = np.zeros(0, np.uint32)
+        self.met = np.zeros(0, np.uint8)
+
+    def _forget_rare(self) -> None:
+        """Keep only pieces that were met again since this was last done."""
+        keep = self.met > 1
+        self.index = {p: i for i, p in enumerate(compress(self.index, keep.tolist()))}
+        if not self.counts_only:
+            self.values = self.values[np.repeat(keep, self.lengths)]
+        self.lengths = self.lengths[keep]
+        self.begins = np.cumsum(self.lengths, dtype=np.int32) - self.lengths
+        self.met = np.ones(len(self.index), np.uint8)
 
     def _places(self, distinct: list[str]) -> np.ndarray:
         if len(self.index) + len(distinct) > max(REMEMBERED, len(distinct)):
-            self.forget()
+            self._forget_rare()
+            if len(self.index) + len(distinct) > REMEMBERED:
+                self.forget()
         new = [p for p in distinct if p not in self.index]
         if new:
             lengths, values = self.encode(new)
@@ -133,7 +151,10 @@ class PieceCache:
             self.begins = np.r_[self.begins, begins.astype(np.int32)]
             self.lengths = np.r_[self.lengths, lengths.astype(np.int32)]
             self.values = np.r_[self.values, values]
-        return np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+            self.met = np.r_[self.met, np.zeros(len(new), np.uint8)]
+        places = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        self.met[places] = np.minimum(self.met[places], 1) + 1
+        return places
 
     def per_text(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of values of each text, and all values one after another (none if counting)."""

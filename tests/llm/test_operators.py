@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -552,3 +553,39 @@ def test_pipeline_keeps_columns_of_any_name(spark, odd, empty):
         assert all(r[c] == c for r in found.collect() for c in ("known", "doc", "size", "kept", "key", "component"))
         assert stage(spark, empty, "").collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, empty, "").collect() == []
+
+
+def test_piece_starts_take_little_memory():
+    """Beside the starts, a few flags for every byte."""
+    import tracemalloc
+
+    from engagement_lake.llm.units import letters_from_marks, piece_starts
+
+    data = np.frombuffer(b"some words, and more: of them " * 100_000, np.uint8)
+    tracemalloc.start()
+    starts = piece_starts(data, np.array([0, len(data)]), letters_from_marks())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(starts) == 8 * 100_000
+    assert peak < 7 * len(data)
+
+
+def test_pieces_met_again_stay_remembered(monkeypatch):
+    from engagement_lake.llm import units
+
+    monkeypatch.setattr(units, "REMEMBERED", 40)
+    given = []
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        given.extend(pieces)
+        ids = [[int(p), 7] if int(p) % 2 else [int(p)] for p in pieces]
+        return np.array([len(x) for x in ids]), np.concatenate(ids).astype(np.uint32)
+
+    cache = units.PieceCache(encode, np.zeros((256, 256), bool))
+    for turn in range(20):
+        numbers = [1, 2, *range(10 * turn + 10, 10 * turn + 20), 1, 3]
+        expected = [x for n in numbers for x in ([n, 7] if n % 2 else [n])]
+        counts, values = cache.per_text(*units.text_bytes(pa.array([" ".join(map(str, numbers))])))
+        assert (counts.tolist(), values.tolist()) == ([len(expected)], expected)
+        assert len(cache.index) <= 40
+    assert given.count(" 3") == 1
