@@ -72,6 +72,8 @@ SIZE_CLASS = 1.5
 MATRIX_COLUMNS, MEETINGS = 4096, 1 << 22
 # Elements that pairs carry to their partners at a time, as a share of the elements of all listed sets.
 CARRIED = 0.5
+# Pairs up to which their sets are picked by a broadcast of signatures.
+FEW_PAIRS = 1 << 17
 # Bytes of entries that one task sorts.
 ENTRIES_BYTES = 16 << 20
 
@@ -242,21 +244,25 @@ def _bitmap_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BITS // 8)
 
 
-def _possible(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """Whether the bitmaps of two sets of so many elements leave it possible that they are similar.
+def _apart_in_bitmaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
+def _possible(apart: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Whether bitmaps that differ in so many bits leave it possible that sets of so many elements are similar.
 
     The overlap is at most half of what the bitmaps leave, and has to be NUM / (NUM + DEN) of both.
     """
-    apart = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
     return (NUM + DEN) * (both - apart) >= 2 * NUM * both
 
 
 def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose bitmaps leave it possible that they are similar."""
+    """Pairs whose bitmaps leave it possible that they are similar, with how unlike these are."""
     for batch in batches:
         both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-        keep = _possible(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b")), both)
-        yield batch.select(["a", "b", "size_a"]).filter(pa.array(keep))
+        apart = _apart_in_bitmaps(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b")))
+        unlike = pa.array((apart << 20) // np.maximum(both, 1))
+        yield batch.select(["a", "b", "size_a"]).append_column("unlike", unlike).filter(pa.array(_possible(apart, both)))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,6 +316,8 @@ class SetStore:
         bit = F.expr("bit_or(shiftleft(1L, CAST(place % 64 AS INT)))").alias("bits")
         words = holders.select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("word"))
         words = words.agg(bit).toPandas()  # bounded by FILTER_BITS
+        if self.sets is not None and words.empty:
+            return
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
         held = self.docs.sparkSession.sparkContext.broadcast(bits)
@@ -335,24 +343,29 @@ class SetStore:
         self._parts.append(found)
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        """The (a, b) pairs of signatures whose sets are similar, written."""
+    def sifted(self, pairs: DataFrame) -> DataFrame:
+        """The (a, b) pairs of signatures that bitmaps allow to be similar, with how unlike these are, written."""
         side = {x: self.bitmaps.select(
             F.col("sig").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")
         ) for x in "ab"}
-        sifted = pairs.join(side["a"], "a").join(side["b"], "b")
-        sifted = written(sifted.mapInArrow(freed(_sift), "a bigint, b bigint, size_a bigint"), "pairs")
+        both = pairs.join(side["a"], "a").join(side["b"], "b")
+        return written(both.mapInArrow(freed(_sift), "a bigint, b bigint, size_a bigint, unlike bigint"), "pairs")
+
+    def similar(self, sifted: DataFrame) -> DataFrame:
+        """The (a, b) of the sifted pairs whose sets are similar, written."""
         self._fetch(sifted)
-        sets = {x: self.sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab"}
         # Each pair carries a set to its partner, and a set can have many: in rounds, whose shuffles go before
         # the next begins, so that what is carried at a time stays in proportion to the sets.
-        n = self._rounds(sifted)
+        n, few = self._rounds(sifted), sifted.count() <= FEW_PAIRS
         found = []
         for turn in range(n):
             part = sifted.where(F.pmod(F.xxhash64("a", "b"), F.lit(n)) == turn).select("a", "b")
-            part = part.join(sets["a"], "a").join(sets["b"], "b")
+            for x in "ab":
+                sets = self.sets
+                if few:  # only the sets that these pairs have are shuffled to meet them
+                    sets = sets.join(F.broadcast(part.select(F.col(x).alias("sig")).distinct()), "sig", "left_semi")
+                part = part.join(sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")), x)
             found.append(written(part.mapInArrow(freed(_verify), "a bigint, b bigint"), "similar"))
-        given_back(sifted)
         if n == 1:
             return found[0]
         whole = written(reduce(DataFrame.unionByName, found), "similar")
@@ -366,6 +379,62 @@ class SetStore:
         return max(1, math.ceil(carried / max(1, CARRIED * self._elements)))
 
 
+def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The sifted pairs whose sets are of different components, ``lo`` and ``hi``."""
+    for x in "ab":
+        named = groups.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
+        pairs = pairs.join(named, x, "left").withColumn(f"in_{x}", F.coalesce(f"in_{x}", x))
+    ends = (F.least("in_a", "in_b").alias("lo"), F.greatest("in_a", "in_b").alias("hi"))
+    return pairs.where("in_a <> in_b").select("a", "b", "size_a", "unlike", *ends)
+
+
+def _likeliest(pairs: DataFrame, *of: str) -> DataFrame:
+    best = pairs.groupBy(*of).agg(F.min(F.struct("unlike", "a", "b", "size_a")).alias("best"))
+    return best.select("best.*").distinct()
+
+
+def _of_sets(pairs: DataFrame) -> DataFrame:
+    """The likeliest pair of each set."""
+    return _likeliest(pairs.withColumn("end", F.explode(F.array("a", "b"))), "end")
+
+
+def _of_components(pairs: DataFrame) -> DataFrame:
+    """The likeliest pair of each two components."""
+    return _likeliest(pairs, "lo", "hi")
+
+
+def _all(pairs: DataFrame) -> DataFrame:
+    return pairs.select("unlike", "a", "b", "size_a")
+
+
+def _compared(store: SetStore, pairs: DataFrame, groups: DataFrame, choices: tuple) -> tuple[DataFrame, list, bool]:
+    """The components after comparing pairs, the tables of those compared, and whether any were similar.
+
+    By each of the ``choices`` in turn, some pairs are compared of those whose sets are still apart: the sets
+    of most others are joined by then, and need not be carried to each other.
+    """
+    held = store.sifted(pairs)
+    rest, compared, joined = held, [], False
+    for choice in choices:
+        before, held = held, written(_across(rest, groups), "rest")
+        given_back(before)
+        chosen = written(choice(held), "chosen")
+        compared.append(chosen)
+        if chosen.isEmpty() and store.sets is not None:
+            break
+        found = store.similar(chosen)
+        if not found.isEmpty():
+            joined = True
+            # A star links what its component's links do.
+            star = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            old, groups = groups, connected(star.unionByName(found))
+            given_back(old)
+        given_back(found)
+        rest = held.drop("lo", "hi").join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+    given_back(held)
+    return groups, compared, joined
+
+
 def _cross_pairs(turn: int | None):
     """Pairs of sets under one key, of compatible size and in different components, that bitmaps allow.
 
@@ -408,9 +477,9 @@ def _cross_pairs(turn: int | None):
                 # A pair stands under many keys: bitmaps are looked at once.
                 pairs, at = np.unique(pairs, axis=0, return_index=True)
                 first, second = first[at], second[at]
-            apart = np.bitwise_count((bits[first] ^ bits[second]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            apart = _apart_in_bitmaps(bits[first], bits[second])
             both = size[first] + size[second]
-            able = (NUM + DEN) * (both - apart) >= 2 * NUM * both
+            able = _possible(apart, both)
             if turn is None:
                 kept = np.unique(np.concatenate([kept, pairs[able]]), axis=0)
                 if len(kept) > PAIR_BLOCK:
@@ -600,17 +669,16 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
     pairs = near.select(F.least("least", "sig").alias("a"), F.greatest("least", "sig").alias("b")).distinct()
     pairs = written(pairs, "near")
     store = SetStore(rows, described, lists.select("sig").distinct())
-    links = store.similar(pairs)
+    groups = docs.sparkSession.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
+    groups, compared, _ = _compared(store, pairs, groups, (_of_sets, _of_components, _all))
+    given_back(pairs)
 
     # Keys whose sets are not yet of one component: in some turns a few sets of each meet the others across,
     # which joins most of what hangs together, and then all that are still apart. A key whose sets are of
     # one component is done with, as is one of two sets, which have met.
     # What only led to a table is given back when that is written.
-    done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size")
-    compared, held = [pairs], lists
+    apart, held = lists.where("sets > 2").select("entry", "sig", "size"), lists
     turn: int | None = 0
-    groups = connected(links)
-    given_back(links)
     while True:
         components = groups.withColumnRenamed("node", "sig")
         named = apart.join(components, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
@@ -622,21 +690,18 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
             break
         across = named.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
         across = across.mapInArrow(freed(_cross_pairs(turn)), "a bigint, b bigint").distinct()
+        done = reduce(DataFrame.unionByName, [x.select("a", "b") for x in compared])
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
         joined = False
         if not across.isEmpty():
-            found = store.similar(across)
-            joined = not found.isEmpty()
-            if joined:
-                # A star links what its component's links do.
-                star = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                before, groups = groups, connected(star.unionByName(found))
-                given_back(before)
-            given_back(found)
-        compared.append(across)
+            # What a turn leaves uncompared is among the pairs that come last.
+            choices = (_of_components,) if turn is not None else (_of_components, _all)
+            groups, met, joined = _compared(store, across, groups, choices)
+            compared += met
+        given_back(across)
         if turn is None:
             break
-        done, apart = done.unionByName(across), named.drop("component")
+        apart = named.drop("component")
         turn = turn + 1 if joined and turn + 1 < TURNS else None
 
     given_back(held, *compared, store.bitmaps)
