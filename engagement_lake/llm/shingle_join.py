@@ -13,7 +13,8 @@ compared with the key's smallest set first; then, in turns, under keys whose set
 components, the likeliest pairs of each two components meet; and at last all pairs across components
 are compared. So a group of thousands of near copies costs a few comparisons a copy, and no link between
 different components is missed. Pairs are sifted by bitmaps that bound the overlap, and the rest verified on the sets,
-recomputed from the texts.
+recomputed from the texts. A bitmap of one length says nothing of sets much larger than it, and these are the costliest
+to verify: large sets have a second one, as wide as they are large.
 
 That gives components, not all links. Links are then counted within each component, where all of
 them are: its sets are dealt into blocks of sets of about one size, and each pair of blocks of
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engagement_lake.llm.components import connected
-from engagement_lake.llm.shingles import parity_bitmaps, set_signatures, shingle_sets
+from engagement_lake.llm.shingles import parity_bitmaps, set_signatures, shingle_sets, wide_bitmaps
 from engagement_lake.llm.store import given_back, read, written
 from engagement_lake.llm.units import HASHED_BYTES, freed, slices
 from engagement_lake.llm.words import mixed, owners
@@ -83,12 +84,13 @@ def _prefix(size: np.ndarray, shared: int) -> np.ndarray:
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """Rows of three kinds. A document: key, size, sig, bits. A repeated element: sig, size (count).
+    """Rows of three kinds. A document: key, size, sig, bits, and of a large set a bitmap as wide as it is large.
+    A repeated element: sig, size (count).
     The cost of a set size: size, sets, entries of pairs and of elements, list length to scan."""
-    names = ["kind", "key", "hash", "size", "sig", "bits", "sets", "pairs", "singles", "scanned"]
+    names = ["kind", "key", "hash", "size", "sig", "bits", "wide", "sets", "pairs", "singles", "scanned"]
 
     def rows_of(n, kind_of, key_type, **columns) -> pa.RecordBatch:
-        types = [pa.int8(), key_type, *[pa.int64()] * 3, pa.binary(), *[pa.int64()] * 4]
+        types = [pa.int8(), key_type, *[pa.int64()] * 3, *[pa.binary()] * 2, *[pa.int64()] * 4]
         arrays = [
             pa.array(np.full(n, kind_of, np.int8)) if name == "kind"
             else columns.get(name, pa.nulls(n, t))
@@ -117,6 +119,7 @@ def _describe(docs: DataFrame) -> DataFrame:
                 yield rows_of(
                     len(sizes), 0, key_type,
                     key=rows.column("key"), hash=rows.column("hash"), size=pa.array(sizes), sig=pa.array(sig), bits=packed,
+                    wide=pa.array(wide_bitmaps(values, offsets, BITS), pa.binary()),
                 )
                 _, first = np.unique(sig, return_index=True)
                 one = np.zeros(len(sizes), bool)
@@ -141,12 +144,12 @@ def _describe(docs: DataFrame) -> DataFrame:
         if held:
             yield repeated()
         at = np.flatnonzero(cost[:, 0])
-        columns = dict(zip(names[6:], (pa.array(c) for c in cost[at].T)))
+        columns = dict(zip(names[7:], (pa.array(c) for c in cost[at].T)))
         yield rows_of(len(at), 2, key_type, size=pa.array(at), **columns)
 
     schema = T.StructType().add("kind", "byte").add("key", docs.schema["key"].dataType)
     for name in names[2:]:
-        schema = schema.add(name, "binary" if name == "bits" else "long")
+        schema = schema.add(name, "binary" if name in ("bits", "wide") else "long")
     return docs.mapInArrow(freed(describe), schema)
 
 
@@ -242,12 +245,15 @@ def _bitmap_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BITS // 8)
 
 
-def _possible(a: np.ndarray, b: np.ndarray, both: np.ndarray) -> np.ndarray:
-    """Whether the bitmaps of two sets of so many elements leave it possible that they are similar.
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def _possible(apart: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Whether bitmaps that differ in so many bits leave it possible that sets of so many elements are similar.
 
     The overlap is at most half of what the bitmaps leave, and has to be NUM / (NUM + DEN) of both.
     """
-    apart = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
     return (NUM + DEN) * (both - apart) >= 2 * NUM * both
 
 
@@ -255,8 +261,19 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose bitmaps leave it possible that they are similar."""
     for batch in batches:
         both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-        keep = _possible(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b")), both)
-        yield batch.select(["a", "b", "size_a"]).filter(pa.array(keep))
+        keep = _possible(_apart(_bitmap_rows(batch.column("bits_a")), _bitmap_rows(batch.column("bits_b"))), both)
+        batch, both = batch.filter(pa.array(keep)), both[keep]
+        apart = np.zeros(len(both), np.int64)
+        for i, wide in enumerate(zip(batch.column("wide_a").to_pylist(), batch.column("wide_b").to_pylist())):
+            if None not in wide:
+                apart[i] = _apart(*_as_wide(*wide))
+        yield batch.select(["a", "b", "size_a"]).filter(pa.array(_possible(apart, both)))
+
+
+def _as_wide(a: bytes, b: bytes) -> list[np.ndarray]:
+    """Two bitmaps, the wider folded to the width of the other."""
+    width = min(len(a), len(b))
+    return [np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, width), axis=0) for x in (a, b)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,13 +300,31 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _joined(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """The (a, b) pairs with the ``facts`` of both signatures, whose names get ``_a`` and ``_b``.
+
+    Only facts that a pair may need are shuffled to it: a filter of fixed size tells which, so that few pairs
+    do not move all facts.
+    """
+    place = F.pmod(F.xxhash64("sig"), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(place, 6), F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(place.alias("place"))
+    needed = needed.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits_of_word"))
+    held = facts.withColumns({"place": place, "word": word})
+    held = held.join(F.broadcast(needed), "word").where(F.col("bits_of_word").bitwiseAND(bit) != 0)
+    for x in "ab":
+        named = [F.col(c).alias(x if c == "sig" else f"{c}_{x}") for c in facts.columns]
+        pairs = pairs.join(held.select(*named), x)
+    return pairs
+
+
 class SetStore:
     """Sets of the documents that pairs need, taken from the texts once for each set, and the bitmaps of
     those that are ``listed``."""
 
     def __init__(self, docs: DataFrame, described: DataFrame, listed: DataFrame):
         self.docs, self.described = docs, described
-        self.bitmaps = described.groupBy("sig").agg(F.first("bits").alias("bits"), F.first("size").alias("size"))
+        self.bitmaps = described.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("bits", "wide", "size")])
         self.bitmaps = written(self.bitmaps.join(listed, "sig", "left_semi"), "bitmaps")
         self.sets: DataFrame | None = None
         self._parts: list[DataFrame] = []
@@ -337,20 +372,16 @@ class SetStore:
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """The (a, b) pairs of signatures whose sets are similar, written."""
-        side = {x: self.bitmaps.select(
-            F.col("sig").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")
-        ) for x in "ab"}
-        sifted = pairs.join(side["a"], "a").join(side["b"], "b")
+        sifted = _joined(pairs, self.bitmaps)
         sifted = written(sifted.mapInArrow(freed(_sift), "a bigint, b bigint, size_a bigint"), "pairs")
         self._fetch(sifted)
-        sets = {x: self.sets.select(F.col("sig").alias(x), F.col("elements").alias(f"set_{x}")) for x in "ab"}
         # Each pair carries a set to its partner, and a set can have many: in rounds, whose shuffles go before
         # the next begins, so that what is carried at a time stays in proportion to the sets.
         n = self._rounds(sifted)
         found = []
         for turn in range(n):
             part = sifted.where(F.pmod(F.xxhash64("a", "b"), F.lit(n)) == turn).select("a", "b")
-            part = part.join(sets["a"], "a").join(sets["b"], "b")
+            part = _joined(part, self.sets.withColumnRenamed("elements", "set"))
             found.append(written(part.mapInArrow(freed(_verify), "a bigint, b bigint"), "similar"))
         given_back(sifted)
         if n == 1:
@@ -370,8 +401,9 @@ def _cross_pairs(turn: int | None):
     """Pairs of sets under one key, of compatible size and in different components, that bitmaps allow.
 
     In a ``turn``, ``PIVOTS`` sets of a key, others in each turn, meet the others, and of the pairs that would
-    join the same two components a task gives the ``LIKELIEST`` ones. Without, it gives all pairs of all sets,
-    each once. Pairs are made a bounded block at a time.
+    join the same two components a task gives the ``LIKELIEST`` ones. If these sets are all but one of the key,
+    all its pairs have met and all are given: the key is done with. Without a turn, it gives all pairs of all
+    sets, each once. Pairs are made a bounded block at a time.
     """
 
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,9 +418,12 @@ def _cross_pairs(turn: int | None):
         order = np.lexsort((mixed(sig.view(np.uint64) ^ np.uint64(turn or 0)), entry))
         entry, size, component, sig, bits = (x[order] for x in (entry, size, component, sig, bits))
         every = np.arange(len(entry))
+        place = every - np.searchsorted(entry, entry)
         n = np.searchsorted(entry, entry, side="right") - every - 1
+        whole = np.ones(len(entry), bool)
         if turn is not None:
-            n[every - np.searchsorted(entry, entry) >= PIVOTS] = 0
+            whole = n + place <= PIVOTS
+            n[place >= PIVOTS] = 0
         total = np.cumsum(n)
         kept = np.zeros((0, 2), np.int64)
         best = np.zeros((0, 5), np.int64)
@@ -408,15 +443,15 @@ def _cross_pairs(turn: int | None):
                 # A pair stands under many keys: bitmaps are looked at once.
                 pairs, at = np.unique(pairs, axis=0, return_index=True)
                 first, second = first[at], second[at]
-            apart = np.bitwise_count((bits[first] ^ bits[second]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            apart = _apart(bits[first], bits[second])
             both = size[first] + size[second]
-            able = (NUM + DEN) * (both - apart) >= 2 * NUM * both
-            if turn is None:
-                kept = np.unique(np.concatenate([kept, pairs[able]]), axis=0)
-                if len(kept) > PAIR_BLOCK:
-                    yield _pair_batch(kept)
-                    kept = kept[:0]
-            else:
+            able = _possible(apart, both)
+            kept = np.unique(np.concatenate([kept, pairs[able & whole[first]]]), axis=0)
+            if len(kept) > PAIR_BLOCK:
+                yield _pair_batch(kept)
+                kept = kept[:0]
+            able &= ~whole[first]
+            if able.any():
                 c, d = component[first[able]], component[second[able]]
                 unlike = (apart[able] << 20) // np.maximum(both[able], 1)
                 found = np.stack([np.minimum(c, d), np.maximum(c, d), unlike, *pairs[able].T], axis=1)
@@ -426,7 +461,7 @@ def _cross_pairs(turn: int | None):
                 rank = np.arange(len(best)) - np.repeat(starts, np.diff(np.r_[starts, len(best)]))
                 best = best[rank < LIKELIEST]
             begin = end
-        yield _pair_batch(kept if turn is None else np.unique(best[:, 3:], axis=0))
+        yield _pair_batch(np.unique(np.concatenate([kept, best[:, 3:]]), axis=0))
 
     return pairs_of
 
@@ -579,7 +614,7 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
     """The described rows, the sets of all that have a link, their components, a number of partitions."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     facts = written(_describe(rows), "shingle-facts")
-    described = facts.where("kind = 0").select("key", "hash", "size", "sig", "bits")
+    described = facts.where("kind = 0").select("key", "hash", "size", "sig", "bits", "wide")
 
     common = facts.where("kind = 1").groupBy("sig").agg(F.sum("size").alias("n")).where(F.col("n") >= COMMON_FROM)
     common = common.orderBy(F.desc("n"), "sig").limit(COMMON).toPandas()  # bounded by COMMON
@@ -604,9 +639,9 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
 
     # Keys whose sets are not yet of one component: in some turns a few sets of each meet the others across,
     # which joins most of what hangs together, and then all that are still apart. A key whose sets are of
-    # one component is done with, as is one of two sets, which have met.
+    # one component is done with, as is one of two sets, which have met, and one whose sets all met in a turn.
     # What only led to a table is given back when that is written.
-    done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size")
+    done, apart = pairs, lists.where("sets > 2").select("entry", "sig", "size", "sets")
     compared, held = [pairs], lists
     turn: int | None = 0
     groups = connected(links)
@@ -620,7 +655,7 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
         held = named
         if named.isEmpty():
             break
-        across = named.join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
+        across = named.drop("sets").join(store.bitmaps.select("sig", "bits"), "sig").repartition(partitions, "entry")
         across = across.mapInArrow(freed(_cross_pairs(turn)), "a bigint, b bigint").distinct()
         across = written(across.join(done, ["a", "b"], "left_anti"), "across")
         joined = False
@@ -636,7 +671,7 @@ def _connected_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Se
         compared.append(across)
         if turn is None:
             break
-        done, apart = done.unionByName(across), named.drop("component")
+        done, apart = done.unionByName(across), named.drop("component").where(F.col("sets") > PIVOTS + 1)
         turn = turn + 1 if joined and turn + 1 < TURNS else None
 
     given_back(held, *compared, store.bitmaps)

@@ -54,7 +54,27 @@ def parity_bitmaps(values: np.ndarray, offsets: np.ndarray, bits: int) -> np.nda
 
     Two sets differ in at least as many members as their bitmaps differ in bits.
     """
-    n = len(offsets) - 1
-    bucket = (mixed(values ^ np.uint64(0x14057B7EF767814F)) % np.uint64(bits)).astype(np.int64)
-    counts = np.bincount(owners(np.diff(offsets)) * bits + bucket, minlength=n * bits)
-    return np.packbits((counts & 1).astype(np.uint8).reshape(n, bits), axis=1)
+    return _parities(values, np.diff(offsets), np.full(len(offsets) - 1, bits)).reshape(-1, bits // 8)
+
+
+def wide_bitmaps(values: np.ndarray, offsets: np.ndarray, bits: int) -> list[bytes | None]:
+    """The same for sets of more than so many members, at least one bit a member; none for the others.
+
+    The widths are ``bits`` times powers of two: halves of a bitmap folded by exclusive or are the narrower one.
+    """
+    sizes = np.diff(offsets)
+    large = np.flatnonzero(sizes > bits)
+    widths = bits << np.ceil(np.log2(sizes[large] / bits)).astype(np.int64)
+    whole = _parities(values[np.repeat(sizes > bits, sizes)], sizes[large], widths).tobytes()
+    ends = np.cumsum(widths) // 8
+    found: list[bytes | None] = [None] * len(sizes)
+    for i, begin, end in zip(large.tolist(), (ends - widths // 8).tolist(), ends.tolist()):
+        found[i] = whole[begin:end]
+    return found
+
+
+def _parities(values: np.ndarray, sizes: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    of = owners(sizes)
+    bucket = (mixed(values ^ np.uint64(0x14057B7EF767814F)) % widths.astype(np.uint64)[of]).astype(np.int64)
+    counts = np.bincount((np.cumsum(widths) - widths)[of] + bucket, minlength=int(widths.sum()))
+    return np.packbits((counts & 1).astype(np.uint8))

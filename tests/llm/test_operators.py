@@ -159,6 +159,44 @@ def test_pairs_are_verified_in_rounds(spark, monkeypatch):
     assert found == {key: (key // 100 * 100, 5) for key, _ in rows}
 
 
+def test_large_sets_that_are_not_similar_are_not_carried_to_each_other(spark, monkeypatch):
+    """Bitmaps as wide as sets are large sift their pairs; near the limit, and of unlike widths, none is lost."""
+    from engagement_lake.llm import shingle_join
+
+    sifted, count = [], shingle_join.SetStore._rounds
+    monkeypatch.setattr(shingle_join.SetStore, "_rounds", lambda s, x: sifted.append(x.count()) or count(s, x))
+    whole = [f"w{i}" for i in range(5000)]
+    half = [*whole[:2500], *(f"other{i}" for i in range(2500))]
+    rows = [(1, " ".join(whole)), (2, " ".join(half))]
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component"] for r in found.collect()} == {1, 2}
+    assert sum(sifted) == 0
+
+    rows = []
+    for n in (1000, 1060, 2040, 2100, 4200):
+        for copy, cut in enumerate((0, n // 100, n // 8, n // 7, n // 4 - 2, n // 4 + 2)):
+            rows.append((len(rows), " ".join(f"n{n // 500}w{i}" for i in range(cut, n))))
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component"]) for r in found) == plain_components(rows)
+
+
+def test_keys_of_few_sets_give_all_their_pairs_in_one_turn():
+    """So that their sets need not be dealt again in the turns to come; keys of more sets give the likeliest."""
+    from engagement_lake.llm.shingle_join import LIKELIEST, PIVOTS, _cross_pairs
+
+    def pairs(n: int) -> set:
+        columns = [np.zeros(n, np.int64), np.full(n, 100), np.arange(n) % 2, np.arange(n)]
+        names = ["entry", "size", "component", "sig", "bits"]
+        batch = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([bytes(128)] * n)], names=names)
+        given = [pair for b in _cross_pairs(0)(iter([batch])) for pair in zip(*b.to_pydict().values())]
+        assert len(set(given)) == len(given)
+        return set(given)
+
+    n = PIVOTS + 1
+    assert pairs(n) == {(a, b) for a in range(n) for b in range(a, n) if (a - b) % 2}
+    assert len(pairs(n + 1)) == LIKELIEST
+
+
 def test_written_tables_leave_no_shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
