@@ -8,6 +8,8 @@ far fewer distinct pieces than pieces, so the tokenizer sees each distinct piece
 from __future__ import annotations
 
 import ctypes
+import json
+import re
 from collections.abc import Callable, Iterator
 from itertools import compress
 
@@ -181,11 +183,48 @@ def stretches(values: np.ndarray, counts: np.ndarray) -> list[memoryview]:
     return [whole[e - 4 * n : e] for e, n in zip(ends.tolist(), counts.tolist())]
 
 
+# The rules of a tokenizer that makes a run of letters a word, drops white space, and ends a word with an id
+# that stands nowhere else, and pieces that are such a run: letters of ASCII and Latin-1.
+_END = "</w>"
+_LETTERS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_WORDS_END = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+
+def _put_together(lengths: list, values: list) -> tuple[np.ndarray, np.ndarray]:
+    if not lengths:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    return np.concatenate(lengths).astype(np.int64), np.concatenate(values)
+
+
 class LibraryTokenizer:
     """Ids of the ``tokenizers`` library, without added special tokens, piece by piece.
 
     Pieces go to the library joined by a special token, which it sets apart before anything else,
     so that each is tokenised as if alone; a piece that holds that token's text goes by itself.
+    That makes twice as many parts, so a tokenizer whose ids tell where a word ends gets pieces of one
+    word joined by spaces.
     """
 
     PIECES_PER_CALL = 2000
@@ -199,6 +238,12 @@ class LibraryTokenizer:
         self.tokenizer = Tokenizer.from_str(definition)
         specials = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_text = next((i, t.content) for i, t in specials.items() if t.special)
+        self.word_ends: np.ndarray | None = None
+        rules = json.loads(definition)
+        if rules["model"].get("end_of_word_suffix") == _END and all(rules[k] == v for k, v in _WORDS_END.items()):
+            vocabulary = self.tokenizer.get_vocab()
+            self.word_ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.word_ends[[i for token, i in vocabulary.items() if token.endswith(_END)]] = True
         parted = letters_from_marks()
         for token in specials.values():
             inside = list(token.content.encode())
@@ -208,7 +253,7 @@ class LibraryTokenizer:
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_marked(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths, values = [], []
         for i in range(0, len(pieces), self.PIECES_PER_CALL):
             part = pieces[i : i + self.PIECES_PER_CALL]
@@ -222,7 +267,38 @@ class LibraryTokenizer:
             marks = np.flatnonzero(ids == self.mark)
             lengths.append(np.diff(marks, prepend=-1) - 1)
             values.append(ids[ids != self.mark])
-        return np.concatenate(lengths).astype(np.int64), np.concatenate(values)
+        return _put_together(lengths, values)
+
+    def _encode_words(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that are one word each."""
+        lengths, values = [], []
+        for i in range(0, len(pieces), self.PIECES_PER_CALL):
+            part = pieces[i : i + self.PIECES_PER_CALL]
+            ids = self._ids(" ".join(part))
+            ends = np.flatnonzero(self.word_ends[ids])
+            if len(ends) != len(part) or ends[-1] != len(ids) - 1:
+                n, ids = self._encode_marked(part)
+            else:
+                n = np.diff(ends, prepend=-1)
+            lengths.append(n)
+            values.append(ids)
+        return _put_together(lengths, values)
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.word_ends is None:
+            return self._encode_marked(pieces)
+        word = np.fromiter((_LETTERS.fullmatch(p) is not None for p in pieces), bool, len(pieces))
+        encoded = [
+            (word, *self._encode_words(list(compress(pieces, word)))),
+            (~word, *self._encode_marked(list(compress(pieces, ~word)))),
+        ]
+        lengths = np.zeros(len(pieces), np.int64)
+        for which, n, _ in encoded:
+            lengths[which] = n
+        values = np.zeros(lengths.sum(), np.uint32)
+        for which, _, ids in encoded:
+            values[np.repeat(which, lengths)] = ids
+        return lengths, values
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids one after another. A null text is empty."""

@@ -197,6 +197,26 @@ def test_keys_of_few_sets_give_all_their_pairs_in_one_turn():
     assert len(pairs(n + 1)) == LIKELIEST
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_joined_pieces_are_tokenised_as_if_alone(name):
+    """Pieces of one word stand beside each other where ids tell the words' ends: one part each for the library."""
+    from engagement_lake.llm.units import LibraryTokenizer
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        tokenizer = LibraryTokenizer(file.read())
+    words = ["a", " a", " Straße", "ÀÉÿ", " oucheaué", "xkcdqz" * 9, "it", "s", " S", "re", " the", "w"]
+    odd = ["×", "a×b", "÷", "e\u0301", "\u0301a", "'s", "x'", "it's", " ", " \t", "\n\n", "9", "12", "½", "a1", "ΑΣ", "a b"]
+    odd += ["<|endoftext|>", "a<|endoftext|>b", "</w>", "w>", "한", "\u1112\u1161", "🙂", "\u200d", "\0", "İ", "ﬁ", "µ", "ªº", "a\n"]
+    called, ids_of = [], tokenizer._ids
+    tokenizer._ids = lambda text: called.append(text) or ids_of(text)
+    for pieces in (words, odd, [p for pair in zip(words, odd) for p in pair], odd[:1]):
+        lengths, values = tokenizer._encode(pieces)
+        alone = [ids_of(p).tolist() for p in pieces]
+        assert lengths.tolist() == [len(ids) for ids in alone]
+        assert values.tolist() == [i for ids in alone for i in ids]
+    assert (" ".join(words) in called) == (name == "word_bpe_49k.json")
+
+
 def test_written_tables_leave_no_shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
